@@ -1,0 +1,5 @@
+"""Deliberately empty: every workload this engine covers is a batch re-run.
+
+License data arrives as quarterly deliveries that are reprocessed whole, so no operator has
+streaming semantics to express.  See the README.
+"""

@@ -1,0 +1,94 @@
+"""Compare every registered query with its SQL counterpart in DuckDB.
+
+    python tests/oracle_compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+KINDS = {
+    "bigint": "int", "long": "int", "int": "int", "integer": "int", "double": "double", "varchar": "string", "string": "string",
+    "date": "date", "boolean": "boolean",
+}
+EXACT = {"bigint": "bigint", "int": "integer", "double": "double", "string": "varchar", "date": "date"}
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def cell(value):
+    if isinstance(value, datetime.datetime):
+        return value.isoformat()
+    if isinstance(value, float) and value == int(value):
+        return repr(float(value))
+    return repr(value)
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(cell(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name, query, sql, sf_dir) -> list[str]:
+    """Differences as text; empty when columns, types and all rows agree."""
+    df = query(spark, sf_dir)
+    relation = con.execute(sql)
+    names = [d[0] for d in relation.description]
+    kinds = [str(d[1]).lower() for d in relation.description]
+    expected = relation.fetchall()
+    problems = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} expected {sorted(names)}"]
+    ours = dict(df.dtypes)
+    for column, kind in zip(names, kinds):
+        if EXACT.get(ours[column], ours[column]) != kind:
+            problems.append(f"type of {column}: {ours[column]} expected {kind}")
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    want = rows_of(names, expected)
+    if got != want:
+        extra, missing = sorted(set(got) - set(want))[:3], sorted(set(want) - set(got))[:3]
+        problems.append(f"{len(got)} rows, expected {len(want)}; extra {extra}; missing {missing}")
+    return problems + ([] if want else ["note: empty result"])
+
+
+def main(argv):
+    from fieldbook.session import build_session
+    from fieldbook.workbook.oracle import ORACLE
+    from fieldbook.workbook.queries import registered
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark.sparkContext.setLogLevel("ERROR")
+    con, bad = connect(sf_dir), 0
+    todo = argv[1:] or list(registered())
+    for name in todo:
+        if name not in ORACLE:
+            print(f"{name}: no SQL", flush=True)
+            continue
+        start = time.time()
+        try:
+            problems = compare(spark, con, name, registered()[name], ORACLE[name], sf_dir)
+        except Exception as error:  # report and go on to the next query
+            problems = [f"{type(error).__name__}: {str(error)[:600]}"]
+        real = [p for p in problems if not p.startswith("note")]
+        bad += bool(real)
+        print(f"{name}: {'FAIL' if real else 'ok'} {time.time() - start:.1f}s {'; '.join(problems)}", flush=True)
+    print(f"{len(todo)} queries, {bad} bad")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(bool(main(sys.argv[1:])))
