@@ -36,7 +36,8 @@ def make_history(
     """Carry each ranked sale forward over the years it covers.
 
     ``duration_run`` is the longest remaining duration; ``carry_vars`` come from the latest sale
-    covering the year.
+    covering the year.  One ``max_by`` per variable keeps this a hash aggregation; ranking left one
+    sale per year, so the latest is unique.
     """
     last = max(yrs)
     duration = F.greatest(F.coalesce("duration", F.lit(1)), F.lit(1))
@@ -53,10 +54,10 @@ def make_history(
         .groupBy(*ids, "year")
         .agg(
             F.max(F.col("src") + F.col("d") - F.col("year")).alias("duration_run"),
-            F.max(F.struct("src", *carry_vars)).alias("carry"),
+            *[F.max_by(v, "src").alias(v) for v in carry_vars],
         )
     )
-    return cover.select(*ids, "year", "duration_run", *[F.col(f"carry.{v}") for v in carry_vars])
+    return cover.select(*ids, "year", "duration_run", *carry_vars)
 
 
 def _by_customer(keys: Sequence[str]):
@@ -84,13 +85,15 @@ def add_r3(history: DataFrame, yrs: Iterable[int], keys: Sequence[str] = ()) ->
     return history.withColumn("R3", r3)
 
 
-def enrich_history(history: DataFrame, cust: DataFrame, counties: DataFrame) -> DataFrame:
-    """Attach demographics and the county name.
+def enrich_history(history: DataFrame, cust: DataFrame, counties: DataFrame | None = None) -> DataFrame:
+    """Attach demographics and, with ``counties``, the county name.
 
     Customers meet history on ``cust_id``; a customer has a bounded number of history rows, so no key
     of that join can be hot.
     """
-    return history.join(cust.join(counties, "county_fips", "left"), "cust_id", "left")
+    if counties is not None:
+        cust = cust.join(counties, "county_fips", "left")
+    return history.join(cust, "cust_id", "left")
 
 
 def recode_history(
@@ -136,34 +139,48 @@ def quarterly_lapse(
     return add_lapse(history.drop("lapse", "duration_run"), yrs, keys)
 
 
+def quarter_cuts(
+    quarter_of_row: Column, quarter: int, select_quarters: Sequence[int], yrs: Iterable[int]
+) -> Column:
+    """Selected quarters a row belongs to, as an array with NULL in the place of those it does not."""
+    yrs = list(yrs)
+    return F.array(
+        *[
+            F.when(
+                (F.lit(q == 4) | (quarter_of_row <= q))
+                & (F.col("year") <= max(years_at_hand(yrs, quarter, q))),
+                q,
+            )
+            for q in select_quarters
+        ]
+    )
+
+
 def expand_quarters(
     history: DataFrame,
     quarter: int,
     select_quarters: Sequence[int],
     yrs: Iterable[int],
     keys: Sequence[str] = (),
+    to_quarter: Callable[[Column], Column] = month_to_quarter,
 ) -> DataFrame:
     """``quarterly_filter`` and ``quarterly_lapse`` for several selected quarters in one pass.
 
-    Adds ``select_quarter`` and repeats a row for each selected quarter it belongs to.  A single look
-    at the customer's next row settles lapse for every cut, so rows are windowed once, before they
-    are repeated.
+    Adds ``select_quarter`` and repeats a row for each selected quarter it belongs to.  A customer
+    lapses within a cut when the row of the next year is missing or falls in a later quarter.  That
+    takes the month of the next row: ``next_month`` where history carries it, otherwise one window
+    before rows are repeated.  Full years keep the stored lapse.
     """
-    window = _by_customer(keys)
-    year, cut = F.col("year"), F.col("select_quarter")
-    last_in = lambda q: max(years_at_hand(yrs, quarter, q))
-    cuts = F.array_compact(
-        F.array(
-            *[
-                F.when((F.lit(q == 4) | (F.col("quarter") <= q)) & (year <= last_in(q)), q)
-                for q in select_quarters
-            ]
-        )
-    )
+    yrs = list(yrs)
+    if "next_month" not in history.columns:
+        window = _by_customer(keys)
+        follows = F.lead("year").over(window) == F.col("year") + 1
+        history = history.withColumn("next_month", F.when(follows, F.lead("month").over(window)))
+    cut = F.col("select_quarter")
     is_last = F.lit(False)
     for q in select_quarters:
-        is_last = is_last | ((cut == q) & (year == last_in(q)))
-    returns = (F.col("_next_year") == year + 1) & (F.col("_next_quarter") <= cut)
+        is_last = is_last | ((cut == q) & (F.col("year") == max(years_at_hand(yrs, quarter, q))))
+    returns = (F.col("lapse") == 0) & (to_quarter(F.col("next_month")) <= cut)
     lapse = (
         F.when(cut == 4, F.col("lapse"))
         .when(is_last, None)
@@ -171,9 +188,8 @@ def expand_quarters(
         .otherwise(1)
     )
     return (
-        history.withColumn("_next_year", F.lead("year").over(window))
-        .withColumn("_next_quarter", F.lead("quarter").over(window))
-        .withColumn("select_quarter", F.explode(cuts))
+        history.withColumn("select_quarter", F.explode(quarter_cuts(F.col("quarter"), quarter, select_quarters, yrs)))
+        .filter(cut.isNotNull())
         .withColumn("lapse", lapse)
-        .drop("_next_year", "_next_quarter", "quarter", "duration_run")
+        .drop("next_month", "quarter", "duration_run")
     )

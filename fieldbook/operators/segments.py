@@ -27,10 +27,18 @@ def _segment_value(segment: str) -> Column:
 
 
 def segment_counts(
-    history: DataFrame, keys: Sequence[str], segs: Sequence[str] = SEGMENTS
+    history: DataFrame,
+    keys: Sequence[str],
+    segs: Sequence[str] = SEGMENTS,
+    counties: DataFrame | None = None,
 ) -> DataFrame:
-    """Additive counts per ``keys``, segment, category and year; unknown categories are left out."""
+    """Additive counts per ``keys``, segment, category and year; unknown categories are left out.
+
+    With ``counties`` (``county_fips, county``) history is counted by code and only the cells are
+    joined to county names; without, history has to carry ``county``.
+    """
     by = [*keys, "year"]
+    place = "county" if counties is None else "county_fips"
     demographic = [s for s in segs if s not in ("tot", "county")]
     if "R3" not in history.columns:
         history = history.withColumn("R3", F.lit(None).cast("string"))
@@ -43,9 +51,11 @@ def segment_counts(
     sets = [[*by, *dict.fromkeys(["res", *demographic])]]
     columns = list(sets[0])
     if "county" in segs:
-        sets.append([*by, "res", "county"])
-        columns.append("county")
-        cells = history.groupingSets(sets, *columns).agg(*counts, F.grouping("county").alias("_other"))
+        sets.append([*by, "res", place])
+        columns.append(place)
+        cells = history.groupingSets(sets, *columns).agg(*counts, F.grouping(place).alias("_other"))
+        if counties is not None:
+            cells = cells.join(counties, place, "left")
         values = F.when(F.col("_other") == 0, F.array(_segment_value("county"))).otherwise(
             F.array(*[_segment_value(s) for s in segs if s != "county"])
         )

@@ -32,22 +32,13 @@ def month_metrics(
     recruits = history.filter(F.col("R3") == "Recruit").select(
         "permission", "cust_id", "year", to_quarter(F.col("month")).alias("recruit_quarter")
     )
-    year, own = F.col("year"), to_quarter(F.col("month"))
-    cuts = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    (F.lit(q == 4) | (own <= q)) & (year <= max(H.years_at_hand(yrs, quarter, q))), q
-                )
-                for q in select_quarters
-            ]
-        )
-    )
+    cuts = H.quarter_cuts(to_quarter(F.col("month")), quarter, select_quarters, yrs)
     cut = F.col("select_quarter")
     in_cut = (cut == 4) & F.col("recruit_quarter").isNotNull() | (F.col("recruit_quarter") <= cut)
     counted = (
         sale_months.join(recruits, ["permission", "cust_id", "year"], "left")
         .withColumn("select_quarter", F.explode(cuts))
+        .filter(cut.isNotNull())
         .groupBy(*KEYS, "year", F.col("month").cast("string").alias("category"))
         .agg(F.count(F.lit(1)).alias("participants"), F.count_if(in_cut).alias("recruits"))
     )
@@ -65,13 +56,14 @@ def month_metrics(
 
 def dashboard_metrics(
     history: DataFrame,
+    counties: DataFrame,
     pop_county: DataFrame,
     rules: Sequence[PermissionRule],
     dashboard_yrs: Sequence[int],
 ) -> DataFrame:
     """Participants, recruits, churn and rates from recoded history expanded by ``select_quarter``."""
     parents = {rule.name: rule.parent for rule in rules if rule.parent}
-    measures = G.segment_measures(G.segment_counts(history, KEYS), KEYS)
+    measures = G.segment_measures(G.segment_counts(history, KEYS, counties=counties), KEYS)
     measures = G.parent_participants(measures, parents, KEYS).join(
         G.pop_segments(pop_county), ["segment", "category", "year"], "left"
     )
@@ -86,7 +78,7 @@ def dashboard_metrics(
 def recoded_history(
     history: DataFrame,
     cust: DataFrame,
-    counties: DataFrame,
+    counties: DataFrame | None = None,
     to_quarter: Callable[[Column], Column] = month_to_quarter,
 ) -> DataFrame:
     return H.enrich_history(history, cust, counties).transform(H.recode_history, to_quarter)
@@ -108,13 +100,14 @@ def dashboard_all(
 ) -> DataFrame:
     """The complete dashboard table.
 
-    ``history`` should be a stored table: it feeds the metrics and the recruit months.  Sales are
+    ``history`` should be a stored table, best with ``next_month``: it feeds the metrics and the recruit
+    months.  Sales are
     limited to the dashboard years and the one before; sales without a customer count once per month.
     """
-    expanded = recoded_history(history, cust, counties, to_quarter).transform(
-        H.expand_quarters, quarter, select_quarters, yrs, ("permission",)
+    expanded = recoded_history(history, cust, to_quarter=to_quarter).transform(
+        H.expand_quarters, quarter, select_quarters, yrs, ("permission",), to_quarter
     )
-    metrics = dashboard_metrics(expanded, pop_county, rules, dashboard_yrs)
+    metrics = dashboard_metrics(expanded, counties, pop_county, rules, dashboard_yrs)
     month_years = [min(dashboard_yrs) - 1, *sorted(dashboard_yrs)]
     sale_months = sale_groups(sale.filter(F.col("year").isin(*month_years)), permission)
     shown = history.filter(F.col("year").isin(*month_years))

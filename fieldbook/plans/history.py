@@ -25,8 +25,12 @@ _RANK_KEY = """
 """
 
 
-def history_from_sales(sales: DataFrame, yrs: Iterable[int]) -> DataFrame:
-    """History from sales that carry ``permission`` and ``duration``; ``cust_id`` must be known."""
+def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool = False) -> DataFrame:
+    """History from sales that carry ``permission`` and ``duration``; ``cust_id`` must be known.
+
+    ``look_ahead`` adds ``next_month``, the month of the following year's row.  It is at hand here, and
+    saves partial-year runs from sorting history by customer to find it again.
+    """
     yrs = sorted(yrs)
 
     # one row per permission and customer: best sale and first month of each year
@@ -69,15 +73,24 @@ def history_from_sales(sales: DataFrame, yrs: Iterable[int]) -> DataFrame:
             f"when {' or '.join(away or ['false'])} then 'Reactivate' else 'Recruit' end"
         )
 
+    def after(y: int) -> str:
+        if not look_ahead:
+            return ""
+        following = f"{carry(y + 1)}.month" if y + 1 in active else "cast(null as int)"
+        return f", {following} as next_month"
+
     rows = [
         f"if({active[y]}, struct({y} as year, reach_{y} - {y} + 1 as duration_run, {lapse(y)} as lapse, "
-        f"{r3(y)} as R3, {carry(y)} as carry), null)"
+        f"{r3(y)} as R3, {carry(y)} as carry{after(y)}), null)"
         for y in yrs
     ]
+    # years without cover come out as NULL rows; dropping them afterwards keeps this in generated code
+    columns = ["permission", "cust_id", "year", "duration_run", "lapse", "R3", "carry.month", "carry.res"]
     return (
         covered.selectExpr("*", *reach)
-        .selectExpr("permission", "cust_id", f"inline(array_compact(array({', '.join(rows)})))")
-        .selectExpr("permission", "cust_id", "year", "duration_run", "lapse", "R3", "carry.month", "carry.res")
+        .selectExpr("permission", "cust_id", f"inline(array({', '.join(rows)}))")
+        .filter("year is not null")
+        .selectExpr(*columns, *(["next_month"] if look_ahead else []))
     )
 
 
@@ -92,7 +105,11 @@ def permission_sales(sale: DataFrame, lic: DataFrame, rules: Sequence[Permission
 
 
 def build_history(
-    sale: DataFrame, lic: DataFrame, rules: Sequence[PermissionRule], yrs: Iterable[int]
+    sale: DataFrame,
+    lic: DataFrame,
+    rules: Sequence[PermissionRule],
+    yrs: Iterable[int],
+    look_ahead: bool = False,
 ) -> DataFrame:
     """History of all permissions: ``permission, cust_id, year, duration_run, lapse, R3, month, res``."""
-    return history_from_sales(permission_sales(sale, lic, rules), yrs)
+    return history_from_sales(permission_sales(sale, lic, rules), yrs, look_ahead)

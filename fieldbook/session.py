@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "fieldbook", **conf) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # call-site capture costs a round trip per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

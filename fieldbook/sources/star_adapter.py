@@ -31,6 +31,15 @@ SAMPLE_SEED = 42
 FIPS = "(case when c_nationkey < 22 then 19000 else 55000 end + 1 + 2 * c_nationkey)"
 STATE_OF_NATION = "case when c_nationkey < 22 then 'IA' else 'WI' end"
 
+# columns the adapter reads; given up front so that opening a table needs no look at its files
+COLUMNS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint",
+}
+
 
 class StarAdapter:
     def __init__(self, spark: SparkSession, root: str):
@@ -38,7 +47,7 @@ class StarAdapter:
         self.root = root
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.root}/{name}.parquet")
 
     def cust(self) -> DataFrame:
         return (

@@ -78,6 +78,11 @@ class Desk:
         """History written once, for plans that consume it more than once."""
         return stage(self.history, "history")
 
+    @cached_property
+    def dashboard_history(self) -> DataFrame:
+        """As ``stored_history``, with the look-ahead month that partial-year runs use."""
+        return stage(build_history(self.sale, self.lic, RULES, YEARS, look_ahead=True), "history")
+
     @cached_property
     def recoded(self) -> DataFrame:
         return plan.recoded_history(self.history, self.cust, self.counties)
@@ -114,7 +119,7 @@ class Desk:
 
     def dashboard_all(self) -> DataFrame:
         out = plan.dashboard_all(
-            self.stored_history, self.cust, self.counties, self.pop,
+            self.dashboard_history, self.cust, self.counties, self.pop,
             L.load_sale(self.store, MONTH_YEARS), self.permission,
             RULES, YEARS, CURRENT_QUARTER, SELECT_QUARTERS, DASHBOARD_YEARS,
         )
