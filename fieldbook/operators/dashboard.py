@@ -27,7 +27,9 @@ def calc_part(
         history = history.filter(F.col("R3") == "Recruit")
     history = history.withColumn("permission", F.lit("one"))
     measures = G.segment_measures(G.segment_counts(history, _ONE, segs), _ONE)
-    return measures.select("segment", "category", "year", "participants", "residents")
+    rows = measures.select("segment", "category", "year", "participants", "residents")
+    # a county may have nonresidents only
+    return rows.filter(F.col("participants").isNotNull())
 
 
 def calc_part_rate(part: DataFrame, pop: DataFrame) -> DataFrame:
@@ -55,8 +57,7 @@ def calc_part_rate(part: DataFrame, pop: DataFrame) -> DataFrame:
 def calc_priv_rate(part: DataFrame, part_ref: DataFrame) -> DataFrame:
     """Participants of a privilege over those of its parent permission, per segment."""
     by = ["segment", "category", "year"]
-    ref = part_ref.filter(F.col("participants").isNotNull()).select(*by, F.col("participants").alias("pop"))
-    return M.est_rate(part.filter(F.col("participants").isNotNull()).select(*by, "participants"), ref)
+    return M.est_rate(part.select(*by, "participants"), part_ref.select(*by, F.col("participants").alias("pop")))
 
 
 def calc_metrics(
@@ -178,9 +179,11 @@ def qa_year_change(dash: DataFrame, thresholds: Mapping[str, Mapping[str, float]
             limit = F.when(here, percent).otherwise(limit)
     series = Window.partitionBy("quarter", "group", "metric", "segment", "category").orderBy("year")
     before = F.when(F.lag("year").over(series) == F.col("year") - 1, F.lag("value").over(series))
+    change = F.try_divide(100 * (F.col("value") - before), before)
     return (
         dash.withColumn("threshold", limit)
-        .withColumn("pct_change", F.try_divide(100 * (F.col("value") - before), before))
+        # rounded, so that a change of exactly the threshold is not flagged for its last binary digit
+        .withColumn("pct_change", F.round(change, 6))
         .filter(F.abs("pct_change") > F.col("threshold"))
     )
 

@@ -370,7 +370,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "dashboard": lambda d: D.format_metrics(d.metrics("deer", 2), 2, "deer"),
     "dashboard_all": lambda d: d.dashboard_all(),
     "fill_missing_months": lambda d: D.fill_missing_months(d.stored_dashboard),
-    "qa_year_change": lambda d: tidy(D.qa_year_change(d.stored_dashboard), "pct_change", 6),
+    "qa_year_change": lambda d: D.qa_year_change(d.stored_dashboard),
     "qa_scaleup": _qa_scaleup,
     # exploratory views
     "hist_samp": _hist_all,
