@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldbook.session import stage
+
 _PREFIX = 4  # hex digits: 65,536 buckets
 
 
@@ -53,6 +55,12 @@ def sample_exact(customers: DataFrame, pct: float = 10, seed: int = 42) -> DataF
 
 
 def load_cust_samp(history: DataFrame, pct: float = 10, seed: int = 42, exact: bool = True) -> DataFrame:
-    """Sample of the customers in a permission's history."""
+    """Sample of the customers in a permission's history.
+
+    The exact form reads the customers for the counts and again for the cut, so their ids are stored
+    first and history is read once.
+    """
     customers = history.select("cust_id").distinct()
-    return sample_exact(customers, pct, seed) if exact else sample_by_hash(customers, pct, seed)
+    if exact:
+        return sample_exact(stage(customers, "customers"), pct, seed)
+    return sample_by_hash(customers, pct, seed)

@@ -70,7 +70,7 @@ def main(argv):
     from fieldbook.workbook.queries import registered
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     todo = argv[1:] or list(registered())
