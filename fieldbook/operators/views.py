@@ -28,6 +28,11 @@ def dash_slice(dash: DataFrame, group: str, quarter: int) -> DataFrame:
     return dash.filter((F.col("group") == group) & (F.col("quarter") == quarter))
 
 
+def dash_segment(dash: DataFrame, segment: str) -> DataFrame:
+    """Rows of one segment, named in lower case as in the result."""
+    return dash.withColumn("segment", F.lower("segment")).filter(F.col("segment") == segment.lower())
+
+
 def month_compare(dash: DataFrame, group: str, quarter: int, year: int) -> DataFrame:
     """Month rows of a year and the year before."""
     rows = dash_slice(dash, group, quarter)

@@ -40,6 +40,15 @@ def write_history(history: DataFrame, path: str, group: str | None = None) -> No
     _overwrite_partitions(history, path, ["permission"], ["permission", "year"])
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "cust_id") -> None:
+    """Catalog table bucketed and sorted by ``key``.
+
+    History and customers written with the same bucket count meet without a shuffle, in every later
+    dashboard run.  The repartition matches the bucketing, so each bucket is one file.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def permission_rows(lic_slct: DataFrame, group: str) -> DataFrame:
     """Rows of the permission table for the license types in ``lic_slct``."""
     return lic_slct.select(F.lit(normalize_name(group)).alias("permission"), "lic_id", "description")

@@ -562,6 +562,8 @@ ORACLE["dash_labels"] = _dash("""
 SELECT quarter, "group", segment, year, lower(category) AS category,
   CASE metric WHEN 'participants' THEN 'part' ELSE metric END AS metric, value FROM dash""")
 ORACLE["dash_slice"] = _dash("""SELECT * FROM dash WHERE "group" = 'hunt' AND quarter = 2""")
+ORACLE["dash_segment"] = _dash("""
+SELECT quarter, "group", 'residency' AS segment, year, category, metric, value FROM dash WHERE segment = 'Residency'""")
 ORACLE["month_compare"] = _dash("""
 SELECT * FROM dash WHERE "group" = 'hunt' AND quarter = 2 AND segment = 'month' AND year IN (2000, 2001)""")
 ORACLE["county_view"] = _dash("""

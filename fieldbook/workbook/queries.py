@@ -390,6 +390,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "month_view": lambda d: views.month_view(d.stored_dashboard),
     "dash_labels": lambda d: views.dash_labels(d.stored_dashboard),
     "dash_slice": lambda d: views.dash_slice(d.stored_dashboard, "hunt", 2),
+    "dash_segment": lambda d: views.dash_segment(d.stored_dashboard, "Residency"),
     "month_compare": lambda d: views.month_compare(d.stored_dashboard, "hunt", 2, 2001),
     "county_view": lambda d: views.county_view(d.stored_dashboard, "hunt", 2, 2001),
     "value_grid": lambda d: views.value_grid(_dash_page(d, "Gender"), YEARS),
