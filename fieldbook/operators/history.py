@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldbook.functions import age_category, label_res, label_sex, month_to_quarter
+from fieldbook.functions.ranking import RANK_KEY, duration_of, month_of, res_of
 from fieldbook.schemas import AGE_BREAKS, R3_BLIND_YEARS
 
 
@@ -15,19 +16,30 @@ def rank_sale(
     rank_var: Sequence[str] = ("duration", "res"),
     first_month: bool = True,
     keys: Sequence[str] = (),
+    with_lic_id: bool = True,
 ) -> DataFrame:
     """One sale per customer-year: the highest ``rank_var``, then earliest month, then lowest license id.
 
     NULL ranks last.  ``first_month`` replaces the month by the earliest of that customer-year.
-    An aggregation, so it combines before the shuffle and needs no sort per customer.
+    An aggregation, so it combines before the shuffle.  The license id only settles which id is
+    reported; without it the default ranking fits one long and needs no sort.
     """
     ids = [*keys, "cust_id", "year"]
+    if not with_lic_id and tuple(rank_var) == ("duration", "res"):
+        best = sale.groupBy(*ids).agg(F.max(F.expr(RANK_KEY)).alias("best"), F.min("month").alias("first"))
+        return best.selectExpr(
+            *ids,
+            f"{duration_of('best')} as duration",
+            f"{res_of('best')} as res",
+            "first as month" if first_month else f"{month_of('best')} as month",
+        )
     order = F.struct(*rank_var, (-F.col("month")).alias("m"), (-F.col("lic_id")).alias("l"))
     best = sale.groupBy(*ids).agg(F.max(order).alias("best"), F.min("month").alias("first"))
     month = F.col("first") if first_month else -F.col("best.m")
-    return best.select(
+    out = best.select(
         *ids, *[F.col(f"best.{v}") for v in rank_var], month.alias("month"), (-F.col("best.l")).alias("lic_id")
     )
+    return out if with_lic_id else out.drop("lic_id")
 
 
 def make_history(

@@ -11,10 +11,19 @@ from fieldbook.schemas import ACS_AGE_UPPER, AGE_BREAKS, acs_age_label, age_labe
 
 
 def age_map(spark: SparkSession, breaks: Sequence[int] = AGE_BREAKS) -> DataFrame:
-    """One row per year of age, 0 to 100: age category (1-based) and census age group."""
-    ages = range(ACS_AGE_UPPER[-1] + 1)
-    rows = [(a, sum(a >= b for b in breaks), acs_age_label(a)) for a in ages]
-    return spark.createDataFrame(rows, "age_year int, age int, age_acs string")
+    """One row per year of age, 0 to 100: age category (1-based) and census age group.
+
+    Built on a range, whose size Spark knows: joins with it are broadcast.
+    """
+    last = ACS_AGE_UPPER[-1]
+    age = F.col("id").cast("int")
+    labels = F.array(*[F.lit(acs_age_label(a)) for a in range(last + 1)])
+    category = F.lit(0)
+    for lower in breaks:
+        category = category + (age >= lower).cast("int")
+    return spark.range(0, last + 1, 1, 1).select(
+        age.alias("age_year"), category.alias("age"), F.element_at(labels, age + 1).alias("age_acs")
+    )
 
 
 def factor_age_acs(pop: DataFrame, ages: DataFrame) -> DataFrame:

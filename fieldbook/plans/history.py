@@ -13,18 +13,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from fieldbook.functions.ranking import RANK_KEY, duration_of, res_of
 from fieldbook.operators.permissions import PermissionRule, permission_licenses
 from fieldbook.schemas import R3_BLIND_YEARS
 
-# A year's best sale is the maximum of one long: duration above residency above reversed month.
-# Residency takes 2 bits (resident 2, nonresident 1, unknown 0) and the month the lowest 32.
-_RANK_KEY = """
-    shiftleft(cast(greatest(coalesce(duration, 1), 1) as bigint), 34)
-    + shiftleft(cast(case res when 1 then 2 when 0 then 1 else 0 end as bigint), 32)
-    + (2147483647L - coalesce(month, 2147483647))
-"""
-
-
 def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool = False) -> DataFrame:
     """History from sales that carry ``permission`` and ``duration``; ``cust_id`` must be known.
 
@@ -38,15 +30,14 @@ def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool =
     first = [F.expr(f"min(if(year = {y}, month, null))").alias(f"month_{y}") for y in yrs]
     slots = (
         sales.filter(F.col("year").isin(*yrs))
-        .select("permission", "cust_id", "year", "month", F.expr(_RANK_KEY).alias("rank_key"))
+        .select("permission", "cust_id", "year", "month", F.expr(RANK_KEY).alias("rank_key"))
         .groupBy("permission", "cust_id")
         .agg(*best, *first)
     )
 
     # last year covered by the sale of each year, and what that sale hands on
-    res = "case shiftright(best_{y}, 32) & 3 when 2 then 1 when 1 then 0 end"
-    ends = [f"{y} - 1 + cast(shiftright(best_{y}, 34) as int) as end_{y}" for y in yrs]
-    carries = [f"struct(month_{y} as month, {res.format(y=y)} as res) as carry_{y}" for y in yrs]
+    ends = [f"{y} - 1 + {duration_of(f'best_{y}')} as end_{y}" for y in yrs]
+    carries = [f"struct(month_{y} as month, {res_of(f'best_{y}')} as res) as carry_{y}" for y in yrs]
     covered = slots.selectExpr("permission", "cust_id", *ends, *carries)
 
     # furthest year reached by any sale so far; a year is covered when that is not behind it

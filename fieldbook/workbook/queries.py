@@ -216,7 +216,7 @@ def _permission_rules(d: Desk) -> DataFrame:
 
 
 def _staged_history(d: Desk) -> DataFrame:
-    ranked = H.rank_sale(d.perm_sales, keys=PERM)
+    ranked = H.rank_sale(d.perm_sales, keys=PERM, with_lic_id=False)
     return H.make_history(ranked, YEARS, keys=PERM)
 
 

@@ -30,6 +30,16 @@ def test_rank_sale_order(spark):
     assert rows(own_month) == [(1, 7), (2, 9), (3, 13), (4, 2), (5, -1)]
 
 
+@pytest.mark.parametrize("first_month", [True, False])
+def test_rank_in_one_long_equals_struct(spark, first_month):
+    sales = random_sales(21, list(range(2000, 2004))) + [(77, 1, 2000, None, 1, 1), (78, 1, 2000, None, None, 1), (78, 2, 2000, 4, None, 1)]
+    frame = spark.createDataFrame(sales, SALE)
+    short = H.rank_sale(frame, first_month=first_month, with_lic_id=False)
+    full = H.rank_sale(frame, first_month=first_month).drop("lic_id")
+    assert rows(short) == rows(full.select(short.columns))
+    assert "SortAggregate" not in short._jdf.queryExecution().executedPlan().toString()
+
+
 def test_make_history_cover(spark):
     ranked = spark.createDataFrame(
         [(1, 2010, 3, 1, 4), (1, 2011, 1, 0, 6), (2, 2010, 99, 1, 2), (3, 2012, 1, None, 5)],
@@ -113,7 +123,7 @@ def test_history_matches_model(spark, seed, span):
     assert fused.count() == len(want)
 
     keys = ("permission",)
-    steps = H.make_history(H.rank_sale(frame, keys=keys), yrs, keys=keys)
+    steps = H.make_history(H.rank_sale(frame, keys=keys, with_lic_id=seed % 2 == 0), yrs, keys=keys)
     steps = H.add_r3(H.add_lapse(steps, yrs, keys), yrs, keys).select(*columns)
     assert {tuple(r) for r in steps.collect()} == want
 
