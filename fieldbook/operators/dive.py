@@ -81,6 +81,17 @@ def county_dive(df: DataFrame, county_map: DataFrame, metric: str = "participant
     return county_values(df, metric, pct).join(county_map, "fips", "left")
 
 
+def dive_menu(samp: DataFrame) -> DataFrame:
+    """Choices of the exploratory view as ``menu, option, ord``: permissions, and years latest first."""
+    choice = lambda name, column, order: F.struct(
+        F.lit(name).alias("menu"), column.cast("string").alias("option"), order.alias("ord")
+    )
+    options = F.array(
+        choice("priv", F.col("priv"), F.lit(None).cast("int")), choice("year", F.col("year"), -F.col("year"))
+    )
+    return samp.select(F.inline(options)).distinct()
+
+
 @dataclass(frozen=True)
 class DiveSpec:
     """One state of the exploratory view's controls."""

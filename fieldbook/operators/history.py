@@ -20,7 +20,7 @@ def rank_sale(
 ) -> DataFrame:
     """One sale per customer-year: the highest ``rank_var``, then earliest month, then lowest license id.
 
-    NULL ranks last.  ``first_month`` replaces the month by the earliest of that customer-year.
+    NULL ranks last; in the short form a missing or zero duration counts as one year.  ``first_month`` replaces the month by the earliest of that customer-year.
     An aggregation, so it combines before the shuffle.  The license id only settles which id is
     reported; without it the default ranking fits one long and needs no sort.
     """
@@ -151,6 +151,18 @@ def quarterly_lapse(
     return add_lapse(history.drop("lapse", "duration_run"), yrs, keys)
 
 
+def forget_open_year_lapse(history: DataFrame, quarter: int, select_quarter: int, yrs: Iterable[int]) -> DataFrame:
+    """Optional correction for a full-year run while the year is still open.
+
+    Such a run drops the open year but keeps lapse as stored, which counts people who have yet to buy
+    as lapsed.  Here lapse of the last full year becomes unknown instead.
+    """
+    if not (select_quarter == 4 and quarter < 4):
+        return history
+    last = max(years_at_hand(yrs, quarter, select_quarter))
+    return history.withColumn("lapse", F.when(F.col("year") != last, F.col("lapse")))
+
+
 def quarter_cuts(
     quarter_of_row: Column, quarter: int, select_quarters: Sequence[int], yrs: Iterable[int]
 ) -> Column:

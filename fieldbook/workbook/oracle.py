@@ -390,6 +390,8 @@ ORACLE["factor_age_acs"] = _q("""
 SELECT state_abbrev, county_fips, year, sex, age, age_acs, pop, l.age_acs_ord
 FROM pop_acs JOIN (SELECT age_acs, min(age_year) AS age_acs_ord FROM age_map GROUP BY age_acs) l USING (age_acs)
 WHERE state_abbrev = 'IA'""")
+ORACLE["age_acs_check"] = _q("""
+SELECT age_acs AS new, age_acs AS old, count(*) AS n FROM pop_acs WHERE state_abbrev = 'IA' GROUP BY ALL""")
 ORACLE["set_other_county_na"] = _q("""
 SELECT cust_id, sex, birth_year,
   CASE WHEN county_fips IN (SELECT county_fips FROM county_map) THEN county_fips END AS county_fips FROM cust""")
@@ -427,11 +429,15 @@ ORACLE["make_history"] = _h("SELECT permission, cust_id, year, duration_run, mon
 ORACLE["lapse"] = _h("SELECT permission, cust_id, year, lapse FROM lapsed")
 ORACLE["r3"] = _h("SELECT permission, cust_id, year, R3 FROM classified")
 ORACLE["quarterly_lapse"] = _h("SELECT permission, cust_id, year, lapse FROM cut WHERE sq = 2")
+ORACLE["open_year_lapse"] = _h("""
+SELECT permission, cust_id, year, CASE WHEN year < 2000 THEN lapse END AS lapse FROM cut WHERE sq = 4""")
 ORACLE["deer_by_year"] = _h("SELECT year, count(*) AS n FROM history WHERE permission = 'deer' GROUP BY year")
 
 # ---- population
 ORACLE["aggregate_pop"] = _q("SELECT county_fips, year, sex, age, pop FROM pop_cat", POP)
 ORACLE["extrapolate_pop"] = _q("SELECT county_fips, year, sex, age, round(pop, 6) AS pop FROM pop_ext", POP)
+ORACLE["qa_extrapolation"] = _q("""
+SELECT (SELECT max(year) FROM pop_year) AS last_year, round(rate, 9) AS growth, CAST(2 AS INTEGER) AS n_extrapolated FROM growth""", POP)
 ORACLE["prep_pop"] = _q("SELECT county_fips, year, sex, agecat, round(pop, 6) AS pop FROM pop_ready", POP)
 ORACLE["est_pop_tot"] = _q("SELECT year, round(sum(pop), 6) AS pop FROM pop_ready GROUP BY year", POP)
 ORACLE["est_pop_sex"] = _q("SELECT sex, year, round(sum(pop), 6) AS pop FROM pop_ready GROUP BY sex, year", POP)
@@ -554,6 +560,10 @@ UNION ALL
 SELECT 'age', age, 2000, round(count(*) / CAST((SELECT count(*) FROM shown WHERE year = 2000) AS DOUBLE) * 100, 9)
 FROM shown WHERE year = 2000 GROUP BY age""")
 
+ORACLE["dive_menu"] = _samp("""
+SELECT DISTINCT 'priv' AS menu, priv AS option, CAST(NULL AS INTEGER) AS ord FROM samp
+UNION ALL SELECT DISTINCT 'year', CAST(year AS VARCHAR), CAST(-year AS INTEGER) FROM samp""")
+
 # ---- dashboard views
 ORACLE["month_view"] = _dash("""
 SELECT quarter, "group", segment, CAST(year AS VARCHAR) AS year, CAST(category AS INTEGER) AS category, metric, value

@@ -327,6 +327,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "quarterly_filter_q2": lambda d: H.quarterly_filter(d.recoded, CURRENT_QUARTER, 2, YEARS).select("permission", "cust_id", "year"),
     "quarterly_filter_ahead": lambda d: H.quarterly_filter(d.recoded, CURRENT_QUARTER, 3, YEARS).select("permission", "cust_id", "year"),
     "factor_age_acs": lambda d: N.factor_age_acs(L.load_pop(d.store, STATE), N.age_map(d.spark)),
+    "age_acs_check": lambda d: N.age_acs_check(L.load_pop(d.store, STATE), N.age_map(d.spark)),
     "set_other_county_na": lambda d: geography.set_other_county_na(d.cust, d.full_fips_map),
     "set_nonres_county_na": lambda d: geography.set_nonres_county_na(
         d.history.join(d.cust, "cust_id", "left")
@@ -348,10 +349,14 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "r3": lambda d: H.add_r3(_staged_history(d), YEARS, PERM).select("permission", "cust_id", "year", "R3"),
     "history_all": lambda d: d.history,
     "quarterly_lapse": lambda d: d.cut(d.recoded, 2).select("permission", "cust_id", "year", "lapse"),
+    "open_year_lapse": lambda d: H.forget_open_year_lapse(d.cut(d.recoded, 4), CURRENT_QUARTER, 4, YEARS).select(
+        "permission", "cust_id", "year", "lapse"
+    ),
     "deer_by_year": lambda d: views.people_by_year(d.history.filter("permission = 'deer'")),
     # population
     "aggregate_pop": lambda d: N.aggregate_pop(L.load_pop(d.store, STATE)),
     "extrapolate_pop": lambda d: tidy(N.extrapolate_pop(N.aggregate_pop(L.load_pop(d.store, STATE)), YEARS), "pop", 6),
+    "qa_extrapolation": lambda d: tidy(N.extrapolation_check(N.aggregate_pop(L.load_pop(d.store, STATE)), YEARS), "growth"),
     "prep_pop": lambda d: tidy(N.prep_pop(L.load_pop(d.store, STATE), YEARS), "pop", 6),
     "est_pop_tot": lambda d: tidy(N.est_pop(d.pop, "tot"), "pop", 6),
     "est_pop_sex": lambda d: tidy(N.est_pop(d.pop, "sex"), "pop", 6),
@@ -386,6 +391,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
         d.priv_samp("all_sports").filter("year = 1999"), L.get_county_map_dive(d.store, STATE), "churn"
     ),
     "dive_query": _dive_query,
+    "dive_menu": lambda d: dive.dive_menu(d.samp),
     # dashboard views
     "month_view": lambda d: views.month_view(d.stored_dashboard),
     "dash_labels": lambda d: views.dash_labels(d.stored_dashboard),

@@ -119,6 +119,12 @@ def test_county_values(samp):
     assert rows(dive.county_values(deer, "churn")) == [(1, None), (3, 50.0)]
 
 
+def test_dive_menu(samp):
+    menu = dive.dive_menu(samp)
+    assert [r.option for r in menu.filter("menu = 'year'").orderBy("ord").collect()] == ["2001", "2000"]
+    assert rows(menu.filter("menu = 'priv'").select("option")) == [("deer",), ("trout",)]
+
+
 def test_dive_spec(samp, outline):
     spec = dive.DiveSpec("deer", metric="churn", year=2001, selected={"res": ["Resident"]})
     codes = outline.withColumn("fips", F.col("county_fips") % 1000).drop("county_fips")

@@ -164,6 +164,14 @@ def test_full_year_flow_changes_nothing(spark):
     assert rows(flow) == rows(base.drop("quarter"))
 
 
+def test_forget_open_year_lapse(spark):
+    frame = spark.createDataFrame([(1, 2001, 1), (1, 2002, 1)], "cust_id long, year int, lapse int")
+    yrs = range(2000, 2004)
+    assert rows(H.forget_open_year_lapse(frame, 2, 4, yrs)) == [(1, 2001, 1), (1, 2002, None)]
+    for quarter, selected in ((4, 4), (2, 2)):
+        assert H.forget_open_year_lapse(frame, quarter, selected, yrs) is frame
+
+
 def test_partitioning_does_not_change_history(spark):
     yrs = list(range(2000, 2007))
     frame = spark.createDataFrame(random_sales(6, yrs), SALE).withColumn("permission", F.lit("p"))
