@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import jaccard, linededup
+from fieldbook.llm import jaccard, linededup, urltree, winnow
+from fieldbook.llm.oracle import SQL
+
+RULES = [
+    urltree.Rule("com", "/", "allow"),
+    urltree.Rule("example.com", "/en/", "block"),
+    urltree.Rule("www.example.com", "/en/", "allow"),
+    urltree.Rule("net", "/es/", "block"),
+    urltree.Rule("net", "/fr/", "block"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +23,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, similarity 0.85: component of every document."""
-    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+    found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by rule or template."""
+    return urltree.judge_urls(_table(spark, sf_dir, "pages"), RULES)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document."""
+    found = winnow.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +45,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op10_line_dedup)}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op4_url_filter, op5_decontamination, op10_line_dedup)}
+ORACLE: dict[str, str] = dict(SQL)
