@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import jaccard, linededup, urltree, winnow
+from fieldbook.llm import bpe, jaccard, linededup, urltree, winnow
 from fieldbook.llm.oracle import SQL
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
 RULES = [
     urltree.Rule("com", "/", "allow"),
     urltree.Rule("example.com", "/en/", "block"),
@@ -21,6 +23,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Every text encoded by the public ranks and decoded again."""
+    ranks = bpe.load_ranks(public_tokenizers.path(vocabulary))
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, similarity 0.85: component of every document."""
     found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -45,5 +55,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op4_url_filter, op5_decontamination, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op10_line_dedup)}
 ORACLE: dict[str, str] = dict(SQL)
