@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, jaccard, linededup, urltree, winnow
+from fieldbook.llm import bpe, jaccard, langid, linededup, urltree, winnow
 from fieldbook.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -48,6 +48,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    net = langid.learn(docs)
+    rows = docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out"))
+    return langid.tag(rows, net).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points and more in three documents and more stay in the last one only."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,5 +63,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op10_line_dedup)}
 ORACLE: dict[str, str] = dict(SQL)
