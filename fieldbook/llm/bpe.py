@@ -22,12 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm import textbytes as tb
+from fieldbook.llm import blocks
 
-#: bytes of text that share a dictionary
-BLOCK_BYTES = 32 << 20
-#: bytes of text in one compressed row
-ROW_BYTES = 1 << 20
 #: pieces longer than this are merged with a heap
 LONG_PIECE = 64
 
@@ -95,14 +91,6 @@ def _cutter(pattern: str):
     return _cache[pattern]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
-    """Slices of text with their block and their number in the partition."""
-    done = 0
-    for seq, batch in enumerate(tb.chunks(batches, "text", ROW_BYTES)):
-        yield (batch.column("part")[0].as_py() << 32) | (done // BLOCK_BYTES), seq, batch
-        done += int(tb.text_buffer(batch.column("text"))[1][-1])
-
-
 def _pieces(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         findall, now, seen = _cutter(pattern), None, set()
@@ -112,7 +100,7 @@ def _pieces(pattern: str):
                 part = new[i : i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([now] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "piece"])
 
-        for block, _, batch in _blocks(batches):
+        for block, _, batch in blocks.numbered(batches):
             if block != now:
                 now, seen = block, set()
             new: set[str] = set()
@@ -127,14 +115,9 @@ def _pieces(pattern: str):
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for block, seq, batch in _blocks(batches):
-        sink = pa.BufferOutputStream()
-        part = batch.select(["doc_id", "text"])
-        with pa.ipc.new_stream(sink, part.schema, options=options) as out:
-            out.write_batch(part)
-        none = pa.nulls(1, pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), pa.nulls(1, pa.string()), none, pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "seq", "piece", "ids", "blob"])
+    for block, seq, batch in blocks.numbered(batches):
+        none, blob = pa.nulls(1, pa.binary()), blocks.pack(batch.select(["doc_id", "text"]))
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), pa.nulls(1, pa.string()), none, pa.array([blob], pa.binary())], ["block", "seq", "piece", "ids", "blob"])
 
 
 def _encoded(ranks: Broadcast):
@@ -166,21 +149,17 @@ def _assembled(ranks: Broadcast, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         findall, now, known = _cutter(pattern), None, _Dictionary(ranks.value)
         for batch in batches:
-            seqs, blocks = batch.column("seq").to_numpy(), batch.column("block").to_numpy()
-            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(seqs >= 0) != 0) | (seqs[1:] >= 0)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(seqs)], strict=True):
-                if lo == hi:
-                    continue
-                if blocks[lo] != now:
-                    now, known = blocks[lo], _Dictionary(ranks.value)
-                if seqs[lo] < 0:
+            for block, texts, lo, hi in blocks.runs(batch):
+                if block != now:
+                    now, known = block, _Dictionary(ranks.value)
+                if not texts:
                     known.update(zip(batch.column("piece")[lo:hi].to_pylist(), batch.column("ids")[lo:hi].to_pylist(), strict=True))
                     continue
-                for part in pa.ipc.open_stream(batch.column("blob")[lo].as_buffer()):
-                    coded = [b"".join(map(known.__getitem__, findall(t))) if t else b"" for t in part.column("text").to_pylist()]
-                    offsets = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
-                    values = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
+                part = blocks.unpack(batch.column("blob")[lo].as_buffer())
+                coded = [b"".join(map(known.__getitem__, findall(t))) if t else b"" for t in part.column("text").to_pylist()]
+                offsets = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
 
     return run
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, hnsw, htmlmain, jaccard, langid, linededup, urltree, winnow
+from fieldbook.llm import bpe, hnsw, htmlmain, jaccard, langid, linededup, suffixtree, urltree, winnow
 from fieldbook.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -67,6 +67,11 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's probability, learned from four fifths of the documents."""
+    return suffixtree.scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points and more in three documents and more stay in the last one only."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,5 +79,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op9_lm_score, op10_line_dedup)}
 ORACLE: dict[str, str] = dict(SQL)
