@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, hnsw, htmlmain, jaccard, langid, linededup, suffixtree, urltree, winnow
+from fieldbook.llm import bpe, hnsw, htmlmain, jaccard, langid, linededup, substring, suffixtree, urltree, winnow
 from fieldbook.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -31,6 +31,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY)
     return bpe.decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that stand in several documents."""
+    return substring.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, similarity 0.85: component of every document."""
     found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -79,5 +84,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op9_lm_score, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op9_lm_score, op10_line_dedup)}
 ORACLE: dict[str, str] = dict(SQL)
