@@ -175,25 +175,34 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     return drops.join(n, drops.doc_id.eqNullSafe(n.doc_id)).select(drops.doc_id, "n_lines", "drops").mapInArrow(_bitmaps, "doc_id long, n_lines int, n_dropped long, keep binary")
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in tb.chunks(batches, "text"):
-        n_lines, dropped, out = [], [], []
-        for text, keep in zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist(), strict=True):
-            lines = (text or "").split("\n")
-            left = lines
-            if keep is not None:
-                bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), dtype=np.uint8), count=len(lines))
-                left = [x for x, b in zip(lines, bits.tolist(), strict=True) if b]
-            n_lines.append(len(lines))
-            dropped.append(len(lines) - len(left))
-            out.append("\n".join(left))
-        new = [pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(out, pa.string())]
-        names = [x for x in batch.schema.names if x != "keep"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), *new], [*names, "n_lines", "n_dropped", "kept_text"])
+def _left(text: str | None, keep: bytes | None) -> tuple[int, list[str]]:
+    lines = (text or "").split("\n")
+    if keep is None:
+        return len(lines), lines
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), dtype=np.uint8), count=len(lines))
+    return len(lines), [x for x, b in zip(lines, bits.tolist(), strict=True) if b]
+
+
+def _kept(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tb.chunks(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            found = [_left(t, k) for t, k in zip(texts, batch.column("keep").to_pylist(), strict=True)]
+            n, left = np.array([f[0] for f in found], dtype=np.int64), np.array([len(f[1]) for f in found], dtype=np.int64)
+            text = pa.array([t if t is None else "\n".join(f[1]) for t, f in zip(texts, found, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(n), pa.array(n - left), text], [*names, "n_lines", "n_dropped", "kept_text"])
+
+    return run
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``doc_id, text`` of docs with ``n_lines, n_dropped, kept_text``; a document without a bitmap stays whole."""
-    marks = bitmaps.select(F.col("doc_id").alias("marked"), "keep")
-    both = docs.select("doc_id", "text").join(marks, F.col("doc_id").eqNullSafe(F.col("marked")), "left").drop("marked")
-    return both.mapInArrow(_kept, "doc_id long, text string, n_lines long, n_dropped long, kept_text string")
+    """``docs`` with ``n_lines, n_dropped, kept_text``: the lines each bitmap keeps, all where there is none; null stays null.
+
+    Columns of ``docs`` with these names, or named ``keep``, are replaced or dropped.
+    """
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text", "keep")]
+    marks = bitmaps.select(F.col("doc_id").alias("_marked"), "keep")
+    rows = docs.select(*names)
+    both = rows.join(marks, rows["doc_id"].eqNullSafe(F.col("_marked")), "left").drop("_marked")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return both.mapInArrow(_kept(names), schema + ", n_lines long, n_dropped long, kept_text string")

@@ -81,7 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points and more in three documents and more stay in the last one only."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op9_lm_score, op10_line_dedup)}
