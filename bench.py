@@ -34,6 +34,7 @@ def main(names: list[str]) -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        **({} if os.environ.get("BENCH_SHARED_DIR") is None else {"spark__checkpoint__dir": os.environ["BENCH_SHARED_DIR"]}),
     )
     spark.sparkContext.setLogLevel("ERROR")
     registry, seconds = registered(), {}

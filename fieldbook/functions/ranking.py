@@ -1,24 +1,26 @@
-"""A sale's rank within its customer-year as one long, so that picking the best is a hash aggregation.
+"""A sale's duration and residency as one long, so that picking the best is a hash aggregation.
 
-Duration takes the high bits, then residency (resident 2, nonresident 1, unknown 0; 2 bits), then the
-reversed month (32 bits): a longer license wins, then a resident one, then the earlier one.
+Duration takes the high 32 bits and the residency code the low ones: a longer license wins, then the larger code
+(resident over nonresident).  NULL is held as the least int and ranks last; all other values come back as they went in.
 """
 
-RANK_KEY = """
-    shiftleft(cast(greatest(coalesce(duration, 1), 1) as bigint), 34)
-    + shiftleft(cast(case res when 1 then 2 when 0 then 1 else 0 end as bigint), 32)
-    + (2147483647L - coalesce(month, 2147483647))
+_NULL = -2147483648
+_LOW = 4294967295
+
+RANK_KEY = f"""
+    shiftleft(cast(coalesce(duration, {_NULL}) as bigint), 32)
+    + (cast(coalesce(res, {_NULL}) as bigint) - cast({_NULL} as bigint))
 """
 
 
 def duration_of(key: str) -> str:
-    return f"cast(shiftright({key}, 34) as int)"
+    return f"nullif(cast(shiftright({key}, 32) as int), {_NULL})"
 
 
 def res_of(key: str) -> str:
-    return f"case shiftright({key}, 32) & 3 when 2 then 1 when 1 then 0 end"
+    return f"nullif(cast(({key} & {_LOW}L) + cast({_NULL} as bigint) as int), {_NULL})"
 
 
-def month_of(key: str) -> str:
-    """NULL for an unknown month, which ranks as the latest."""
-    return f"cast(nullif(2147483647L - ({key} & 4294967295L), 2147483647L) as int)"
+def years_of(key: str) -> str:
+    """License years a sale covers: a missing duration or one below 1 counts as one year; NULL without a sale."""
+    return f"if({key} is null, null, greatest(coalesce({duration_of(key)}, 1), 1))"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,6 +21,8 @@ def missing_columns(df: DataFrame, table: str, required: Sequence[str]) -> DataF
 
 def _count_bad(df: DataFrame, check: str, table: str, bad: dict[str, Column]) -> DataFrame:
     """All conditions of a table in one scan, then one row per violated column."""
+    if not bad:
+        return df.sparkSession.createDataFrame([], _OUT)
     counts = df.agg(*[F.count_if(condition).alias(c) for c, condition in bad.items()])
     rows = [
         F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(c).alias("column"), F.col(c).alias("n_bad"))
@@ -34,37 +36,52 @@ def _outside(column: str, low: int, high: int, null_ok: bool = False) -> Column:
     return value.isNotNull() & ~value.between(low, high) | (F.lit(not null_ok) & value.isNull())
 
 
+def _not_in(column: str, allowed: Collection, null_ok: bool = False) -> Column:
+    value = F.col(column)
+    if isinstance(allowed, range) and allowed.step == 1:
+        return _outside(column, allowed.start, allowed.stop - 1, null_ok)
+    return value.isNotNull() & ~value.isin(*allowed) | (F.lit(not null_ok) & value.isNull())
+
+
 def check_allowed_values(
     cust: DataFrame,
     lic: DataFrame,
     sale: DataFrame,
     max_year: int,
     min_year: int = S.FIRST_SALE_YEAR,
+    sexes: Collection[int] = tuple(S.SEX_LABELS),
+    birth_years: Collection[int] | None = None,
+    types: Collection[str] = S.LIC_TYPES,
+    durations: Collection[int] = range(S.DURATIONS[0], S.DURATIONS[1] + 1),
+    months: Collection[int] = range(S.SALE_MONTHS[0], S.SALE_MONTHS[1] + 1),
+    residencies: Collection[int] = tuple(S.RES_LABELS),
 ) -> DataFrame:
     """Values outside the allowed sets; NULL is allowed for sex, birth year and residency only.
 
-    ``max_year`` bounds sale and birth years, so a rerun gives the same answer later.
+    ``max_year`` bounds sale and birth years, so a rerun gives the same answer later.  A table whose
+    season starts earlier passes its own ``months``, such as ``range(-6, 13)``.  Columns that a table
+    lacks are left out; ``missing_columns`` reports them.
     """
-    sex, res, kind = F.col("sex"), F.col("res"), F.col("type")
-    in_cust = {
-        "sex": sex.isNotNull() & ~sex.isin(*S.SEX_LABELS),
-        "birth_year": _outside("birth_year", S.FIRST_BIRTH_YEAR, max_year, null_ok=True),
-    }
-    in_lic = {
-        "type": kind.isNull() | ~kind.isin(*S.LIC_TYPES),
-        "duration": _outside("duration", *S.DURATIONS),
-    }
-    in_sale = {
-        "year": _outside("year", min_year, max_year),
-        "month": _outside("month", *S.SALE_MONTHS),
-        "res": res.isNotNull() & ~res.isin(*S.RES_LABELS),
-    }
+    if birth_years is None:
+        birth_years = range(S.FIRST_BIRTH_YEAR, max_year + 1)
     parts = [
-        _count_bad(cust, "allowed_values", "cust", in_cust),
-        _count_bad(lic, "allowed_values", "lic", in_lic),
-        _count_bad(sale, "allowed_values", "sale", in_sale),
+        ("cust", cust, {"sex": _not_in("sex", sexes, True), "birth_year": _not_in("birth_year", birth_years, True)}),
+        ("lic", lic, {"type": _not_in("type", types), "duration": _not_in("duration", durations)}),
+        (
+            "sale",
+            sale,
+            {
+                "year": _outside("year", min_year, max_year),
+                "month": _not_in("month", months),
+                "res": _not_in("res", residencies, True),
+            },
+        ),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    found = [
+        _count_bad(df, "allowed_values", table, {c: bad for c, bad in checks.items() if c in df.columns})
+        for table, df, checks in parts
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def check_foreign_keys(cust: DataFrame, lic: DataFrame, sale: DataFrame) -> DataFrame:
@@ -73,8 +90,10 @@ def check_foreign_keys(cust: DataFrame, lic: DataFrame, sale: DataFrame) -> Data
     Keys are counted before the anti join, so a key that is most of the sales crosses the shuffle as
     one row per map task.  A NULL key is not an orphan.
     """
-    parts = []
+    parts = [sale.sparkSession.createDataFrame([], _OUT)]
     for column, other in (("cust_id", cust), ("lic_id", lic)):
+        if column not in sale.columns or column not in other.columns:
+            continue
         used = sale.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
         orphans = used.join(other.select(column), column, "left_anti")
         parts.append(
@@ -86,7 +105,9 @@ def check_foreign_keys(cust: DataFrame, lic: DataFrame, sale: DataFrame) -> Data
 
 
 def check_primary_key(df: DataFrame, table: str, key: str) -> DataFrame:
-    """``duplicate_key`` counts surplus rows, ``null_key`` rows without a key."""
+    """``duplicate_key`` counts surplus rows, ``null_key`` rows without a key; nothing without the column."""
+    if key not in df.columns:
+        return df.sparkSession.createDataFrame([], _OUT)
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     counts = per_key.agg(
         F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1)).alias("duplicate_key"),
@@ -104,19 +125,28 @@ def check_primary_keys(cust: DataFrame, lic: DataFrame) -> DataFrame:
 
 
 def check_fips_integer(cust: DataFrame) -> DataFrame:
-    """County codes that are not integers; an integer column passes without a scan."""
-    if isinstance(cust.schema["county_fips"].dataType, T.IntegerType):
-        return cust.sparkSession.createDataFrame([], _OUT)
-    code = F.col("county_fips")
-    return _count_bad(
-        cust, "integer_fips", "cust", {"county_fips": code.isNotNull() & code.try_cast("int").isNull()}
+    """County codes that are not integers.
+
+    A column of any other type than an integer one is one ``integer_fips_type`` row, whatever it holds;
+    ``integer_fips`` counts its values that are no whole number.  An integer column passes without a scan.
+    """
+    spark = cust.sparkSession
+    if "county_fips" not in cust.columns:
+        return spark.createDataFrame([], _OUT)
+    kind = cust.schema["county_fips"].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return spark.createDataFrame([], _OUT)
+    code = F.col("county_fips").try_cast("double")
+    whole = code.isNotNull() & (code == F.floor(code)) & (F.abs(code) <= 2147483647)
+    return spark.createDataFrame([("integer_fips_type", "cust", "county_fips", 1)], _OUT).unionByName(
+        _count_bad(cust, "integer_fips", "cust", {"county_fips": F.col("county_fips").isNotNull() & ~F.coalesce(whole, F.lit(False))})
     )
 
 
 def data_check(
-    cust: DataFrame, lic: DataFrame, sale: DataFrame, max_year: int, min_year: int = S.FIRST_SALE_YEAR
+    cust: DataFrame, lic: DataFrame, sale: DataFrame, max_year: int, min_year: int = S.FIRST_SALE_YEAR, **allowed
 ) -> DataFrame:
-    """Every check over the three tables."""
+    """Every check over the three tables, each on the columns that exist; ``allowed`` as in ``check_allowed_values``."""
     absent = reduce(
         DataFrame.unionByName,
         [
@@ -129,7 +159,7 @@ def data_check(
         DataFrame.unionByName,
         [
             absent,
-            check_allowed_values(cust, lic, sale, max_year, min_year),
+            check_allowed_values(cust, lic, sale, max_year, min_year, **allowed),
             check_foreign_keys(cust, lic, sale),
             check_primary_keys(cust, lic),
             check_fips_integer(cust),

@@ -42,20 +42,30 @@ def _county_rows(dashboard: DataFrame, county_census: DataFrame) -> DataFrame:
 
 
 def join_county_map(dashboard: DataFrame, county_map: DataFrame, county_census: DataFrame) -> DataFrame:
-    """County rows of the dashboard with code and outline, one row per outline vertex.
+    """The dashboard with ``county_fips`` and ``outline`` on its county rows; one row per dashboard row.
 
-    The census table links county names to codes, which link to outlines; rows without either stay,
-    with NULLs.  Segments are lower case in the result.  The other segments need no join: filter the
-    dashboard.
+    ``outline`` is the array of a county's vertices in drawing order; whoever draws explodes it.  The
+    census table links county names to codes, which link to outlines.  Rows of other segments, and
+    counties without either, have NULLs.  Segments are lower case in the result.
     """
-    outlines = county_map.select("county_fips", "seq", "long", "lat")
+    census = county_census.select(F.col("county").alias("category"), F.lit("county").alias("segment"), "county_fips")
     return (
-        _county_rows(dashboard, county_census)
-        .join(outlines, "county_fips", "left")
-        .withColumn("segment", F.lower("segment"))
+        dashboard.withColumn("segment", F.lower("segment"))
+        .join(census, ["segment", "category"], "left")
+        .join(county_outlines(county_map), "county_fips", "left")
+        .select(*dashboard.columns, "county_fips", "outline")
     )
 
 
+def county_outlines(county_map: DataFrame) -> DataFrame:
+    """One row per county: ``county_fips`` and ``outline``, its vertices ``seq, long, lat`` in order.
+
+    An outline has some hundred vertices, which bounds the array.
+    """
+    vertex = F.struct("seq", "long", "lat")
+    return county_map.groupBy("county_fips").agg(F.sort_array(F.collect_list(vertex)).alias("outline"))
+
+
 def county_map_missing(dashboard: DataFrame, county_map: DataFrame, county_census: DataFrame) -> DataFrame:
     """QA row: county rows without a code, and distinct codes without an outline."""
     drawn = county_map.select("county_fips").distinct().withColumn("_drawn", F.lit(True))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldbook.functions import age_category, label_res, label_sex, month_to_quarter
-from fieldbook.functions.ranking import RANK_KEY, duration_of, month_of, res_of
+from fieldbook.functions.ranking import RANK_KEY, duration_of, res_of
 from fieldbook.schemas import AGE_BREAKS, R3_BLIND_YEARS
 
 
@@ -20,18 +20,19 @@ def rank_sale(
 ) -> DataFrame:
     """One sale per customer-year: the highest ``rank_var``, then earliest month, then lowest license id.
 
-    NULL ranks last; in the short form a missing or zero duration counts as one year.  ``first_month`` replaces the month by the earliest of that customer-year.
-    An aggregation, so it combines before the shuffle.  The license id only settles which id is
-    reported; without it the default ranking fits one long and needs no sort.
+    NULL ranks last and is kept.  ``first_month`` replaces the month by the earliest of that
+    customer-year.  An aggregation, so it combines before the shuffle.  The license id only settles
+    which id is reported; without it and with the first month, the default ranking fits one long and
+    needs no sort.
     """
     ids = [*keys, "cust_id", "year"]
-    if not with_lic_id and tuple(rank_var) == ("duration", "res"):
+    if not with_lic_id and first_month and tuple(rank_var) == ("duration", "res"):
         best = sale.groupBy(*ids).agg(F.max(F.expr(RANK_KEY)).alias("best"), F.min("month").alias("first"))
         return best.selectExpr(
             *ids,
             f"{duration_of('best')} as duration",
             f"{res_of('best')} as res",
-            "first as month" if first_month else f"{month_of('best')} as month",
+            "first as month",
         )
     order = F.struct(*rank_var, (-F.col("month")).alias("m"), (-F.col("lic_id")).alias("l"))
     best = sale.groupBy(*ids).agg(F.max(order).alias("best"), F.min("month").alias("first"))
@@ -48,14 +49,16 @@ def make_history(
     """Carry each ranked sale forward over the years it covers.
 
     ``duration_run`` is the longest remaining duration; ``carry_vars`` come from the latest sale
-    covering the year.  One ``max_by`` per variable keeps this a hash aggregation; ranking left one
-    sale per year, so the latest is unique.
+    covering the year.  Sales outside ``yrs`` do not count.  A missing duration, or one below 1, covers
+    one year.  One ``max_by`` per variable keeps this a hash aggregation; ranking left one sale per
+    year, so the latest is unique.
     """
+    yrs = list(yrs)
     last = max(yrs)
     duration = F.greatest(F.coalesce("duration", F.lit(1)), F.lit(1))
     ids = [*keys, "cust_id"]
     cover = (
-        ranked.filter(F.col("year") <= last)
+        ranked.filter(F.col("year").isin(*yrs))
         .select(
             *ids,
             F.col("year").alias("src"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from fieldbook.functions import normalize_name
+from fieldbook.schemas import RES_LABELS
 
 
 @dataclass(frozen=True)
@@ -15,13 +16,22 @@ class PermissionRule:
     """License types with ``column`` in ``values`` form the permission.
 
     ``parent`` names the permission a privilege rate is measured against; without one the rate is
-    measured against population.
+    measured against population.  Both names are held as they are stored, with underscores for spaces.
+    ``res_type`` limits its history to residents or nonresidents; monthly sales are not limited.
     """
 
     name: str
     column: str
     values: tuple[str, ...]
     parent: str | None = None
+    res_type: str | None = None
+
+    def __post_init__(self):
+        object.__setattr__(self, "name", normalize_name(self.name))
+        if self.parent is not None:
+            object.__setattr__(self, "parent", normalize_name(self.parent))
+        if self.res_type not in (None, *RES_LABELS.values()):
+            raise ValueError(f"res_type is none of {tuple(RES_LABELS.values())}: {self.res_type}")
 
     def matches(self) -> Column:
         return F.col(self.column).isin(*self.values)
@@ -34,7 +44,7 @@ def pick_licenses(lic: DataFrame, rule: PermissionRule) -> DataFrame:
 
 def permission_licenses(lic: DataFrame, rules: Sequence[PermissionRule]) -> DataFrame:
     """License types tagged with each permission they belong to, in one pass over ``lic``."""
-    tags = [F.when(rule.matches(), normalize_name(rule.name)) for rule in rules]
+    tags = [F.when(rule.matches(), rule.name) for rule in rules]
     return lic.withColumn("permission", F.explode(F.array_compact(F.array(*tags))))
 
 

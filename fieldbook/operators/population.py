@@ -59,7 +59,8 @@ def growth_rate(pop: DataFrame) -> DataFrame:
     """Mean year-over-year ratio of total population, as one row with ``last_year`` and ``growth``.
 
     Totals are one row per census year, so the ordered list below has a handful of entries.  Gaps
-    between years are ignored, and a single year gives a NULL rate.
+    between years are ignored, and a single year gives a NULL rate.  No population at all gives NULL in
+    both columns, which ``extrapolation_check`` shows.
     """
     totals = pop.groupBy("year").agg(strict_sum(F.col("pop")).alias("total"))
     ordered = totals.agg(F.sort_array(F.collect_list(F.struct("year", "total"))).alias("t"))
@@ -67,7 +68,7 @@ def growth_rate(pop: DataFrame) -> DataFrame:
     known = F.filter(ratios, lambda r: r.isNotNull())
     total = F.aggregate(known, F.lit(0.0), lambda acc, r: acc + r)
     return ordered.select(
-        F.expr("element_at(t, -1).year").alias("last_year"),
+        F.expr("try_element_at(t, -1).year").alias("last_year"),
         F.try_divide(total, F.size(known).cast("double")).alias("growth"),
     )
 
@@ -97,7 +98,8 @@ def extrapolate_pop(pop: DataFrame, yrs: Iterable[int]) -> DataFrame:
 def extrapolation_check(pop: DataFrame, yrs: Iterable[int]) -> DataFrame:
     """One QA row: last census year, growth, and how many years have to be extrapolated."""
     ahead = F.filter(F.array(*map(F.lit, sorted(yrs))), lambda y: y > F.col("last_year"))
-    return growth_rate(pop).withColumn("n_extrapolated", F.size(ahead))
+    known = F.when(F.col("last_year").isNotNull(), F.size(ahead))
+    return growth_rate(pop).withColumn("n_extrapolated", F.coalesce(known, F.lit(len(set(yrs)))))
 
 
 def prep_pop(pop: DataFrame, yrs: Iterable[int]) -> DataFrame:

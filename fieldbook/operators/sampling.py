@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterable
 
-from fieldbook.session import stage
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _PREFIX = 4  # hex digits: 65,536 buckets
 
@@ -54,13 +54,15 @@ def sample_exact(customers: DataFrame, pct: float = 10, seed: int = 42) -> DataF
     return whole.unionByName(partial)
 
 
-def load_cust_samp(history: DataFrame, pct: float = 10, seed: int = 42, exact: bool = True) -> DataFrame:
-    """Sample of the customers in a permission's history.
+def load_cust_samp(
+    history: DataFrame, pct: float = 10, seed: int = 42, exact: bool = True, yrs: Iterable[int] | None = None
+) -> DataFrame:
+    """Sample of the customers in a permission's history, of the years ``yrs`` if given.
 
-    The exact form reads the customers for the counts and again for the cut, so their ids are stored
-    first and history is read once.
+    Lazy.  The exact form reads the customers for the counts and again for the cut: ``history`` should
+    be a stored table.
     """
+    if yrs is not None:
+        history = history.filter(F.col("year").isin(*yrs))
     customers = history.select("cust_id").distinct()
-    if exact:
-        return sample_exact(stage(customers, "customers"), pct, seed)
-    return sample_by_hash(customers, pct, seed)
+    return sample_exact(customers, pct, seed) if exact else sample_by_hash(customers, pct, seed)

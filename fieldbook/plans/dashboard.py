@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldbook.functions import month_to_quarter
+from fieldbook.functions import label_res, month_to_quarter
 from fieldbook.operators import dashboard as D
 from fieldbook.operators import history as H
 from fieldbook.operators import segments as G
 from fieldbook.operators.permissions import PermissionRule, sale_groups
+from fieldbook.schemas import SEGMENTS
 
 KEYS = ("permission", "select_quarter")
 
@@ -60,10 +61,18 @@ def dashboard_metrics(
     pop_county: DataFrame,
     rules: Sequence[PermissionRule],
     dashboard_yrs: Sequence[int],
+    segs: Sequence[str] = SEGMENTS,
 ) -> DataFrame:
-    """Participants, recruits, churn and rates from recoded history expanded by ``select_quarter``."""
+    """Participants, recruits, churn and rates from recoded history expanded by ``select_quarter``.
+
+    A permission for nonresidents has no county rows and no rate over population.
+    """
+    if "res" not in segs:
+        raise ValueError("segment 'res' is needed to scale resident counts")
     parents = {rule.name: rule.parent for rule in rules if rule.parent}
-    measures = G.segment_measures(G.segment_counts(history, KEYS, counties=counties), KEYS)
+    away = [rule.name for rule in rules if rule.res_type == G.NONRESIDENT]
+    measures = G.segment_measures(G.segment_counts(history, KEYS, segs, counties=counties), KEYS)
+    measures = measures.filter(~(F.col("permission").isin(*away) & (F.col("segment") == "county")))
     measures = G.parent_participants(measures, parents, KEYS).join(
         G.pop_segments(pop_county), ["segment", "category", "year"], "left"
     )
@@ -71,7 +80,9 @@ def dashboard_metrics(
     rate = F.when(privilege, F.try_divide("participants", "parent").cast("double")).otherwise(
         F.try_divide("residents", "pop").cast("double")
     )
-    has_rate = F.when(privilege, F.col("participants").isNotNull()).otherwise(F.col("residents").isNotNull())
+    has_rate = F.when(privilege, F.col("participants").isNotNull()).otherwise(
+        F.col("residents").isNotNull() & ~F.col("permission").isin(*away)
+    )
     return G.metric_rows(measures, KEYS, dashboard_yrs, rate, has_rate, ~privilege)
 
 
@@ -84,6 +95,14 @@ def recoded_history(
     return H.enrich_history(history, cust, counties).transform(H.recode_history, to_quarter)
 
 
+def _of_residency(limits: Mapping[str, str], res: Column) -> Column:
+    """Whether a row counts for its permission; without a limit every row does, NULL residency included."""
+    keep = F.lit(True)
+    for name, res_type in limits.items():
+        keep = F.when(F.col("permission") == name, F.coalesce(res == res_type, F.lit(False))).otherwise(keep)
+    return keep
+
+
 def dashboard_all(
     history: DataFrame,
     cust: DataFrame,
@@ -97,19 +116,21 @@ def dashboard_all(
     select_quarters: Sequence[int],
     dashboard_yrs: Sequence[int],
     to_quarter: Callable[[Column], Column] = month_to_quarter,
+    segs: Sequence[str] = SEGMENTS,
 ) -> DataFrame:
     """The complete dashboard table.
 
     ``history`` should be a stored table, best with ``next_month``: it feeds the metrics and the recruit
-    months.  Sales are
-    limited to the dashboard years and the one before; sales without a customer count once per month.
+    months.  Monthly rows cover the years that ``sale`` has, so the caller loads the years to show;
+    sales without a customer count once per month.  A permission with a ``res_type`` counts history of
+    that residency only, after lapse was worked out on all of it.
     """
+    limits = {rule.name: rule.res_type for rule in rules if rule.res_type}
     expanded = recoded_history(history, cust, to_quarter=to_quarter).transform(
         H.expand_quarters, quarter, select_quarters, yrs, ("permission",), to_quarter
     )
-    metrics = dashboard_metrics(expanded, counties, pop_county, rules, dashboard_yrs)
-    month_years = [min(dashboard_yrs) - 1, *sorted(dashboard_yrs)]
-    sale_months = sale_groups(sale.filter(F.col("year").isin(*month_years)), permission)
-    shown = history.filter(F.col("year").isin(*month_years))
-    months = month_metrics(sale_months, shown, quarter, select_quarters, yrs, to_quarter)
+    expanded = expanded.filter(_of_residency(limits, F.col("res")))
+    metrics = dashboard_metrics(expanded, counties, pop_county, rules, dashboard_yrs, segs)
+    shown = history.filter(_of_residency(limits, label_res(F.col("res"))))
+    months = month_metrics(sale_groups(sale, permission), shown, quarter, select_quarters, yrs, to_quarter)
     return D.format_metrics(metrics.unionByName(months), F.col("select_quarter"), F.col("permission"))

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldbook.functions.ranking import RANK_KEY, duration_of, res_of
+from fieldbook.functions.ranking import RANK_KEY, res_of, years_of
 from fieldbook.operators.permissions import PermissionRule, permission_licenses
 from fieldbook.schemas import R3_BLIND_YEARS
 
@@ -36,7 +36,7 @@ def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool =
     )
 
     # last year covered by the sale of each year, and what that sale hands on
-    ends = [f"{y} - 1 + {duration_of(f'best_{y}')} as end_{y}" for y in yrs]
+    ends = [f"{y} - 1 + {years_of(f'best_{y}')} as end_{y}" for y in yrs]
     carries = [f"struct(month_{y} as month, {res_of(f'best_{y}')} as res) as carry_{y}" for y in yrs]
     covered = slots.selectExpr("permission", "cust_id", *ends, *carries)
 

@@ -1,29 +1,7 @@
-"""Table schemas and the fixed vocabulary shared by all operators."""
+"""Column lists and the fixed vocabulary shared by all operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType()}
-
-
-def _schema(spec: str) -> T.StructType:
-    fields = (item.split() for item in spec.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
-
-CUST = _schema("cust_id long, sex int, birth_year int, county_fips int")
-LIC = _schema("lic_id long, description string, type string, duration int, priv string, subtype string")
-SALE = _schema("cust_id long, lic_id long, year int, month int, res int")
-PERMISSION = _schema("permission string, lic_id long, description string")
-HISTORY = _schema(
-    "permission string, cust_id long, year int, duration_run int, lapse int, R3 string, month int, res int"
-)
-DASHBOARD = _schema(
-    "quarter int, group string, segment string, year int, category string, metric string, value double"
-)
-
 # ---- fixed values -----------------------------------------------------------------------------
 # These have to equal the published conventions for results to be comparable.
 

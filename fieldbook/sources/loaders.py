@@ -58,7 +58,7 @@ def load_lic_ids(store, group: str) -> DataFrame:
 
 
 def load_history(store, group: str, yrs: Iterable[int]) -> DataFrame:
-    """One permission's history; both filters prune partitions of a table written by ``write_history``."""
+    """One permission's history; the permission prunes partitions of a table written by ``write_history``, the year is pushed to the scan."""
     return load_table(
         store,
         "history",

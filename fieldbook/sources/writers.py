@@ -2,42 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldbook.functions import normalize_name
 
 
-def _overwrite_partitions(
-    df: DataFrame, path: str, keys: list[str], cluster: list[str], format: str = "parquet", **options
+def _replace_groups(
+    df: DataFrame, path: str, keys: dict[str, Sequence], cluster: list[str], format: str = "parquet", **options
 ) -> None:
-    """Replace only the partitions present in ``df``.
+    """Replace the partitions of the groups named in ``keys`` (column to values), those without rows included.
 
+    Partitions that get rows are overwritten; those of a named group that get none are emptied, so a
+    group written with no rows ends up with none.  Rows of groups that are not named are an error.
     The rebalance hint lets AQE split a key that holds much of the data over several files and merge
     small ones, instead of writing one file per task and partition.
     """
+    spark = df.sparkSession
+    names = list(keys)
+    groups = [dict(zip(names, values)) for values in product(*keys.values())]
+    named = F.lit(True)
+    for column, values in keys.items():
+        named = named & F.col(column).isin(*values)
+    unnamed = F.raise_error(F.concat(F.lit("row of a group that is not written: "), F.to_json(F.struct(*names)))).cast("boolean")
     (
-        df.hint("rebalance", *cluster)
+        df.filter(F.when(named, True).otherwise(unnamed))
+        .hint("rebalance", *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
-        .partitionBy(*keys)
+        .partitionBy(*names)
         .format(format)
         .save(path)
     )
-
-
-def write_history(history: DataFrame, path: str, group: str | None = None) -> None:
-    """Write history partitioned by permission.
+    filled = {tuple(row) for row in df.select(*names).distinct().collect()}  # at most the named groups
+    for group in groups:
+        if tuple(group[n] for n in names) not in filled:
+            _drop_folder(spark, "/".join([path, *(f"{n}={group[n]}" for n in names)]))
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a partition folder wherever the table is stored; nothing happens if there is none."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_history(
+    history: DataFrame,
+    path: str,
+    group: str | None = None,
+    groups: Sequence[str] | None = None,
+    lic_slct: DataFrame | None = None,
+    permission_path: str | None = None,
+) -> None:
+    """Write history partitioned by permission, and with ``lic_slct`` the permission rows along with it.
 
     With ``group`` the rows belong to that one permission; otherwise they carry a ``permission``
-    column.  A permission that is written is replaced whole, years it no longer has included; other
-    permissions stay.  Rows are clustered by year, so a year filter skips files by their statistics.
+    column and ``groups`` names the permissions written (those that occur, if it is not given).  A
+    permission that is written is replaced whole, also by no rows at all; other permissions stay.
+    ``lic_slct`` are the license types of ``group``, stored at ``permission_path``.  Rows are clustered
+    by year, so a year filter can skip files by their statistics.
     """
     if group is not None:
+        groups = [group]
         history = history.withColumn("permission", F.lit(normalize_name(group)))
     else:
         history = history.withColumn("permission", F.regexp_replace("permission", " ", "_"))
-    _overwrite_partitions(history, path, ["permission"], ["permission", "year"])
+        if groups is None:
+            groups = [row[0] for row in history.select("permission").distinct().collect()]  # one row per permission
+    _replace_groups(history, path, {"permission": [normalize_name(g) for g in groups]}, ["permission", "year"])
+    if lic_slct is not None:
+        if group is None or permission_path is None:
+            raise ValueError("license types are written for one group, to permission_path")
+        write_permission(lic_slct, group, permission_path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "cust_id") -> None:
@@ -54,19 +94,29 @@ def permission_rows(lic_slct: DataFrame, group: str) -> DataFrame:
     return lic_slct.select(F.lit(normalize_name(group)).alias("permission"), "lic_id", "description")
 
 
-def upsert_permission(new: DataFrame, old: DataFrame) -> DataFrame:
-    """``new`` replaces every permission it mentions; the other rows of ``old`` stay."""
-    return new.unionByName(old.join(new.select("permission").distinct(), "permission", "left_anti"))
+def upsert_permission(new: DataFrame, old: DataFrame, groups: Sequence[str] | None = None) -> DataFrame:
+    """``new`` replaces the permissions in ``groups`` (those it mentions, if not given); the other rows of ``old`` stay."""
+    if groups is None:
+        return new.unionByName(old.join(new.select("permission").distinct(), "permission", "left_anti"))
+    return new.unionByName(old.filter(~F.col("permission").isin(*map(normalize_name, groups))))
 
 
 def write_permission(lic_slct: DataFrame, group: str, path: str) -> None:
-    """Replace one permission's rows in the stored table."""
-    _overwrite_partitions(permission_rows(lic_slct, group), path, ["permission"], ["permission"])
+    """Replace one permission's rows in the stored table, also by none."""
+    _replace_groups(permission_rows(lic_slct, group), path, {"permission": [normalize_name(group)]}, ["permission"])
 
 
-def write_dash(dash: DataFrame, outdir: str) -> None:
-    """Dashboard rows as csv with a header, one folder per group and quarter."""
-    _overwrite_partitions(dash, outdir, ["group", "quarter"], ["group", "quarter"], format="csv", header="true")
+def write_dash(
+    dash: DataFrame, outdir: str, groups: Sequence[str] | None = None, quarters: Sequence[int] | None = None
+) -> None:
+    """Dashboard rows as csv with a header, one folder per group and quarter.
+
+    ``groups`` and ``quarters`` name what is written; a combination without rows ends up empty.  What
+    is not given are those that occur.
+    """
+    present = {c: [r[0] for r in dash.select(c).distinct().collect()] for c, given in (("group", groups), ("quarter", quarters)) if given is None}
+    keys = {"group": groups or present.get("group", []), "quarter": quarters or present.get("quarter", [])}
+    _replace_groups(dash, outdir, keys, ["group", "quarter"], format="csv", header="true")
 
 
 def remove_table(spark: SparkSession, table_name: str, database: str = "default") -> None:

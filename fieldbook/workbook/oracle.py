@@ -6,11 +6,20 @@ statement reaches.
 
 from __future__ import annotations
 
-from fieldbook.schemas import (
-    ACS_AGE_UPPER, SEGMENT_LABELS, SEGMENTS, YEAR_CHANGE_PARTICIPANTS, YEAR_CHANGE_RECRUITS, acs_age_label,
-)
-
-_AGES = ", ".join(f"({a}, '{acs_age_label(a)}')" for a in range(ACS_AGE_UPPER[-1] + 1))
+# ---- fixed values, written out here so that a wrong one in the package shows up as a difference
+SEGMENTS = ("tot", "res", "sex", "agecat", "county")
+SEGMENT_LABELS = {"tot": "All", "res": "Residency", "sex": "Gender", "agecat": "Age", "county": "County", "month": "month"}
+YEAR_CHANGE_PARTICIPANTS = {"tot": 20, "res": 35, "sex": 35, "agecat": 35, "county": 70}
+YEAR_CHANGE_RECRUITS = {"tot": 30, "res": 45, "sex": 45, "agecat": 45, "county": 150}
+_CENSUS_GROUPS = """
+  (0, 4, 'Under 5 years'), (5, 9, '5 to 9 years'), (10, 14, '10 to 14 years'), (15, 17, '15 to 17 years'),
+  (18, 19, '18 and 19 years'), (20, 20, '20 years'), (21, 21, '21 years'), (22, 24, '22 to 24 years'),
+  (25, 29, '25 to 29 years'), (30, 34, '30 to 34 years'), (35, 39, '35 to 39 years'), (40, 44, '40 to 44 years'),
+  (45, 49, '45 to 49 years'), (50, 54, '50 to 54 years'), (55, 59, '55 to 59 years'), (60, 61, '60 and 61 years'),
+  (62, 64, '62 to 64 years'), (65, 66, '65 and 66 years'), (67, 69, '67 to 69 years'), (70, 74, '70 to 74 years'),
+  (75, 79, '75 to 79 years'), (80, 84, '80 to 84 years'), (85, 100, '85 years and over')
+"""
+_AGES = f"SELECT unnest(range(low, high + 1)), label FROM (VALUES {_CENSUS_GROUPS}) g(low, high, label)"
 
 TABLES = f"""
 cust AS (
@@ -54,7 +63,7 @@ age_map AS (
   SELECT CAST(age_year AS INTEGER) AS age_year, age_acs,
     CAST(CASE WHEN age_year < 18 THEN 1 WHEN age_year < 25 THEN 2 WHEN age_year < 35 THEN 3 WHEN age_year < 45 THEN 4
       WHEN age_year < 55 THEN 5 WHEN age_year < 65 THEN 6 ELSE 7 END AS INTEGER) AS age
-  FROM (VALUES {_AGES}) v(age_year, age_acs)),
+  FROM ({_AGES}) v(age_year, age_acs)),
 pop_acs AS (
   SELECT CASE WHEN c_nationkey < 22 THEN 'IA' ELSE 'WI' END AS state_abbrev, c.county_fips,
     CAST(y.year AS INTEGER) AS year, c.sex, m.age, m.age_acs, CAST(sum(100 + c.cust_id % 50) AS BIGINT) AS pop
@@ -335,6 +344,9 @@ ORACLE["county_map_dive"] = _q("SELECT fips, county, long, lat, seq FROM county_
 # ---- sinks
 ORACLE["history_all"] = _h("SELECT * FROM history")
 ORACLE["write_history_roundtrip"] = ORACLE["history_all"]
+ORACLE["write_history_empty"] = _h("SELECT * FROM history WHERE permission <> 'deer'")
+ORACLE["permission_upsert_empty"] = _q("SELECT permission, lic_id, description FROM permission WHERE permission <> 'trout'")
+ORACLE["remove_table"] = _q("SELECT county_fips, county, false AS still_there FROM counties")
 ORACLE["permission_upsert"] = _q("""
 SELECT * FROM permission WHERE permission NOT IN ('trout', 'ice_fishing')
 UNION ALL SELECT name, lic_id, description FROM lic, (VALUES ('trout'), ('ice_fishing')) v(name) WHERE type IN ('fish', 'combo')""")
@@ -368,7 +380,29 @@ SELECT "check", "table", "column", n_bad FROM (
 WHERE n_bad > 0""")
 ORACLE["check_fips_integer"] = _q("""
 SELECT 'integer_fips' AS "check", 'cust' AS "table", 'county_fips' AS "column", count(*) AS n_bad
-FROM cust WHERE county_fips IS NULL HAVING count(*) > 0""")
+FROM cust WHERE county_fips IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'integer_fips_type', 'cust', 'county_fips', 1""")
+ORACLE["data_check"] = _q("""
+SELECT "check", "table", "column", n_bad FROM (
+  SELECT 'required_column' AS "check", 'cust' AS "table", 'sex' AS "column", 1 AS n_bad
+  UNION ALL SELECT 'allowed_values', 'cust', 'birth_year', count(*) FROM cust WHERE birth_year NOT BETWEEN 1870 AND 2001
+  UNION ALL SELECT 'allowed_values', 'lic', 'type', count(*) FROM broken WHERE coalesce(type, '') NOT IN ('fish', 'hunt', 'combo', 'trap', 'other')
+  UNION ALL SELECT 'allowed_values', 'lic', 'duration', count(*) FROM broken WHERE coalesce(duration, 0) NOT BETWEEN 1 AND 99
+  UNION ALL SELECT 'allowed_values', 'sale', 'year', count(*) FROM sale WHERE coalesce(year, 0) NOT BETWEEN 2000 AND 2001
+  UNION ALL SELECT 'allowed_values', 'sale', 'month', count(*) FROM sale WHERE coalesce(month - 1, -1) NOT BETWEEN 0 AND 15
+  UNION ALL SELECT 'allowed_values', 'sale', 'res', count(*) FROM sale WHERE res <> 1
+  UNION ALL SELECT 'foreign_key', 'sale', 'cust_id', count(*) FROM sale WHERE cust_id IS NOT NULL AND cust_id NOT IN (SELECT cust_id FROM cust)
+  UNION ALL SELECT 'foreign_key', 'sale', 'lic_id', count(*) FROM sale WHERE lic_id NOT IN (SELECT lic_id FROM broken)
+  UNION ALL SELECT 'duplicate_key', 'cust', 'cust_id', count(cust_id) - count(DISTINCT cust_id) FROM cust
+  UNION ALL SELECT 'null_key', 'cust', 'cust_id', count(*) - count(cust_id) FROM cust
+  UNION ALL SELECT 'duplicate_key', 'lic', 'lic_id', count(lic_id) - count(DISTINCT lic_id) FROM broken
+  UNION ALL SELECT 'null_key', 'lic', 'lic_id', count(*) - count(lic_id) FROM broken
+  UNION ALL SELECT 'integer_fips_type', 'cust', 'county_fips', 1
+  UNION ALL SELECT 'integer_fips', 'cust', 'county_fips', count(*) FROM cust WHERE county_fips IS NULL)
+WHERE n_bad > 0""", """
+broken AS (
+  SELECT lic_id, CASE WHEN type <> 'trap' THEN type END AS type, duration FROM lic WHERE lic_id % 7 <> 0
+  UNION ALL SELECT lic_id, CASE WHEN type <> 'trap' THEN type END, duration FROM lic WHERE lic_id % 7 <> 0 AND lic_id % 10 = 1)""")
 
 # ---- filters, projections, scalar functions
 ORACLE["sale_group"] = _q("""
@@ -415,9 +449,11 @@ FROM cust c LEFT JOIN (
   SELECT 50000 + c_nationkey * 10 + cust_id % 7 AS zip, min(county_fips) AS fips FROM cust WHERE county_fips IS NOT NULL GROUP BY 1) z
   ON z.zip = 50000 + c_nationkey * 10 + c.cust_id % 7""")
 ORACLE["join_county_map"] = _dash("""
-SELECT d.quarter, d."group", 'county' AS segment, d.year, d.category, d.metric, d.value, n.county_fips, o.seq, o.long, o.lat
-FROM dash d LEFT JOIN counties n ON n.county = d.category LEFT JOIN county_map o ON o.county_fips = n.county_fips
-WHERE d.segment = 'County'""")
+SELECT d.quarter, d."group", lower(d.segment) AS segment, d.year, d.category, d.metric, d.value, n.county_fips,
+  CAST(o.n AS INTEGER) AS n_vertices, o.west, o.north
+FROM dash d LEFT JOIN counties n ON n.county = d.category AND d.segment = 'County'
+LEFT JOIN (SELECT county_fips, count(*) AS n, min(long) AS west, max(lat) AS north FROM county_map GROUP BY county_fips) o
+  ON o.county_fips = n.county_fips""")
 ORACLE["county_map_missing"] = _dash("""
 SELECT count(*) FILTER (n.county_fips IS NULL) AS rows_without_fips,
   count(DISTINCT n.county_fips) FILTER (n.county_fips NOT IN (SELECT county_fips FROM county_map)) AS fips_without_outline
@@ -491,6 +527,15 @@ WHERE permission = 'deer' AND sq = 2 AND EXISTS (
 GROUP BY ALL""")
 ORACLE["calc_metrics"] = _metrics_of("hunt", 4)
 ORACLE["dashboard_all"] = _dash("SELECT * FROM dash")
+ORACLE["dashboard_spaced_names"] = _dash("""
+SELECT quarter, CASE "group" WHEN 'hunt' THEN 'all_hunt' ELSE 'any_deer' END AS "group", segment, year, category, metric, value
+FROM dash WHERE "group" IN ('hunt', 'deer')""")
+ORACLE["dashboard_all_residency"] = " UNION ALL ".join(
+    f"""SELECT CAST({sq} AS INTEGER) AS quarter, '{name}' AS "group", {_LABEL} AS segment, year, category, metric, value
+FROM ({_metrics_of("hunt", sq, res)})"""
+    for name, res in (("home_hunt", "Resident"), ("away_hunt", "Nonresident"))
+    for sq in (2, 4)
+)
 ORACLE["dashboard"] = _dash("""SELECT * FROM dash WHERE "group" = 'deer' AND quarter = 2""")
 ORACLE["write_dash_roundtrip"] = ORACLE["dashboard_all"]
 ORACLE["fill_missing_months"] = _dash("""

@@ -28,6 +28,17 @@ PERM = ("permission",)
 RULE = {rule.name: rule for rule in RULES}
 
 
+HUNTING = ("hunt", "combo", "trap")
+SPACED_RULES = (
+    P.PermissionRule("all hunt", "type", HUNTING),
+    P.PermissionRule("any deer", "priv", ("deer",), parent="all hunt"),
+)
+RESIDENCY_RULES = (
+    P.PermissionRule("home_hunt", "type", HUNTING, res_type="Resident"),
+    P.PermissionRule("away_hunt", "type", HUNTING, res_type="Nonresident"),
+)
+
+
 class Desk:
     """Frames that queries share; nothing runs until a query needs it."""
 
@@ -125,6 +136,15 @@ class Desk:
         )
         return tidy(out)
 
+    def dashboard_of(self, rules) -> DataFrame:
+        """The dashboard of other permissions."""
+        history = stage(build_history(self.sale, self.lic, rules, YEARS, look_ahead=True), "history")
+        out = plan.dashboard_all(
+            history, self.cust, self.counties, self.pop, L.load_sale(self.store, MONTH_YEARS),
+            P.permission_table(self.lic, rules), rules, YEARS, CURRENT_QUARTER, SELECT_QUARTERS, DASHBOARD_YEARS,
+        )
+        return tidy(out)
+
     @cached_property
     def stored_dashboard(self) -> DataFrame:
         return stage(self.dashboard_all(), "dashboard")
@@ -158,6 +178,28 @@ def _load_history(d: Desk) -> DataFrame:
     return L.load_history(FileStore(d.spark, path), "deer", DASHBOARD_YEARS)
 
 
+def _history_emptied(d: Desk) -> DataFrame:
+    """Write all permissions, rewrite one with no rows, read back."""
+    root = fresh_path(d.spark, "emptied")
+    stored = d.stored_history
+    writers.write_history(stored, f"{root}/history")
+    writers.write_history(stored.filter("permission = 'none'").drop("permission"), f"{root}/history", "deer")
+    return load_table(FileStore(d.spark, root), "history").select(*stored.columns)
+
+
+def _permission_emptied(d: Desk) -> DataFrame:
+    """Trout loses all its license types."""
+    return writers.upsert_permission(d.permission.limit(0), d.permission, ["trout"])
+
+
+def _removed(d: Desk) -> DataFrame:
+    """Counties, and whether a catalog table of them is still there after its removal."""
+    table = fresh_path(d.spark, "counties").rpartition("/")[2].replace("-", "_")
+    d.counties.write.saveAsTable(table)
+    writers.remove_table(d.spark, table)
+    return d.counties.withColumn("still_there", F.lit(d.spark.catalog.tableExists(table)))
+
+
 def _permission_upsert(d: Desk) -> DataFrame:
     """Trout gains every fish license, ice fishing is new."""
     fish = P.pick_licenses(d.lic, RULE["fish"])
@@ -191,6 +233,15 @@ def _fips_integer(d: Desk) -> DataFrame:
     return checks.check_fips_integer(d.cust.withColumn("county_fips", text))
 
 
+def _data_check(d: Desk) -> DataFrame:
+    """Every check on a broken copy of the tables."""
+    cust = d.cust.drop("sex").withColumn("county_fips", F.coalesce(F.col("county_fips") + 0.0, F.lit(0.5)))
+    lic = d.lic.filter("lic_id % 7 <> 0")
+    lic = lic.unionByName(lic.filter("lic_id % 10 = 1")).withColumn("type", F.when(F.col("type") != "trap", F.col("type")))
+    sale = d.sale.withColumn("month", F.col("month") - 1)
+    return checks.data_check(cust, lic, sale, max_year=2001, residencies=(1,))
+
+
 def _drop_na(d: Desk) -> DataFrame:
     return P.drop_na_custid(d.sale).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
@@ -211,6 +262,13 @@ def _county_from_zip(d: Desk) -> DataFrame:
     return geography.county_from_zip(cust, crosswalk)
 
 
+def _county_map(d: Desk) -> DataFrame:
+    """Outlines told by their number of vertices and their western and northern ends."""
+    joined = geography.join_county_map(d.stored_dashboard, d.county_map, d.counties)
+    ends = {"n_vertices": F.size("outline"), "west": F.array_min("outline.long"), "north": F.array_max("outline.lat")}
+    return joined.withColumns({k: F.when(F.col("outline").isNotNull(), v) for k, v in ends.items()}).drop("outline")
+
+
 def _permission_rules(d: Desk) -> DataFrame:
     return P.permission_table(d.lic, RULES)
 
@@ -301,7 +359,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "load_lic_ids": lambda d: L.load_lic_ids(d.store, "deer"),
     "load_history": _load_history,
     "load_license_sale": lambda d: L.load_license(d.store, MONTH_YEARS).sale,
-    "cust_sample": lambda d: sampling.load_cust_samp(d.history.filter("permission = 'all_sports'"), SAMPLE_PCT, SAMPLE_SEED),
+    "cust_sample": lambda d: sampling.load_cust_samp(d.stored_history.filter("permission = 'all_sports'"), SAMPLE_PCT, SAMPLE_SEED),
     "cust_sample_hash": lambda d: sampling.load_cust_samp(
         d.history.filter("permission = 'all_sports'"), SAMPLE_PCT, SAMPLE_SEED, exact=False
     ),
@@ -309,13 +367,17 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "county_map_dive": lambda d: L.get_county_map_dive(d.store, STATE),
     # sinks
     "write_history_roundtrip": _history_roundtrip,
+    "write_history_empty": _history_emptied,
     "permission_upsert": _permission_upsert,
+    "permission_upsert_empty": _permission_emptied,
+    "remove_table": _removed,
     "write_dash_roundtrip": _dash_roundtrip,
     # checks
     "check_allowed_values": lambda d: checks.check_allowed_values(d.cust, d.lic, d.sale, max_year=2001),
     "check_foreign_keys": _foreign_keys,
     "check_primary_keys": _primary_keys,
     "check_fips_integer": _fips_integer,
+    "data_check": _data_check,
     # filters, projections, scalar functions
     "sale_group": lambda d: P.sale_group(L.load_sale(d.store, YEARS), L.load_lic_ids(d.store, "deer")),
     "permission_rules": _permission_rules,
@@ -340,7 +402,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     # joins
     "history_enriched": lambda d: H.enrich_history(d.history, d.cust, d.counties),
     "county_from_zip": _county_from_zip,
-    "join_county_map": lambda d: geography.join_county_map(d.stored_dashboard, d.county_map, d.counties),
+    "join_county_map": _county_map,
     "county_map_missing": lambda d: geography.county_map_missing(d.stored_dashboard, d.county_map, d.counties),
     # history
     "rank_sale": lambda d: H.rank_sale(d.perm_sales, keys=PERM),
@@ -374,6 +436,8 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "calc_metrics": lambda d: d.metrics("hunt", 4),
     "dashboard": lambda d: D.format_metrics(d.metrics("deer", 2), 2, "deer"),
     "dashboard_all": lambda d: d.dashboard_all(),
+    "dashboard_spaced_names": lambda d: d.dashboard_of(SPACED_RULES),
+    "dashboard_all_residency": lambda d: d.dashboard_of(RESIDENCY_RULES),
     "fill_missing_months": lambda d: D.fill_missing_months(d.stored_dashboard),
     "qa_year_change": lambda d: D.qa_year_change(d.stored_dashboard),
     "qa_scaleup": _qa_scaleup,

@@ -41,7 +41,30 @@ def test_keys(tables):
 def test_fips(tables, spark):
     assert checks.check_fips_integer(tables[0]).count() == 0
     text = spark.createDataFrame([("19001",), ("A1",), (None,), ("x",)], "county_fips string")
-    assert rows(checks.check_fips_integer(text)) == [("integer_fips", "cust", "county_fips", 2)]
+    assert rows(checks.check_fips_integer(text)) == [
+        ("integer_fips", "cust", "county_fips", 2), ("integer_fips_type", "cust", "county_fips", 1),
+    ]
+    half = spark.createDataFrame([(19001.5,), (19001.0,), (None,)], "county_fips double")
+    assert rows(checks.check_fips_integer(half)) == [
+        ("integer_fips", "cust", "county_fips", 1), ("integer_fips_type", "cust", "county_fips", 1),
+    ]
+
+
+def test_allowed_sets_can_be_given(tables):
+    out = checks.check_allowed_values(
+        *tables, max_year=2024, types=("fish", "boat", "hunt"), months=range(-2, 17), sexes=(1, 2, 3), residencies=(0, 1, 2),
+        durations=range(0, 101), birth_years=range(1800, 2100),
+    )
+    assert rows(out.select("table", "column", "n_bad")) == [("lic", "duration", 1), ("lic", "type", 1), ("sale", "month", 1), ("sale", "year", 3)]
+
+
+def test_checks_run_on_the_columns_there_are(tables):
+    cust, lic, sale = tables
+    out = checks.data_check(cust.drop("sex", "county_fips"), lic.drop("lic_id"), sale.drop("res", "month"), max_year=2024)
+    found = {(r["check"], r["table"], r["column"]) for r in out.collect()}
+    assert {("required_column", "cust", "sex"), ("required_column", "lic", "lic_id"), ("required_column", "sale", "res")} <= found
+    assert ("allowed_values", "sale", "year") in found and ("foreign_key", "sale", "cust_id") in found
+    assert not any(c == ("allowed_values", "cust", "sex") for c in found)
 
 
 def test_data_check(tables):

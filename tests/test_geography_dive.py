@@ -42,9 +42,10 @@ def test_join_county_map(spark, outline):
     )
     census = spark.createDataFrame([(19001, "Adair"), (19003, "Boone"), (19005, "Cass")], "county_fips int, county string")
     out = geography.join_county_map(dash, outline, census)
-    assert rows(out.groupBy("segment", "category", "county_fips").agg(F.count("seq").alias("n"))) == [
-        ("county", "Adair", 19001, 3), ("county", "Cass", 19005, 0), ("county", "Nowhere", None, 0),
+    assert rows(out.select("segment", "category", "county_fips", F.coalesce(F.size("outline"), F.lit(-1)))) == [
+        ("county", "Adair", 19001, 3), ("county", "Cass", 19005, -1), ("county", "Nowhere", None, -1), ("gender", "Male", None, -1),
     ]
+    assert [v.seq for v in out.filter("county_fips = 19001").first().outline] == [1, 2, 3]
     assert rows(geography.county_map_missing(dash, outline, census)) == [(1, 1)]
 
 

@@ -37,7 +37,32 @@ def test_rank_in_one_long_equals_struct(spark, first_month):
     short = H.rank_sale(frame, first_month=first_month, with_lic_id=False)
     full = H.rank_sale(frame, first_month=first_month).drop("lic_id")
     assert rows(short) == rows(full.select(short.columns))
-    assert "SortAggregate" not in short._jdf.queryExecution().executedPlan().toString()
+    if first_month:
+        assert "SortAggregate" not in short._jdf.queryExecution().executedPlan().toString()
+
+
+def test_both_forms_of_history_agree_on_odd_sales(spark):
+    """Residency codes beyond 0 and 1, missing and zero durations, and sales before the years asked for."""
+    odd = [(1, 1, 1997, 3, 1, 3), (1, 2, 2001, 4, 2, None), (1, 3, 2001, 5, 0, 0), (2, 1, 2000, 6, 2, 0), (2, 2, 2000, 7, 1, None)]
+    odd += [(3, 1, 1999, 1, None, 99), (3, 2, 2002, 2, -1, 2), (4, 1, 2001, None, 3, -2), (4, 2, 2001, 1, 1, 1)]
+    odd = [(900 + c, *rest) for c, *rest in odd]
+    frame = spark.createDataFrame(random_sales(8, list(range(1998, 2004))) + odd, SALE).withColumn("permission", F.lit("p"))
+    yrs, keys = range(2000, 2004), ("permission",)
+    columns = ["permission", "cust_id", "year", "duration_run", "month", "res"]
+    fused = history_from_sales(frame, yrs).select(*columns)
+    for with_id in (False, True):
+        steps = H.make_history(H.rank_sale(frame, keys=keys, with_lic_id=with_id), yrs, keys=keys).select(*columns)
+        assert rows(steps) == rows(fused)
+    assert {r.year for r in fused.collect()} <= set(yrs)
+    assert {r.res for r in fused.collect()} >= {2, -1}
+
+
+def test_lapse_after_a_cut_looks_at_the_next_row_only(spark):
+    """A three-year license followed by a late sale counts as lapsed at quarter 2; see the README on this definition."""
+    sale = spark.createDataFrame([(1, 1, 2000, 2, 1, 3), (1, 1, 2001, 11, 1, 1)], SALE).withColumn("permission", F.lit("p"))
+    history = history_from_sales(sale, range(2000, 2003)).withColumn("quarter", H.month_to_quarter(F.col("month")))
+    cut = H.quarterly_lapse(H.quarterly_filter(history, 4, 2, range(2000, 2003)), 2, range(2000, 2003), ("permission",))
+    assert {(r.year, r.lapse) for r in cut.collect()} == {(2000, 1), (2002, None)}
 
 
 def test_make_history_cover(spark):

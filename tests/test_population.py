@@ -62,3 +62,10 @@ def test_prep_and_est_pop(spark):
     ]
     assert rows(N.est_pop(ready, "tot")) == [(2000, 76.0), (2001, 76.0)]
     assert rows(N.est_pop(ready, "sex").filter(F.col("year") == 2001)) == [("Female", 2001, 48.0), ("Male", 2001, 28.0)]
+
+
+def test_no_population_at_all(spark):
+    """Nothing to grow, nothing lost: rates over it are NULL, and the check says so."""
+    empty = spark.createDataFrame([], "county_fips int, year int, sex int, age int, pop long")
+    assert N.extrapolate_pop(empty, [2000, 2001]).collect() == []
+    assert [tuple(r) for r in N.extrapolation_check(empty, [2000, 2001]).collect()] == [(None, None, 2)]

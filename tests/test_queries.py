@@ -50,3 +50,18 @@ def test_recoded_history_survives_without_broadcast(spark, sf_dir):
         assert compare(spark, connect(sf_dir), name, registered()[name], ORACLE[name], sf_dir) == []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+
+
+def test_sql_is_written_without_the_package():
+    """A wrong label or threshold in the package must not be shared by the SQL it is compared with."""
+    import inspect
+
+    from fieldbook.workbook import oracle
+
+    assert not re.search(r"^\s*(from|import) fieldbook", inspect.getsource(oracle), re.M)
+
+
+def test_names_are_normalised_once():
+    from fieldbook.operators.permissions import PermissionRule
+
+    assert PermissionRule("youth deer", "type", ("x",), parent="all deer") == PermissionRule("youth_deer", "type", ("x",), parent="all_deer")

@@ -67,6 +67,28 @@ def test_write_permission(spark, folder):
     assert rows(L.load_lic_ids(store, "ice fishing")) == [(1,), (2,)]
 
 
+def test_rewrite_with_no_rows_leaves_no_rows(spark, folder):
+    store, lic = FileStore(spark, folder), spark.createDataFrame([(1, "a")], "lic_id long, description string")
+    for group in ("deer", "ice fishing"):
+        W.write_history(history(spark, [2000]), f"{folder}/history", group, lic_slct=lic, permission_path=f"{folder}/permission")
+    W.write_history(history(spark, []), f"{folder}/history", "ice fishing", lic_slct=lic.limit(0), permission_path=f"{folder}/permission")
+    assert rows(store.table("history").groupBy("permission").count()) == [("deer", 2)]
+    assert rows(store.table("permission").select("permission", "lic_id")) == [("deer", 1)]
+    both = store.table("history").filter("permission = 'none'")
+    W.write_history(both, f"{folder}/history", groups=["trout"])
+    assert rows(FileStore(spark, folder).table("history").groupBy("permission").count()) == [("deer", 2)]
+    with pytest.raises(Exception, match="not written"):
+        W.write_history(store.table("history"), f"{folder}/other", groups=["trout"])
+
+
+def test_empty_dash_group(spark, folder):
+    dash = spark.createDataFrame([(q, g, "All", 1.0) for q in (2, 4) for g in ("deer", "hunt")], "quarter int, `group` string, segment string, value double")
+    W.write_dash(dash, folder)
+    W.write_dash(dash.filter("quarter = 4 and `group` = 'deer'"), folder, groups=["deer"], quarters=[2, 4])
+    left = spark.read.option("header", True).csv(folder)
+    assert rows(left.select("group", "quarter")) == [("deer", 4), ("hunt", 2), ("hunt", 4)]
+
+
 def test_upsert_permission(spark):
     lic = spark.createDataFrame([(5, "e")], "lic_id long, description string")
     old = spark.createDataFrame([("deer", 1, "a"), ("deer", 2, "b"), ("trout", 3, "c")], "permission string, lic_id long, description string")
