@@ -70,7 +70,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> tupl
     found = None
     base = docs.select(F.xxhash64("text").alias("th"), F.octet_length("text").alias("bytes"), words(F.col("text")).alias("dw"))
     levels = sorted({max(m for m in (window, 7, 3, 1) if m <= n) for n in sizes})
-    for m, above in zip(levels, [*levels[1:], None], strict=True):
+    for m, above in zip(levels, [*levels[1:], None][: len(levels)], strict=True):
         k = (m + 1) // 2
         of_level = texts.where(F.least(F.size("iw"), F.lit(window)) >= m)
         if above:
