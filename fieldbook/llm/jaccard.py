@@ -14,8 +14,10 @@ between classes.
 
 Lists are scanned in key order.  A list's first member is compared with the others; members that the links found so
 far already put in one component need no comparison.  Lists that still hold several components go on with the next
-member, and after a few rounds with all remaining pairs of different components, so no link between components is
-lost and a group of thousands of near copies costs about one comparison a member.  Candidates are checked exactly.
+member.  What is left after these rounds, mostly groups whose members differ by a little more than a link allows, is
+joined on the rarest shingles of each set, with bounds on size and on the place of the first common shingle that
+exclude such pairs unseen.  So no link between components is lost, and a group of thousands of near copies costs about
+one comparison a member.  Candidates are checked exactly.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm import textbytes as tb
@@ -36,8 +38,8 @@ from fieldbook.session import stage
 
 #: largest set that may enumerate its subsets
 MOST_LIGHT = 24
-#: rounds with one centre a list before the remaining pairs are taken
-STAR_ROUNDS = 3
+#: rounds with one centre a list before the join on rare shingles
+STAR_ROUNDS = 2
 #: size levels grow by this factor
 LEVEL = 1.5
 #: broadcast a list of texts to fetch up to this many, shuffle beyond
@@ -270,8 +272,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             centre = left.groupBy("key").agg(F.min(F.struct("cls", "comp")).alias("c"))
             todo = left.join(centre, "key").where("comp <> c.comp").select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).distinct()
         else:
-            other = left.select("key", F.col("cls").alias("b"), F.col("comp").alias("comp_b"))
-            todo = left.join(other, "key").where("comp < comp_b").select(F.col("cls").alias("a"), "b").distinct()
+            todo = _rare_pairs(texts, left.select("cls", "comp").distinct(), one_text, k, t)
     ends = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").count()
     placed = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
     placed = placed.join(ends, "cls", "left").select("doc_id", "n_shingles", "comp", F.coalesce("count", F.lit(0)).alias("n_links"))
@@ -279,13 +280,56 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     return placed.join(least, "comp", "left").select("doc_id", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "n_links")
 
 
+def _wanted(texts: DataFrame, classes: DataFrame, one_text: DataFrame) -> DataFrame:
+    """One text (or more equal ones) of each class in question."""
+    asked = stage(classes.select("cls").distinct().join(one_text, "cls").select("th").distinct(), "asked")
+    small = asked.count() <= BROADCAST_ROWS
+    return texts.join(F.broadcast(asked) if small else asked, "th", "left_semi").select("text")
+
+
 def _check(texts: DataFrame, pairs: DataFrame, one_text: DataFrame, k: int, t: Fraction) -> DataFrame:
     """The candidate pairs that link.  Sets are made again from one text of each class in question."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(one_text, "cls").select("th").distinct()
-    asked = stage(asked, "asked")
-    small = asked.count() <= BROADCAST_ROWS
-    wanted = texts.join(F.broadcast(asked) if small else asked, "th", "left_semi")
-    blobs = wanted.select("text").mapInArrow(_blobs(k), "cls long, blob binary").dropDuplicates(["cls"])
+    wanted = _wanted(texts, pairs.select(F.explode(F.array("a", "b")).alias("cls")), one_text)
+    blobs = wanted.mapInArrow(_blobs(k), "cls long, blob binary").dropDuplicates(["cls"])
     left = pairs.join(blobs.select(F.col("cls").alias("a"), F.col("blob").alias("x")), "a")
     both = left.join(blobs.select(F.col("cls").alias("b"), F.col("blob").alias("y")), "b")
     return both.mapInArrow(_linked(t), "a long, b long")
+
+
+def _elements(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in tb.chunks(batches, "text"):
+            values, row, n, digest = _sets(batch, k)
+            _, fresh = np.unique(digest, return_index=True)
+            use = np.zeros(batch.num_rows, dtype=bool)
+            use[[i for i in fresh if int(digest[i]) not in seen]] = True
+            seen.update(digest[use].tolist())
+            keep = use[row]
+            yield pa.RecordBatch.from_arrays([pa.array(tb.signed(digest)[row[keep]]), pa.array(n[row[keep]].astype(np.int32)), pa.array(tb.signed(values[keep]))], ["cls", "n", "token"])
+
+    return run
+
+
+def _rare_pairs(texts: DataFrame, members: DataFrame, one_text: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """Candidates ``a, b`` among ``members(cls, comp)`` of different components, by prefixes of their rarest shingles.
+
+    Shingles are in order of their number of members, then hash.  Linked sets have a common shingle among the first
+    ``n - t n + 1`` of each, and from the first common one on at least as many shingles as they share.  Sets of one
+    size with that shingle at one place are told apart from others together, before single members are looked at.
+    """
+    num, den = t.numerator, t.denominator
+    elements = stage(_wanted(texts, members, one_text).mapInArrow(_elements(k), "cls long, n int, token long").distinct(), "elements")
+    often = elements.groupBy("token").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("cls").orderBy("df", "token")) - 1
+    ranked = elements.join(often, "token").withColumn("pos", place)
+    prefix = ranked.where((den * (F.col("n") - F.col("pos")) >= num * F.col("n")) & (F.col("df") > 1)).select("token", "cls", "n", "pos").join(members, "cls")
+    prefix = stage(prefix, "prefixes")
+    kinds = prefix.select("token", "n", "pos").distinct()
+    x, y = (kinds.select("token", F.col("n").alias(f"n{i}"), F.col("pos").alias(f"pos{i}")) for i in (1, 2))
+    room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    fit = (F.col("n1") <= F.col("n2")) & (den * F.col("n1") >= num * F.col("n2")) & ((den + num) * room >= num * (F.col("n1") + F.col("n2")))
+    near = x.join(y, "token").where(fit)
+    one, two = (prefix.select("token", F.col("n").alias(f"n{i}"), F.col("pos").alias(f"pos{i}"), F.col("cls").alias(c), F.col("comp").alias(f"comp{i}")) for i, c in ((1, "a"), (2, "b")))
+    pairs = near.join(one, ["token", "n1", "pos1"]).join(two, ["token", "n2", "pos2"]).where("comp1 <> comp2")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
