@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps: each node passes the least of its neighbours on to the
     others, until nothing changes.  Minima combine before the shuffle; a hub's rows are dealt by the join, which
-    AQE splits.  Each step is written to the shared folder.  An empty table gives an empty table; loops and
+    AQE splits.  Each round is written to the shared folder.  An empty table gives an empty table; loops and
     repeated links do no harm.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
@@ -30,8 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        large = stage(large.distinct(), "links")
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
         edges = stage(small.select("e.*").where("a <> b").distinct(), "links")

@@ -17,7 +17,8 @@ far already put in one component need no comparison.  Lists that still hold seve
 member.  What is left after these rounds, mostly groups whose members differ by a little more than a link allows, is
 joined on the rarest shingles of each set, with bounds on size and on the place of the first common shingle that
 exclude such pairs unseen.  So no link between components is lost, and a group of thousands of near copies costs about
-one comparison a member.  Candidates are checked exactly.
+one comparison a member.  Candidates first compare parity bitmaps: where these differ in more bits than linked sets in
+shingles, the pair is no link.  The others are checked exactly.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm import textbytes as tb
@@ -42,6 +43,8 @@ MOST_LIGHT = 24
 STAR_ROUNDS = 2
 #: size levels grow by this factor
 LEVEL = 1.5
+#: 64-bit words of a set's parity bitmap
+BITMAP = 16
 #: broadcast a list of texts to fetch up to this many, shuffle beyond
 BROADCAST_ROWS = 200_000
 
@@ -94,12 +97,27 @@ def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return values, row, n, digest
 
 
+def _bitmaps(values: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """For each row, the parity of its shingles in each of the bitmap's bits."""
+    bits = 64 * BITMAP
+    place = (tb.mix(values + np.uint64(33)) % np.uint64(bits)).astype(np.int64)
+    out = np.empty((rows, bits // 8), dtype=np.uint8)
+    cuts = np.searchsorted(row, np.arange(0, rows + 1024, 1024))
+    for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        some = min(1024, rows - 1024 * i)
+        odd = np.bincount((row[lo:hi] - 1024 * i) * bits + place[lo:hi], minlength=some * bits) & 1
+        out[1024 * i : 1024 * i + some] = np.packbits(odd.reshape(some, bits).astype(np.uint8), axis=1)
+    words = pa.array(out.ravel().view(np.int64))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows * BITMAP + 1, BITMAP, dtype=np.int32)), words)
+
+
 def _profiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tb.chunks(batches, "text"):
-            _, _, n, digest = _sets(batch, k)
+            values, row, n, digest = _sets(batch, k)
             cls = pa.array(tb.signed(digest), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n.astype(np.int64)), cls], ["doc_id", "th", "n_shingles", "cls"])
+            bits = _bitmaps(values, row, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n.astype(np.int64)), cls, bits], ["doc_id", "th", "n_shingles", "cls", "bits"])
 
     return run
 
@@ -242,7 +260,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     spark = docs.sparkSession
     t = Fraction(percent, 100)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    rows = stage(texts.mapInArrow(_profiles(k), "doc_id long, th long, n_shingles long, cls long"), "profiles")
+    rows = stage(texts.mapInArrow(_profiles(k), "doc_id long, th long, n_shingles long, cls long, bits array<bigint>"), "profiles")
     classes = rows.where("cls is not null")
     histogram = {r[0]: r[1] for r in classes.where(F.col("n_shingles") <= 4 * MOST_LIGHT).groupBy("n_shingles").count().collect()}
     keys = texts.select("text").mapInArrow(_keys(k, t, choose_boundary(histogram, t)), "key long, cls long")
@@ -250,10 +268,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     found = stage(found, "lists")
     lists = found.where("key is not null").select("key", F.col("a").alias("cls")).distinct()
     todo = found.where("key is null").select("a", "b").distinct()
-    one_text = classes.groupBy("cls").agg(F.min("th").alias("th"))
+    one_text = stage(classes.groupBy("cls").agg(F.min("th").alias("th"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits")), "classes")
     links = labels = None
     for round_ in itertools.count(1):
-        todo = stage(todo, "candidates")
+        todo = stage(_plausible(todo, one_text, t), "candidates")
         new = stage(_check(texts, todo, one_text, k, t), "checked")
         links = new if links is None else links.union(new)
         labels = components(links)
@@ -280,6 +298,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     return placed.join(least, "comp", "left").select("doc_id", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "n_links")
 
 
+def _differ_little(t: Fraction, n1: Column, n2: Column, bits1: Column, bits2: Column) -> Column:
+    """False where sizes or bitmaps show that two sets do not link: linked ones differ in at most (1 - t) / (1 + t) of their sizes' sum."""
+    num, den = t.numerator, t.denominator
+    apart = F.aggregate(F.zip_with(bits1, bits2, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda all_, one: all_ + one)
+    return (den * F.least(n1, n2) >= num * F.greatest(n1, n2)) & ((den + num) * apart <= (den - num) * (n1 + n2))
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, t: Fraction) -> DataFrame:
+    one, two = (classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    return both.where(_differ_little(t, F.col("na"), F.col("nb"), F.col("bitsa"), F.col("bitsb"))).select("a", "b")
+
+
 def _wanted(texts: DataFrame, classes: DataFrame, one_text: DataFrame) -> DataFrame:
     """One text (or more equal ones) of each class in question."""
     asked = stage(classes.select("cls").distinct().join(one_text, "cls").select("th").distinct(), "asked")
@@ -323,13 +354,15 @@ def _rare_pairs(texts: DataFrame, members: DataFrame, one_text: DataFrame, k: in
     often = elements.groupBy("token").agg(F.count("*").alias("df"))
     place = F.row_number().over(Window.partitionBy("cls").orderBy("df", "token")) - 1
     ranked = elements.join(often, "token").withColumn("pos", place)
-    prefix = ranked.where((den * (F.col("n") - F.col("pos")) >= num * F.col("n")) & (F.col("df") > 1)).select("token", "cls", "n", "pos").join(members, "cls")
+    prefix = ranked.where((den * (F.col("n") - F.col("pos")) >= num * F.col("n")) & (F.col("df") > 1)).select("token", "cls", "n", "pos")
+    prefix = prefix.join(members, "cls").join(one_text.select("cls", "bits"), "cls")
     prefix = stage(prefix, "prefixes")
     kinds = prefix.select("token", "n", "pos").distinct()
     x, y = (kinds.select("token", F.col("n").alias(f"n{i}"), F.col("pos").alias(f"pos{i}")) for i in (1, 2))
     room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
     fit = (F.col("n1") <= F.col("n2")) & (den * F.col("n1") >= num * F.col("n2")) & ((den + num) * room >= num * (F.col("n1") + F.col("n2")))
     near = x.join(y, "token").where(fit)
-    one, two = (prefix.select("token", F.col("n").alias(f"n{i}"), F.col("pos").alias(f"pos{i}"), F.col("cls").alias(c), F.col("comp").alias(f"comp{i}")) for i, c in ((1, "a"), (2, "b")))
-    pairs = near.join(one, ["token", "n1", "pos1"]).join(two, ["token", "n2", "pos2"]).where("comp1 <> comp2")
+    one, two = (prefix.select("token", F.col("n").alias(f"n{i}"), F.col("pos").alias(f"pos{i}"), F.col("cls").alias(c), F.col("comp").alias(f"comp{i}"), F.col("bits").alias(f"bits{i}")) for i, c in ((1, "a"), (2, "b")))
+    pairs = near.join(one, ["token", "n1", "pos1"]).join(two, ["token", "n2", "pos2"])
+    pairs = pairs.where((F.col("comp1") != F.col("comp2")) & _differ_little(t, F.col("n1"), F.col("n2"), F.col("bits1"), F.col("bits2")))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
