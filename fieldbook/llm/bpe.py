@@ -1,10 +1,10 @@
 """Byte-level BPE over a corpus: every distinct pre-token is encoded once.
 
 Texts are cut into pre-tokens; each block of text (a slice of one input partition) sends each of its distinct
-pre-tokens once to the task that owns the pre-token, which encodes it once for all blocks and sends the ids back.  The
-block's texts, compressed, meet its dictionary there, are cut again and put together by position.  So what is shuffled
-is compressed text and one row for each pre-token and block, not one for each occurrence: a word that is a third of all
-occurrences is one row a block.
+pre-tokens once to the task that owns the pre-token's bucket, which encodes it once for all blocks and sends the ids
+back.  The block's texts meet its dictionary there, are cut again and put together by position.  So what is shuffled is
+compressed text and one entry for each pre-token and block, not one for each occurrence: a word that is a third of all
+occurrences is one entry a block.  Both travel as compressed Arrow batches, a row for each block and bucket.
 
 Blocks are numbered by partition and place in it.  Should a recomputed partition arrive in another order, a pre-token
 can be missing from its block's dictionary; it is then encoded on the spot, so the result does not depend on it.
@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from fieldbook.llm import blocks
 #: pieces longer than this are merged with a heap
 LONG_PIECE = 64
 
-_COLUMNS = "block long, seq int, piece string, ids binary, blob binary"
+_COLUMNS = "block long, seq int, blob binary"
 _cache: dict[str, object] = {}
 
 
@@ -45,15 +47,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if len(piece) > LONG_PIECE:
         return _merge_long(piece, ranks)
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1])
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
+    none = len(ranks) + 1
+    pairs = [ranks.get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs:
+        best = min(pairs)
+        if best == none:
             break
+        at = pairs.index(best)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
     return [ranks[p] for p in parts]
 
 
@@ -91,46 +97,53 @@ def _cutter(pattern: str):
     return _cache[pattern]
 
 
-def _pieces(pattern: str):
+def _pieces(pattern: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         findall, now, seen = _cutter(pattern), None, set()
 
-        def rows(new: list[str]) -> Iterator[pa.RecordBatch]:
-            for i in range(0, len(new), 50_000):
-                part = new[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([now] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "piece"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            dealt: dict[int, list[str]] = {}
+            for piece in sorted(seen):
+                dealt.setdefault(zlib.crc32(piece.encode()) % buckets, []).append(piece)
+            for bucket, own in dealt.items():
+                blob = blocks.pack(pa.RecordBatch.from_arrays([pa.array(own, pa.string())], ["piece"]))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([now], pa.int64()), pa.array([blob], pa.binary())], ["bucket", "block", "blob"])
 
         for block, _, batch in blocks.numbered(batches):
             if block != now:
+                yield from rows()
                 now, seen = block, set()
-            new: set[str] = set()
             for text in batch.column("text").to_pylist():
                 if text:
-                    new.update(findall(text))
-            new -= seen
-            seen |= new
-            yield from rows(list(new))
+                    seen.update(findall(text))
+        yield from rows()
 
     return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, seq, batch in blocks.numbered(batches):
-        none, blob = pa.nulls(1, pa.binary()), blocks.pack(batch.select(["doc_id", "text"]))
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), pa.nulls(1, pa.string()), none, pa.array([blob], pa.binary())], ["block", "seq", "piece", "ids", "blob"])
+        blob = blocks.pack(batch.select(["doc_id", "text"]))
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), pa.array([blob], pa.binary())], ["block", "seq", "blob"])
+
+
+def _ids(piece: str, table: dict[bytes, int]) -> bytes:
+    return np.array(merge(piece.encode(), table), dtype="<i4").tobytes()
 
 
 def _encoded(ranks: Broadcast):
+    """Of rows in order of bucket: each block's pre-tokens with their ids.  Holds the distinct pre-tokens of one bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, last, ids = ranks.value, None, b""
+        table, now, known = ranks.value, None, {}
         for batch in batches:
-            out = []
-            for piece in batch.column("piece").to_pylist():
-                if piece != last:
-                    last, ids = piece, np.array(merge(piece.encode(), table), dtype="<i4").tobytes()
-                out.append(ids)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(np.full(n, -1, np.int32)), batch.column("piece"), pa.array(out, pa.binary()), pa.nulls(n, pa.binary())], ["block", "seq", "piece", "ids", "blob"])
+            for bucket, block, blob in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist(), batch.column("blob"), strict=True):
+                if bucket != now:
+                    now, known = bucket, _Dictionary(table)
+                part = blocks.unpack(blob.as_buffer())
+                ids = pa.array(list(map(known.__getitem__, part.column("piece").to_pylist())), pa.binary())
+                out = blocks.pack(pa.RecordBatch.from_arrays([part.column("piece"), ids], ["piece", "ids"]))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([out], pa.binary())], ["block", "seq", "blob"])
 
     return run
 
@@ -141,7 +154,7 @@ class _Dictionary(dict):
         self.table = table
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = np.array(merge(piece.encode(), self.table), dtype="<i4").tobytes()
+        ids = self[piece] = _ids(piece, self.table)
         return ids
 
 
@@ -153,7 +166,9 @@ def _assembled(ranks: Broadcast, pattern: str):
                 if block != now:
                     now, known = block, _Dictionary(ranks.value)
                 if not texts:
-                    known.update(zip(batch.column("piece")[lo:hi].to_pylist(), batch.column("ids")[lo:hi].to_pylist(), strict=True))
+                    for blob in batch.column("blob")[lo:hi]:
+                        part = blocks.unpack(blob.as_buffer())
+                        known.update(zip(part.column("piece").to_pylist(), part.column("ids").to_pylist(), strict=True))
                     continue
                 part = blocks.unpack(batch.column("blob")[lo].as_buffer())
                 coded = [b"".join(map(known.__getitem__, findall(t))) if t else b"" for t in part.column("text").to_pylist()]
@@ -171,10 +186,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     no ids; null and repeated ``doc_id`` stay as they are; empty tables give empty tables; other columns are ignored.
     ``ranks`` is broadcast: a vocabulary is of fixed size.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(ranks)
     texts = docs.select("doc_id", "text", F.spark_partition_id().alias("part"))
-    pieces = texts.mapInArrow(_pieces(pattern), "block long, piece string")
-    words = pieces.repartition("piece").sortWithinPartitions("piece").mapInArrow(_encoded(shared), _COLUMNS)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = texts.mapInArrow(_pieces(pattern, buckets), "bucket int, block long, blob binary")
+    words = pieces.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_encoded(shared), _COLUMNS)
     packed = texts.mapInArrow(_packed, _COLUMNS)
     meet = packed.union(words).repartition("block").sortWithinPartitions("block", "seq")
     return meet.mapInArrow(_assembled(shared, pattern), "doc_id long, ids array<int>")
@@ -182,10 +199,18 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
 def _decoded(table: Broadcast, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = table.value.__getitem__
+        data, start, size = table.value
         for batch in batches:
-            out = [b"".join(map(of, ids)) if ids else b"" for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(out, pa.binary())], [*names, "decoded"])
+            column = batch.column("ids")
+            ids = column.flatten().to_numpy()
+            if len(ids) and not (0 <= ids.min() and ids.max() < len(size) and size[ids].all()):
+                raise ValueError("an id that the vocabulary lacks")
+            ends = np.concatenate(([0], np.cumsum(size[ids])))
+            bytes_ = data[np.repeat(start[ids] - ends[:-1], size[ids]) + np.arange(ends[-1])]
+            per_row = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
+            offsets = ends[per_row].astype(np.int32)
+            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(bytes_)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), decoded], [*names, "decoded"])
 
     return run
 
@@ -195,6 +220,12 @@ def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     Null or no ids give no bytes; an id that the table lacks fails the job.  The table has a vocabulary's fixed size.
     """
-    table = coded.sparkSession.sparkContext.broadcast({i: token for token, i in ranks.items()})
+    size, start = (np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64) for _ in range(2))
+    data = b"".join(ranks)
+    at = 0
+    for token, i in ranks.items():
+        start[i], size[i] = at, len(token)
+        at += len(token)
+    table = coded.sparkSession.sparkContext.broadcast((np.frombuffer(data, dtype=np.uint8), start, size))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
     return coded.mapInArrow(_decoded(table, coded.columns), schema + ", decoded binary")
