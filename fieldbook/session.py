@@ -46,9 +46,29 @@ def scratch_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_given: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A folder in the shared area that nothing else uses."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored; nothing happens if there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged so far.
+
+    Call it when results are written: frames that read a staged table cannot run any more.
+    """
+    while _given:
+        delete_folder(spark, _given.pop())
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

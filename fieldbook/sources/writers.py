@@ -8,6 +8,7 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldbook.functions import normalize_name
+from fieldbook.session import delete_folder
 
 
 def _replace_groups(
@@ -40,14 +41,7 @@ def _replace_groups(
     filled = {tuple(row) for row in df.select(*names).distinct().collect()}  # at most the named groups
     for group in groups:
         if tuple(group[n] for n in names) not in filled:
-            _drop_folder(spark, "/".join([path, *(f"{n}={group[n]}" for n in names)]))
-
-
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a partition folder wherever the table is stored; nothing happens if there is none."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(spark, "/".join([path, *(f"{n}={group[n]}" for n in names)]))
 
 
 def write_history(

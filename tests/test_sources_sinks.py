@@ -114,3 +114,7 @@ def test_stage_and_scratch(spark):
     assert rows(stored) == rows(frame)
     assert "ReadSchema: struct<id:bigint>" in stored.select("id")._jdf.queryExecution().executedPlan().toString()
     assert glob.glob(f"{shared}/numbers-*")
+    kept, session._given[:] = session._given[:-1], session._given[-1:]
+    session.drop_staged(spark)
+    session._given[:] = kept
+    assert not glob.glob(f"{shared}/numbers-*")
