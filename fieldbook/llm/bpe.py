@@ -127,8 +127,16 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), pa.array([blob], pa.binary())], ["block", "seq", "blob"])
 
 
-def _ids(piece: str, table: dict[bytes, int]) -> bytes:
-    return np.array(merge(piece.encode(), table), dtype="<i4").tobytes()
+class _Dictionary(dict):
+    """Ids of pre-tokens, worked out when first asked for."""
+
+    def __init__(self, table: dict[bytes, int]):
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = np.array(merge(piece.encode(), self.table), dtype="<i4").tobytes()
+        return ids
 
 
 def _encoded(ranks: Broadcast):
@@ -148,39 +156,64 @@ def _encoded(ranks: Broadcast):
     return run
 
 
-class _Dictionary(dict):
-    def __init__(self, table: dict[bytes, int]):
-        super().__init__()
-        self.table = table
+class _Lexicon:
+    """A block's pre-tokens and their ids, as Arrow arrays."""
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = _ids(piece, self.table)
-        return ids
+    def __init__(self) -> None:
+        self.parts: list[tuple[pa.Array, pa.Array]] = []
+
+    def add(self, pieces: pa.Array, ids: pa.Array) -> None:
+        self.parts.append((pieces, ids))
 
+    def ids(self, pieces: pa.Array, table: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and how many each has."""
+        if len(self.parts) != 1:
+            kinds = (pa.string(), pa.binary())
+            self.parts = [tuple(pa.concat_arrays([pa.array([], k), *(p[i] for p in self.parts)]) for i, k in enumerate(kinds))]
+        known, coded = self.parts[0]
+        at = pc.index_in(pieces, value_set=known)
+        if at.null_count:  # see the module's docstring
+            new = pc.unique(pieces.filter(pc.is_null(at)))
+            self.add(new, pa.array([np.array(merge(p.encode(), table), dtype="<i4").tobytes() for p in new.to_pylist()], pa.binary()))
+            return self.ids(pieces, table)
+        offsets = np.frombuffer(coded.buffers()[1], dtype=np.int32)[coded.offset : coded.offset + len(coded) + 1] // 4
+        flat = np.frombuffer(coded.buffers()[2] or b"", dtype="<i4")
+        at = at.to_numpy()
+        size = offsets[at + 1] - offsets[at]
+        ends = np.cumsum(size)
+        return flat[np.repeat(offsets[at] - (ends - size), size) + np.arange(int(size.sum()))], size
 
-def _assembled(ranks: Broadcast, pattern: str):
+
+def _assembled(ranks: Broadcast, pattern: str, table: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        findall, now, known = _cutter(pattern), None, _Dictionary(ranks.value)
+        findall, now, lexicon = _cutter(pattern), None, _Lexicon()
         for batch in batches:
             for block, texts, lo, hi in blocks.runs(batch):
                 if block != now:
-                    now, known = block, _Dictionary(ranks.value)
+                    now, lexicon = block, _Lexicon()
                 if not texts:
                     for blob in batch.column("blob")[lo:hi]:
                         part = blocks.unpack(blob.as_buffer())
-                        known.update(zip(part.column("piece").to_pylist(), part.column("ids").to_pylist(), strict=True))
+                        lexicon.add(part.column("piece"), part.column("ids"))
                     continue
                 part = blocks.unpack(batch.column("blob")[lo].as_buffer())
-                coded = [b"".join(map(known.__getitem__, findall(t))) if t else b"" for t in part.column("text").to_pylist()]
-                offsets = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
+                pieces, per_row = [], [0]
+                for text in part.column("text").to_pylist():
+                    if text:
+                        pieces += findall(text)
+                    per_row.append(len(pieces))
+                ids, size = lexicon.ids(pa.array(pieces, pa.string()), ranks.value)
+                offsets = np.concatenate(([0], np.cumsum(size)))[per_row].astype(np.int32)
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
+                if table is not None:
+                    columns["decoded"] = _bytes_of(columns["ids"], table.value)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``doc_id, ids array<int>`` for each row of ``docs(doc_id, text)``.
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False) -> DataFrame:
+    """``doc_id, ids array<int>`` for each row of ``docs(doc_id, text)``, with ``decoded`` also what ``decode`` makes of them.
 
     Each match of ``pattern`` is encoded by itself by the ranks; there are no special tokens.  Null and empty text give
     no ids; null and repeated ``doc_id`` stay as they are; empty tables give empty tables; other columns are ignored.
@@ -194,23 +227,35 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     words = pieces.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_encoded(shared), _COLUMNS)
     packed = texts.mapInArrow(_packed, _COLUMNS)
     meet = packed.union(words).repartition("block").sortWithinPartitions("block", "seq")
-    return meet.mapInArrow(_assembled(shared, pattern), "doc_id long, ids array<int>")
+    table = spark.sparkContext.broadcast(_token_bytes(ranks)) if decoded else None
+    return meet.mapInArrow(_assembled(shared, pattern, table), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
+
+
+def _token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token-byte table: all tokens' bytes, and where each id's begin and how many they are."""
+    size, start = (np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64) for _ in range(2))
+    at = 0
+    for token, i in ranks.items():
+        start[i], size[i] = at, len(token)
+        at += len(token)
+    return np.frombuffer(b"".join(ranks), dtype=np.uint8), start, size
+
+
+def _bytes_of(column: pa.ListArray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+    data, start, size = table
+    ids = column.flatten().to_numpy()
+    if len(ids) and not (0 <= ids.min() and ids.max() < len(size) and size[ids].all()):
+        raise ValueError("an id that the vocabulary lacks")
+    ends = np.concatenate(([0], np.cumsum(size[ids])))
+    per_row = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
+    out = data[np.repeat(start[ids] - ends[:-1], size[ids]) + np.arange(ends[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends[per_row].astype(np.int32)), pa.py_buffer(out)])
 
 
 def _decoded(table: Broadcast, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, start, size = table.value
         for batch in batches:
-            column = batch.column("ids")
-            ids = column.flatten().to_numpy()
-            if len(ids) and not (0 <= ids.min() and ids.max() < len(size) and size[ids].all()):
-                raise ValueError("an id that the vocabulary lacks")
-            ends = np.concatenate(([0], np.cumsum(size[ids])))
-            bytes_ = data[np.repeat(start[ids] - ends[:-1], size[ids]) + np.arange(ends[-1])]
-            per_row = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
-            offsets = ends[per_row].astype(np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(bytes_)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), decoded], [*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), _bytes_of(batch.column("ids"), table.value)], [*names, "decoded"])
 
     return run
 
@@ -220,12 +265,6 @@ def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     Null or no ids give no bytes; an id that the table lacks fails the job.  The table has a vocabulary's fixed size.
     """
-    size, start = (np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64) for _ in range(2))
-    data = b"".join(ranks)
-    at = 0
-    for token, i in ranks.items():
-        start[i], size[i] = at, len(token)
-        at += len(token)
-    table = coded.sparkSession.sparkContext.broadcast((np.frombuffer(data, dtype=np.uint8), start, size))
+    table = coded.sparkSession.sparkContext.broadcast(_token_bytes(ranks))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
     return coded.mapInArrow(_decoded(table, coded.columns), schema + ", decoded binary")

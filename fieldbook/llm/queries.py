@@ -26,9 +26,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Every text encoded by the public ranks and decoded again."""
     ranks = bpe.load_ranks(public_tokenizers.path(vocabulary))
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe.decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
