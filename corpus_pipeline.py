@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document and the digest of what they decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
