@@ -14,8 +14,8 @@ between classes.
 
 Lists are scanned in key order.  A list's first member is compared with the others; members that the links found so
 far already put in one component need no comparison.  Lists that still hold several components go on with the next
-member.  What is left after these rounds, mostly groups whose members differ by a little more than a link allows, is
-joined on the rarest shingles of each set, with bounds on size and on the place of the first common shingle that
+member.  What is left after these rounds is paired within short lists; members of long ones, mostly groups that differ by
+a little more than a link allows, are joined on the rarest shingles of each set, with bounds on size and on the place of the first common shingle that
 exclude such pairs unseen.  So no link between components is lost, and a group of thousands of near copies costs about
 one comparison a member.  Candidates first compare parity bitmaps: where these differ in more bits than linked sets in
 shingles, the pair is no link.  The others are checked exactly.
@@ -39,8 +39,10 @@ from fieldbook.session import stage
 
 #: largest set that may enumerate its subsets
 MOST_LIGHT = 24
-#: rounds with one centre a list before the join on rare shingles
+#: rounds with one centre a list before what is left is settled at once
 STAR_ROUNDS = 2
+#: lists with at most so many members left are then paired as they are, longer ones joined on rare shingles
+SHORT_LIST = 16
 #: size levels grow by this factor
 LEVEL = 1.5
 #: 64-bit words of a set's parity bitmap
@@ -290,7 +292,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             centre = left.groupBy("key").agg(F.min(F.struct("cls", "comp")).alias("c"))
             todo = left.join(centre, "key").where("comp <> c.comp").select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).distinct()
         else:
-            todo = _rare_pairs(texts, left.select("cls", "comp").distinct(), one_text, k, t)
+            sized = stage(left.join(left.groupBy("key").agg(F.count("*").alias("size")), "key"), "lists")
+            short, long_ = sized.where(F.col("size") <= SHORT_LIST).drop("size"), sized.where(F.col("size") > SHORT_LIST)
+            other = short.select("key", F.col("cls").alias("b"), F.col("comp").alias("comp_b"))
+            todo = short.join(other, "key").where((F.col("comp") != F.col("comp_b")) & (F.col("cls") < F.col("b"))).select(F.col("cls").alias("a"), "b")
+            if not long_.isEmpty():
+                todo = todo.union(_rare_pairs(texts, long_.select("cls", "comp").distinct(), one_text, k, t))
+            todo = todo.distinct()
     ends = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").count()
     placed = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
     placed = placed.join(ends, "cls", "left").select("doc_id", "n_shingles", "comp", F.coalesce("count", F.lit(0)).alias("n_links"))
@@ -327,19 +335,11 @@ def _check(texts: DataFrame, pairs: DataFrame, one_text: DataFrame, k: int, t: F
     return both.mapInArrow(_linked(t), "a long, b long")
 
 
-def _elements(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in tb.chunks(batches, "text"):
-            values, row, n, digest = _sets(batch, k)
-            _, fresh = np.unique(digest, return_index=True)
-            use = np.zeros(batch.num_rows, dtype=bool)
-            use[[i for i in fresh if int(digest[i]) not in seen]] = True
-            seen.update(digest[use].tolist())
-            keep = use[row]
-            yield pa.RecordBatch.from_arrays([pa.array(tb.signed(digest)[row[keep]]), pa.array(n[row[keep]].astype(np.int32)), pa.array(tb.signed(values[keep]))], ["cls", "n", "token"])
-
-    return run
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cls, blob in zip(batch.column("cls").to_pylist(), batch.column("blob"), strict=True):
+            token = np.frombuffer(blob.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), cls)), pa.array(np.full(len(token), len(token), np.int32)), pa.array(token)], ["cls", "n", "token"])
 
 
 def _rare_pairs(texts: DataFrame, members: DataFrame, one_text: DataFrame, k: int, t: Fraction) -> DataFrame:
@@ -350,7 +350,8 @@ def _rare_pairs(texts: DataFrame, members: DataFrame, one_text: DataFrame, k: in
     size with that shingle at one place are told apart from others together, before single members are looked at.
     """
     num, den = t.numerator, t.denominator
-    elements = stage(_wanted(texts, members, one_text).mapInArrow(_elements(k), "cls long, n int, token long").distinct(), "elements")
+    blobs = _wanted(texts, members, one_text).mapInArrow(_blobs(k), "cls long, blob binary").dropDuplicates(["cls"])
+    elements = stage(blobs.mapInArrow(_elements, "cls long, n int, token long"), "elements")
     often = elements.groupBy("token").agg(F.count("*").alias("df"))
     place = F.row_number().over(Window.partitionBy("cls").orderBy("df", "token")) - 1
     ranked = elements.join(often, "token").withColumn("pos", place)
