@@ -23,6 +23,7 @@ shingles, the pair is no link.  The others are checked exactly.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -55,12 +56,23 @@ def _light_keys(n: int, t: Fraction) -> int:
     return sum(math.comb(n, c) for c in range(max(1, math.ceil(t * n)), n + 1))
 
 
+@functools.cache
 def _blocks(level: int, t: Fraction) -> tuple[int, int]:
-    """Blocks of a size level, and how many of them are equal in linked sets at least."""
+    """Blocks of a size level, and how many of them are equal in linked sets at least.
+
+    So many blocks more than can differ that hardly any set of the level has as many empty ones: empty blocks are equal
+    too, and would be long lists.
+    """
     upper = _upper(level)
     differ = math.floor(2 * upper * (1 - t) / (1 + t))
-    spare = 3 + (differ + 1) // 20
-    return differ + spare, spare
+    smallest = float(t) * upper / LEVEL  # that writes keys of this level
+    spare = 3
+    while True:
+        empty = math.exp(-smallest / (differ + spare))
+        spread = math.sqrt((differ + spare) * empty * max(0.0, 1 - (1 + smallest / (differ + spare)) * empty))
+        if spare > (differ + spare) * empty + 3 * spread + 1:
+            return differ + spare, spare
+        spare += 1 + spare // 16
 
 
 def _upper(level: int) -> int:
