@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text handled at a time; one longer document is handled alone
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
