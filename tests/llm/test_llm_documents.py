@@ -347,3 +347,31 @@ def test_chains_against_all_predecessors():
         worth = s.k * len(chain) - s.gap_cost * (chain[-1][0] - chain[0][0] + chain[-1][1] - chain[0][1])
         assert worth == pytest.approx(max(best))
         assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(chain, chain[1:]))
+
+
+def test_passage_whose_parts_stand_alone_elsewhere(spark):
+    """Both halves of a passage have other firsts and predecessors in their lists; the whole is found nevertheless."""
+    rng = random.Random(8)
+    rows, wanted = [], set()
+    for case in range(12):
+        left, right = (sentence(rng, rng.randrange(30, 50), 10**6) for _ in range(2))
+        own = lambda: sentence(rng, 40, 10**6)
+        for i, body in ((1, left), (2, right), (100, f"{left} {right}"), (150, left), (151, right), (200, f"{left} {right}")):
+            rows.append((case * 1000 + i, f"{own()} {body} {own()}"))
+        wanted.add((case * 1000 + 200, case * 1000 + 100, 40, 40 + len(f"{left} {right}".split())))
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc_id"], r["other_id"], r["start_word"], r["end_word"]) for r in got} == wanted
+
+
+def test_every_word_for_word_run_is_covered():
+    """Words of ``y`` in a run of 50 that ``x`` has too are in a passage, also in texts that repeat themselves."""
+    rng = np.random.default_rng(5)
+    s = substring.Settings()
+    for _ in range(40):
+        parts = [rng.integers(0, 10**6, rng.integers(1, 70)).astype(np.uint32) for _ in range(6)] + [np.full(rng.integers(1, 200), 7, np.uint32)]
+        x, y = (np.concatenate([parts[i] for i in rng.integers(0, 7, n)]) for n in (5, 20))
+        have = {x[i : i + 50].tobytes() for i in range(len(x) - 49)}
+        want = {w for j in range(len(y) - 49) if y[j : j + 50].tobytes() in have for w in range(j, j + 50)}
+        found = substring.passages(x, y, s)
+        assert want <= {w for p in found for w in range(p[2], p[3])}
+        assert all((x[p[0] : p[1]] == y[p[2] : p[3]]).all() for p in found if p[4] == 1.0)
