@@ -375,3 +375,37 @@ def test_every_word_for_word_run_is_covered():
         found = substring.passages(x, y, s)
         assert want <= {w for p in found for w in range(p[2], p[3])}
         assert all((x[p[0] : p[1]] == y[p[2] : p[3]]).all() for p in found if p[4] == 1.0)
+
+
+@pytest.mark.parametrize("rate, size, least", [(0.05, 55, 1.0), (0.1, 55, 1.0), (0.15, 55, 0.97), (0.18, 55, 0.95), (0.18, 100, 0.97)])
+def test_recall_of_near_passages(spark, rate, size, least):
+    """Planted passages with random single words changed, identity at least 0.8."""
+    rng = random.Random(int(rate * 100) + size)
+    rows, planted = [], set()
+    for case in range(200):
+        passage = sentence(rng, size, 10**6).split()
+        copy = list(passage)
+        for at in rng.sample(range(size), int(rate * size)):
+            copy[at] = f"e{rng.randrange(10**6)}"
+        for i, body in ((0, passage), (1, copy)):
+            rows.append((2 * case + i, " ".join([sentence(rng, 60, 10**6), *body, sentence(rng, 60, 10**6)])))
+        planted.add((2 * case + 1, 2 * case))
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} <= planted
+    assert all(r["identity"] >= 0.8 and r["end_word"] - r["start_word"] >= 50 for r in got)
+    found = len({r["doc_id"] for r in got}) / len(planted)
+    print(f"recall at {rate:.0%} changed of {size} words: {found:.3f}")
+    assert found >= least
+
+
+def test_near_passages_with_evenly_spread_changes():
+    rng = np.random.default_rng(2)
+    new = lambda n: rng.integers(0, 2**32, n, dtype=np.uint32)
+    for every, size in ((6, 60), (6, 300), (5, 300), (25, 51)):
+        base, copy = new(size), None
+        copy = base.copy()
+        copy[every - 1 :: every] = new(len(copy[every - 1 :: every]))
+        x, y = np.concatenate((new(30), base, new(30))), np.concatenate((new(50), copy, new(20)))
+        (found,) = substring.passages(x, y, substring.Settings())
+        assert found[3] - found[2] >= min(size, 50) and found[4] >= 0.8
+        assert found[2] <= 50 + 5 and found[3] >= 50 + size - 5
