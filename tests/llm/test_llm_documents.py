@@ -377,6 +377,29 @@ def test_every_word_for_word_run_is_covered():
         assert all((x[p[0] : p[1]] == y[p[2] : p[3]]).all() for p in found if p[4] == 1.0)
 
 
+@pytest.mark.parametrize("m, n", [(1, 70), (5, 13), (9, 40), (70, 1)])
+def test_every_copy_within_a_document_is_found(m, n):
+    """Near copies (a word changed every 30) of one passage, m in ``x`` and n in ``y``: each place in ``y`` has a partner."""
+    rng = np.random.default_rng(m * 100 + n)
+    new = lambda size: rng.integers(0, 2**32, size, dtype=np.uint32)
+    base = new(90)
+
+    def text(copies):
+        parts, spans, at = [new(30)], [], 30
+        for _ in range(copies):
+            copy = base.copy()
+            copy[[29, 59]] = new(2)
+            parts += [copy, new(40)]
+            spans.append((at, at + 90))
+            at += 130
+        return np.concatenate(parts), spans
+
+    (x, _), (y, spans) = text(m), text(n)
+    found = substring.passages(x, y, substring.Settings())
+    for lo, hi in spans:
+        assert any(p[2] <= lo and p[3] >= hi for p in found)
+
+
 @pytest.mark.parametrize("rate, size, least", [(0.05, 55, 1.0), (0.1, 55, 1.0), (0.15, 55, 0.97), (0.18, 55, 0.95), (0.18, 100, 0.97)])
 def test_recall_of_near_passages(spark, rate, size, least):
     """Planted passages with random single words changed, identity at least 0.8."""
