@@ -1,10 +1,11 @@
 """URL filter: rules first, then a path-template tree judged by labelled purity; DataFrame functions only.
 
 Every host's paths form a tree of segments.  Level by level, a segment stays literal where it carries a fair share of
-its node's urls and becomes a wildcard elsewhere (ids, dates, slugs).  Then, deepest level first, literal branches
-whose labelled block rate cannot be told from the rest of their node are merged into the wildcard.  What is left are
-templates; urls that a rule decides are their labels.  A template's block rate is smoothed towards its host's, that
-towards the same template on all hosts, and that towards the rate of all urls.
+its node's urls and becomes a wildcard elsewhere (ids, dates, slugs).  Then, deepest level first, labelled branches
+whose block rate cannot be told from that of the other labelled ones of their node are merged: into the wildcard if it is
+one of them, else into a branch of their own.  Branches without labels are never merged.  What is left are
+templates; urls that a rule decides are their labels.  A template's block rate is smoothed towards that of the same
+section (the path as it was before merging) on all hosts, that towards its host's, and that towards the rate of all urls.
 
 Urls are counted before anything is shuffled, so a host or template with a third of all urls is a few rows a task.
 """
@@ -20,6 +21,8 @@ from fieldbook.llm.winnow import LOWER, UPPER
 from fieldbook.session import stage
 
 WILD = "*"
+#: labelled branches that cannot be told apart, where the wildcard is not one of them
+MERGED = "(*)"
 
 
 class Rule(NamedTuple):
@@ -76,6 +79,14 @@ def _template(paths: DataFrame, s: Settings) -> DataFrame:
     return out.drop("segs")
 
 
+def _apart(b: Column, n: Column, s: Settings) -> Column:
+    """Whether a branch with ``b`` of ``n`` labelled urls blocked has no labels, no labelled neighbours (``all_b``, ``all_n`` in the node), or another rate."""
+    rest_n, rest_b = F.col("all_n") - n, F.col("all_b") - b
+    rate = F.col("all_b") / F.col("all_n")
+    error = F.sqrt(rate * (1 - rate) * (1 / n + 1 / rest_n))
+    return F.when((n > 0) & (rest_n > 0), F.abs(b / n - rest_b / rest_n) > s.z * error).otherwise(F.lit(True))
+
+
 def _merged(tree: DataFrame, s: Settings) -> DataFrame:
     """Templates with their label counts; ``m1 ..`` are the segments after merging, deepest level first."""
     names = [f"t{i}" for i in range(1, s.depth + 1)]
@@ -84,15 +95,14 @@ def _merged(tree: DataFrame, s: Settings) -> DataFrame:
         node = ["host", *(f"t{i}" for i in range(1, level))]
         own, at = f"t{level}", f"m{level}"
         branch = out.where(F.col(own).isNotNull()).groupBy(*node, own).agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("n"))
-        whole = branch.groupBy(*node).agg(F.sum("b").alias("all_b"), F.sum("n").alias("all_n"))
+        wild = lambda x: F.sum(F.when(F.col(own) == WILD, F.col(x)).otherwise(0))  # noqa: B023, E731
+        whole = branch.groupBy(*node).agg(F.sum("b").alias("all_b"), F.sum("n").alias("all_n"), wild("b").alias("wild_b"), wild("n").alias("wild_n"))
         both = branch.alias("c").join(whole.alias("w"), [F.col(f"c.{x}").eqNullSafe(F.col(f"w.{x}")) for x in node])
-        rest_n, rest_b = F.col("all_n") - F.col("n"), F.col("all_b") - F.col("b")
-        rate = F.col("all_b") / F.col("all_n")
-        error = F.sqrt(rate * (1 - rate) * (1 / F.col("n") + 1 / rest_n))
-        differs = F.when((F.col("n") > 0) & (rest_n > 0), F.abs(F.col("b") / F.col("n") - rest_b / rest_n) > s.z * error).otherwise(F.lit(False))
-        apart = both.where(differs).select(*(F.col(f"c.{x}").alias(f"k_{x}") for x in (*node, own)))
+        stays = _apart(F.col("b"), F.col("n"), s)
+        name = F.when(stays, F.col(f"c.{own}")).when(_apart(F.col("wild_b"), F.col("wild_n"), s), F.lit(MERGED)).otherwise(F.lit(WILD))
+        named = both.select(*(F.col(f"c.{x}").alias(f"k_{x}") for x in (*node, own)), name.alias("name"))
         same = [F.col(x).eqNullSafe(F.col(f"k_{x}")) for x in (*node, own)]
-        out = out.join(apart, same, "left").withColumn(at, F.when(F.col(own).isNull(), F.lit(None)).when(F.col(f"k_{own}").isNotNull(), F.col(own)).otherwise(F.lit(WILD))).drop(*apart.columns)
+        out = out.join(named, same, "left").withColumn(at, F.col("name")).drop(*named.columns)
         out = stage(out, "templates")
     shape = F.concat_ws("/", *(F.col(f"m{i}") for i in range(1, s.depth + 1)), F.when(F.col("rest") > 0, F.concat(F.lit("+"), F.col("rest").cast("string"))))
     return out.withColumn("template", F.concat(F.lit("/"), shape))
@@ -121,11 +131,13 @@ def judge_urls(pages: DataFrame, rules: list[Rule], settings: Settings | None =
     tree = placed.groupBy("host", *names, "rest").agg(*(F.sum(x).alias(x) for x in ("urls", "labelled", "blocked")))
     tree = _merged(stage(tree, "tree"), s)
     sums = lambda by, tag: tree.groupBy(*by).agg(F.sum("blocked").alias(f"b_{tag}"), F.sum("labelled").alias(f"n_{tag}"))
-    rated = tree.join(sums(["host", "template"], "own"), ["host", "template"]).join(sums(["host"], "host"), "host").join(sums(["template"], "shape"), "template")
+    rated = tree.join(sums(["host", "template"], "own"), ["host", "template"]).join(sums(["host"], "host"), "host")
+    section = sums([*names, "rest"], "section").select(*(F.col(x).alias(f"s_{x}") for x in (*names, "rest")), "b_section", "n_section")
+    rated = rated.join(section, [F.col(x).eqNullSafe(F.col(f"s_{x}")) for x in (*names, "rest")])
     everything = tree.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("n")).first()
     overall = ((everything["b"] or 0) + 0.5 * s.weight) / ((everything["n"] or 0) + s.weight)
     toward = lambda prior, tag: (F.col(f"b_{tag}") + s.weight * prior) / (F.col(f"n_{tag}") + s.weight)
-    rated = rated.withColumn("block_rate", toward(toward(toward(F.lit(overall), "shape"), "host"), "own"))
+    rated = rated.withColumn("block_rate", toward(toward(toward(F.lit(overall), "host"), "section"), "own"))
     rates = rated.select("host", *names, "rest", "template", "block_rate")
     by_path = placed.alias("p").join(rates.alias("r"), [F.col(f"p.{x}").eqNullSafe(F.col(f"r.{x}")) for x in ("host", *names, "rest")])
     by_path = by_path.select(F.col("p.host").alias("host"), F.col("p.path").alias("path"), "template", "block_rate")

@@ -54,6 +54,22 @@ def test_url_templates(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_unlabelled_sections_do_not_join_blocked_ones(spark):
+    """On a host whose labelled urls are all blocked, other sections are judged by the same sections elsewhere."""
+    rules = [urltree.Rule("net", "/es/", "block"), urltree.Rule("net", "/fr/", "block"), urltree.Rule("com", "/", "allow")]
+    urls = [f"http://{host}/{lang}/{i}" for host in ("a.net", "b.net", "c.com") for lang in ("en", "de", "es", "fr") for i in range(30)]
+    urls += [f"http://a.net/rare{i}/x" for i in range(3)]
+    out = urltree.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    assert len(out) == len(urls)
+    for r in out:
+        blocked = r["host"].endswith(".net") and r["path"].split("/")[1] in ("es", "fr")
+        if "rare" not in r["path"]:
+            assert r["verdict"] == ("block" if blocked else "allow"), r
+    by = {(r["host"], r["path"].split("/")[1]): r["template"] for r in out}
+    assert by["a.net", "es"] == by["a.net", "fr"] and by["a.net", "en"] == "/en/*" and by["a.net", "de"] == "/de/*"
+    assert by["a.net", "rare0"] not in (by["a.net", "es"], by["a.net", "en"])
+
+
 @pytest.fixture(scope="module")
 def pages(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
