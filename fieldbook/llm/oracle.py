@@ -52,4 +52,26 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (top IS NOT NULL AND top <>
 FROM keyed LEFT JOIN often USING (k) GROUP BY doc_id
 """
 
-SQL = {"op3_ngram_jaccard": OP3, "op5_decontamination": OP5, "op10_line_dedup": OP10}
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+    CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), part AS (
+  SELECT *, array_to_string(list_slice(u, 1, p), '') AS a, array_to_string(list_slice(u, p + 1, m), '') AS b,
+    array_to_string(list_slice(u, m + 1, n), '') AS c FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM part
+"""
+
+SQL = {"op3_ngram_jaccard": OP3, "op5_decontamination": OP5, "op10_line_dedup": OP10, "op12_fill_in_middle": OP12}

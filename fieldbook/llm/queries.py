@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, hnsw, htmlmain, jaccard, langid, linededup, substring, suffixtree, urltree, winnow
+from fieldbook.llm import bpe, hnsw, htmlmain, infill, jaccard, langid, linededup, quality, substring, suffixtree, tokenmap, urltree, winnow
 from fieldbook.llm.oracle import SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RULES = [
     urltree.Rule("com", "/", "allow"),
     urltree.Rule("example.com", "/en/", "block"),
@@ -84,5 +85,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text, op8_nearest_neighbours, op9_lm_score, op10_line_dedup)}
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str, a: str = VOCABULARY_A, b: str = VOCABULARY_B) -> DataFrame:
+    """Every text by two public tokenizers, aligned."""
+    return tokenmap.align(_table(spark, sf_dir, "documents"), tokenmap.load(public_tokenizers.path(a), public_tokenizers.path(b)))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut and put together for fill-in-middle training, and restored."""
+    return infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from two thirds of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", "text", quality.held_out(F.col("doc_id")).alias("held_out"))
+    return quality.score(rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
+_ALL = (
+    op1_byte_bpe, op2_substring_dedup, op3_ngram_jaccard, op4_url_filter, op5_decontamination, op6_language_id, op7_html_main_text,
+    op8_nearest_neighbours, op9_lm_score, op10_line_dedup, op11_cross_tokenizer, op12_fill_in_middle, op13_quality,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = dict(SQL)
