@@ -62,6 +62,18 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete_file(spark: SparkSession, uri: str) -> None:
+    """Delete a file told by its uri, as ``_metadata.file_path`` gives it; nothing happens if it is gone."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(file, False)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this process has staged so far.
 

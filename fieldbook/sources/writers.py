@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldbook.functions import normalize_name
-from fieldbook.session import delete_folder
+from fieldbook.session import delete_file, folder_exists
+from fieldbook.sources.snapshots import Snapshots
+
+
+def _files_of(df: DataFrame, path: str, named: Column, format: str, options: dict) -> list[str]:
+    """Files that hold rows of the named groups now; told by the rows' own file names, however values are spelled in paths."""
+    spark = df.sparkSession
+    if not folder_exists(spark, path):
+        return []
+    stored = spark.read.schema(df.schema).format(format).options(**options).load(path)
+    return [r[0] for r in stored.filter(named).select("_metadata.file_path").distinct().collect()]
 
 
 def _replace_groups(
@@ -16,18 +25,19 @@ def _replace_groups(
 ) -> None:
     """Replace the partitions of the groups named in ``keys`` (column to values), those without rows included.
 
-    Partitions that get rows are overwritten; those of a named group that get none are emptied, so a
-    group written with no rows ends up with none.  Rows of groups that are not named are an error.
-    The rebalance hint lets AQE split a key that holds much of the data over several files and merge
-    small ones, instead of writing one file per task and partition.
+    Partitions that get rows are overwritten; files that a named group had before and that are still there
+    afterwards belong to groups without rows and are deleted, so a group written with no rows ends up with
+    none.  ``df`` is evaluated once.  Rows of groups that are not named are an error.  The rebalance hint lets
+    AQE split a key that holds much of the data over several files and merge small ones, instead of writing
+    one file per task and partition.  Readers can meet the steps in between; ``snapshots`` has none.
     """
     spark = df.sparkSession
     names = list(keys)
-    groups = [dict(zip(names, values)) for values in product(*keys.values())]
     named = F.lit(True)
     for column, values in keys.items():
         named = named & F.col(column).isin(*values)
     unnamed = F.raise_error(F.concat(F.lit("row of a group that is not written: "), F.to_json(F.struct(*names)))).cast("boolean")
+    before = _files_of(df, path, named, format, options)
     (
         df.filter(F.when(named, True).otherwise(unnamed))
         .hint("rebalance", *cluster)
@@ -38,10 +48,8 @@ def _replace_groups(
         .format(format)
         .save(path)
     )
-    filled = {tuple(row) for row in df.select(*names).distinct().collect()}  # at most the named groups
-    for group in groups:
-        if tuple(group[n] for n in names) not in filled:
-            delete_folder(spark, "/".join([path, *(f"{n}={group[n]}" for n in names)]))
+    for file in before:
+        delete_file(spark, file)
 
 
 def write_history(
@@ -74,13 +82,24 @@ def write_history(
         write_permission(lic_slct, group, permission_path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "cust_id") -> None:
-    """Catalog table bucketed and sorted by ``key``.
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str | Sequence[str] = "cust_id", path: str | None = None) -> None:
+    """Catalog table bucketed and sorted by ``key``, stored at ``path`` if given.
 
     History and customers written with the same bucket count meet without a shuffle, in every later
     dashboard run.  The repartition matches the bucketing, so each bucket is one file.
     """
-    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    keys = [key] if isinstance(key, str) else list(key)
+    out = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (out if path is None else out.option("path", path)).saveAsTable(table)
+
+
+def publish_history(store: Snapshots, history: DataFrame, group: str, lic_slct: DataFrame) -> int:
+    """``write_history`` as one transaction: a permission's history and its license types change together or not at all."""
+    name = normalize_name(group)
+    change = store.begin()
+    change.replace("history", history.withColumn("permission", F.lit(name)), "permission", [name])
+    change.replace("permission", permission_rows(lic_slct, group), "permission", [name])
+    return change.commit()
 
 
 def permission_rows(lic_slct: DataFrame, group: str) -> DataFrame:
