@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,19 +30,35 @@ def month_metrics(
     permission-customer-year.  One left join marks recruits; both metrics then come from a single
     aggregation over months, which combines before the shuffle.
     """
+    return month_rows(month_counts(sale_months, history, quarter, select_quarters, yrs, to_quarter))
+
+
+def month_counts(
+    sale_months: DataFrame,
+    history: DataFrame,
+    quarter: int,
+    select_quarters: Sequence[int],
+    yrs: Sequence[int],
+    to_quarter: Callable[[Column], Column] = month_to_quarter,
+) -> DataFrame:
+    """``participants`` and ``recruits`` per permission, selected quarter, year and month (``category``)."""
     recruits = history.filter(F.col("R3") == "Recruit").select(
         "permission", "cust_id", "year", to_quarter(F.col("month")).alias("recruit_quarter")
     )
     cuts = H.quarter_cuts(to_quarter(F.col("month")), quarter, select_quarters, yrs)
     cut = F.col("select_quarter")
     in_cut = (cut == 4) & F.col("recruit_quarter").isNotNull() | (F.col("recruit_quarter") <= cut)
-    counted = (
+    return (
         sale_months.join(recruits, ["permission", "cust_id", "year"], "left")
         .withColumn("select_quarter", F.explode(cuts))
         .filter(cut.isNotNull())
         .groupBy(*KEYS, "year", F.col("month").cast("string").alias("category"))
         .agg(F.count(F.lit(1)).alias("participants"), F.count_if(in_cut).alias("recruits"))
     )
+
+
+def month_rows(counted: DataFrame) -> DataFrame:
+    """The long form of ``month_counts``; months without recruits have no row for them."""
     rows = F.array_compact(
         F.array(
             F.struct(F.lit("participants").alias("metric"), F.col("participants").cast("double").alias("value")),
@@ -63,15 +79,22 @@ def dashboard_metrics(
     dashboard_yrs: Sequence[int],
     segs: Sequence[str] = SEGMENTS,
 ) -> DataFrame:
-    """Participants, recruits, churn and rates from recoded history expanded by ``select_quarter``.
+    """Participants, recruits, churn and rates from recoded history expanded by ``select_quarter``."""
+    if "res" not in segs:
+        raise ValueError("segment 'res' is needed to scale resident counts")
+    return metrics_of_counts(G.segment_counts(history, KEYS, segs, counties=counties), pop_county, rules, dashboard_yrs)
+
+
+def metrics_of_counts(
+    counts: DataFrame, pop_county: DataFrame, rules: Sequence[PermissionRule], dashboard_yrs: Sequence[int]
+) -> DataFrame:
+    """``dashboard_metrics`` from the additive counts of ``segment_counts``.
 
     A permission for nonresidents has no county rows and no rate over population.
     """
-    if "res" not in segs:
-        raise ValueError("segment 'res' is needed to scale resident counts")
     parents = {rule.name: rule.parent for rule in rules if rule.parent}
     away = [rule.name for rule in rules if rule.res_type == G.NONRESIDENT]
-    measures = G.segment_measures(G.segment_counts(history, KEYS, segs, counties=counties), KEYS)
+    measures = G.segment_measures(counts, KEYS)
     measures = measures.filter(~(F.col("permission").isin(*away) & (F.col("segment") == "county")))
     measures = G.parent_participants(measures, parents, KEYS).join(
         G.pop_segments(pop_county), ["segment", "category", "year"], "left"
@@ -95,12 +118,13 @@ def recoded_history(
     return H.enrich_history(history, cust, counties).transform(H.recode_history, to_quarter)
 
 
-def _of_residency(limits: Mapping[str, str], res: Column) -> Column:
-    """Whether a row counts for its permission; without a limit every row does, NULL residency included."""
+def of_residency(history: DataFrame, rules: Sequence[PermissionRule], res: Column) -> DataFrame:
+    """Rows that count for their permission; without a limit every row does, NULL residency included."""
     keep = F.lit(True)
-    for name, res_type in limits.items():
-        keep = F.when(F.col("permission") == name, F.coalesce(res == res_type, F.lit(False))).otherwise(keep)
-    return keep
+    for rule in rules:
+        if rule.res_type:
+            keep = F.when(F.col("permission") == rule.name, F.coalesce(res == rule.res_type, F.lit(False))).otherwise(keep)
+    return history.filter(keep)
 
 
 def dashboard_all(
@@ -125,12 +149,24 @@ def dashboard_all(
     sales without a customer count once per month.  A permission with a ``res_type`` counts history of
     that residency only, after lapse was worked out on all of it.
     """
-    limits = {rule.name: rule.res_type for rule in rules if rule.res_type}
+    counts_of = counted_history(history, cust, rules, quarter, select_quarters, yrs, to_quarter)
+    metrics = dashboard_metrics(counts_of, counties, pop_county, rules, dashboard_yrs, segs)
+    shown = of_residency(history, rules, label_res(F.col("res")))
+    months = month_metrics(sale_groups(sale, permission), shown, quarter, select_quarters, yrs, to_quarter)
+    return D.format_metrics(metrics.unionByName(months), F.col("select_quarter"), F.col("permission"))
+
+
+def counted_history(
+    history: DataFrame,
+    cust: DataFrame,
+    rules: Sequence[PermissionRule],
+    quarter: int,
+    select_quarters: Sequence[int],
+    yrs: Sequence[int],
+    to_quarter: Callable[[Column], Column] = month_to_quarter,
+) -> DataFrame:
+    """History rows with demographics, once for each selected quarter they belong to, of the residency their permission counts."""
     expanded = recoded_history(history, cust, to_quarter=to_quarter).transform(
         H.expand_quarters, quarter, select_quarters, yrs, ("permission",), to_quarter
     )
-    expanded = expanded.filter(_of_residency(limits, F.col("res")))
-    metrics = dashboard_metrics(expanded, counties, pop_county, rules, dashboard_yrs, segs)
-    shown = history.filter(_of_residency(limits, label_res(F.col("res"))))
-    months = month_metrics(sale_groups(sale, permission), shown, quarter, select_quarters, yrs, to_quarter)
-    return D.format_metrics(metrics.unionByName(months), F.col("select_quarter"), F.col("permission"))
+    return of_residency(expanded, rules, F.col("res"))

@@ -17,24 +17,37 @@ from fieldbook.functions.ranking import RANK_KEY, res_of, years_of
 from fieldbook.operators.permissions import PermissionRule, permission_licenses
 from fieldbook.schemas import R3_BLIND_YEARS
 
-def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool = False) -> DataFrame:
-    """History from sales that carry ``permission`` and ``duration``; ``cust_id`` must be known.
+def year_slots(sales: DataFrame, yrs: Iterable[int]) -> DataFrame:
+    """One row per permission and customer: best sale (packed) and first month of each year, NULL without one.
 
-    ``look_ahead`` adds ``next_month``, the month of the following year's row.  It is at hand here, and
-    saves partial-year runs from sorting history by customer to find it again.
+    Both are a maximum and a minimum, so slots of different sales merge into the slots of all of them.
     """
     yrs = sorted(yrs)
-
-    # one row per permission and customer: best sale and first month of each year
     best = [F.expr(f"max(if(year = {y}, rank_key, null))").alias(f"best_{y}") for y in yrs]
     first = [F.expr(f"min(if(year = {y}, month, null))").alias(f"month_{y}") for y in yrs]
-    slots = (
+    return (
         sales.filter(F.col("year").isin(*yrs))
         .select("permission", "cust_id", "year", "month", F.expr(RANK_KEY).alias("rank_key"))
         .groupBy("permission", "cust_id")
         .agg(*best, *first)
     )
 
+
+def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool = False) -> DataFrame:
+    """History from sales that carry ``permission`` and ``duration``; ``cust_id`` must be known.
+
+    ``look_ahead`` adds ``next_month``, the month of the following year's row.  It is at hand here, and
+    saves partial-year runs from sorting history by customer to find it again.
+    """
+    yrs = sorted(yrs)
+    return history_from_slots(year_slots(sales, yrs), yrs, look_ahead)
+
+
+def history_from_slots(slots: DataFrame, yrs: Iterable[int], look_ahead: bool = False, since: int | None = None) -> DataFrame:
+    """History rows of ``yrs`` from year slots, a narrow step; with ``since`` only the rows of that year and later."""
+    yrs = sorted(yrs)
+    shown = [y for y in yrs if since is None or y >= since]
+
     # last year covered by the sale of each year, and what that sale hands on
     ends = [f"{y} - 1 + {years_of(f'best_{y}')} as end_{y}" for y in yrs]
     carries = [f"struct(month_{y} as month, {res_of(f'best_{y}')} as res) as carry_{y}" for y in yrs]
@@ -73,7 +86,7 @@ def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool =
     rows = [
         f"if({active[y]}, struct({y} as year, reach_{y} - {y} + 1 as duration_run, {lapse(y)} as lapse, "
         f"{r3(y)} as R3, {carry(y)} as carry{after(y)}), null)"
-        for y in yrs
+        for y in shown
     ]
     # years without cover come out as NULL rows; dropping them afterwards keeps this in generated code
     columns = ["permission", "cust_id", "year", "duration_run", "lapse", "R3", "carry.month", "carry.res"]
@@ -85,11 +98,11 @@ def history_from_sales(sales: DataFrame, yrs: Iterable[int], look_ahead: bool =
     )
 
 
-def permission_sales(sale: DataFrame, lic: DataFrame, rules: Sequence[PermissionRule]) -> DataFrame:
-    """Sales of known customers with the duration and every permission of their license type."""
+def permission_sales(sale: DataFrame, lic: DataFrame, rules: Sequence[PermissionRule], known: bool = True) -> DataFrame:
+    """Sales with the duration and every permission of their license type; of known customers, unless ``known`` is off."""
     types = permission_licenses(lic, rules).select("lic_id", "duration", "permission")
     return (
-        sale.filter(F.col("cust_id").isNotNull())
+        (sale.filter(F.col("cust_id").isNotNull()) if known else sale)
         .select("cust_id", "lic_id", "year", "month", "res")
         .join(types, "lic_id")
     )

@@ -345,6 +345,16 @@ ORACLE["county_map_dive"] = _q("SELECT fips, county, long, lat, seq FROM county_
 ORACLE["history_all"] = _h("SELECT * FROM history")
 ORACLE["write_history_roundtrip"] = ORACLE["history_all"]
 ORACLE["write_history_empty"] = _h("SELECT * FROM history WHERE permission <> 'deer'")
+ORACLE["write_history_odd_name"] = _h("""
+SELECT * FROM history WHERE permission <> 'trout'
+UNION ALL SELECT * REPLACE ('trout' AS permission) FROM history WHERE permission = 'deer' AND year > 1999""")
+ORACLE["snapshot_commit"] = _h("""
+, seen AS (
+  SELECT 'history' AS part, permission, cust_id AS id,
+    permission = 'youth_deer' OR (permission = 'deer' AND year < 2000) AS goes FROM history
+  UNION ALL SELECT 'licenses', permission, lic_id, permission = 'youth_deer' OR (permission = 'deer' AND lic_id % 2 = 1) FROM permission)
+SELECT state, part, permission, count(*) AS n, CAST(sum(id) AS BIGINT) AS total
+FROM seen, (VALUES ('before'), ('killed'), ('after')) v(state) WHERE state <> 'after' OR NOT goes GROUP BY ALL""")
 ORACLE["permission_upsert_empty"] = _q("SELECT permission, lic_id, description FROM permission WHERE permission <> 'trout'")
 ORACLE["remove_table"] = _q("SELECT county_fips, county, false AS still_there FROM counties")
 ORACLE["permission_upsert"] = _q("""
@@ -442,6 +452,9 @@ ORACLE["drop_state_code"] = _q("SELECT cust_id, county_fips, CAST(county_fips %
 ORACLE["history_enriched"] = _h("""
 SELECT cust_id, permission, year, duration_run, lapse, R3, month, res, county_fips, sex, birth_year, county
 FROM history LEFT JOIN (SELECT cust_id, sex, birth_year, county_fips FROM cust) c USING (cust_id) LEFT JOIN counties USING (county_fips)""")
+ORACLE["history_bucketed"] = _h("""
+SELECT cust_id, permission, year, duration_run, lapse, R3, month, res, sex, birth_year, c.county_fips
+FROM history LEFT JOIN (SELECT cust_id, sex, birth_year, county_fips FROM cust) c USING (cust_id)""")
 ORACLE["county_from_zip"] = _q("""
 SELECT c.cust_id, c.sex, c.birth_year, coalesce(c.county_fips, z.fips) AS county_fips,
   CAST(50000 + c_nationkey * 10 + c.cust_id % 7 AS BIGINT) AS zip
@@ -469,6 +482,17 @@ ORACLE["open_year_lapse"] = _h("""
 SELECT permission, cust_id, year, CASE WHEN year < 2000 THEN lapse END AS lapse FROM cut WHERE sq = 4""")
 ORACLE["deer_by_year"] = _h("SELECT year, count(*) AS n FROM history WHERE permission = 'deer' GROUP BY year")
 
+
+
+def _through(last: int) -> str:
+    """The history that is known when ``last`` is the latest year sold."""
+    text = HISTORY[: HISTORY.index("recoded AS")].rstrip().rstrip(",")
+    text = text.replace("2001", str(last)).replace("WHERE s.cust_id IS NOT NULL", f"WHERE s.cust_id IS NOT NULL AND s.year <= {last}")
+    return _q(f"SELECT *, CAST({last} AS INTEGER) AS through FROM history", text)
+
+
+ORACLE["history_incremental"] = " UNION ALL ".join(f"SELECT * FROM ({_through(y)})" for y in (1999, 2000, 2001))
+
 # ---- population
 ORACLE["aggregate_pop"] = _q("SELECT county_fips, year, sex, age, pop FROM pop_cat", POP)
 ORACLE["extrapolate_pop"] = _q("SELECT county_fips, year, sex, age, round(pop, 6) AS pop FROM pop_ext", POP)
@@ -527,6 +551,7 @@ WHERE permission = 'deer' AND sq = 2 AND EXISTS (
 GROUP BY ALL""")
 ORACLE["calc_metrics"] = _metrics_of("hunt", 4)
 ORACLE["dashboard_all"] = _dash("SELECT * FROM dash")
+ORACLE["dashboard_incremental"] = ORACLE["dashboard_all"]
 ORACLE["dashboard_spaced_names"] = _dash("""
 SELECT quarter, CASE "group" WHEN 'hunt' THEN 'all_hunt' ELSE 'any_deer' END AS "group", segment, year, category, metric, value
 FROM dash WHERE "group" IN ('hunt', 'deer')""")

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldbook.functions import quarter_by_breaks, relative_month, short_fips
 from fieldbook.operators import checks, dashboard as D, dive, geography, history as H, metrics as M
 from fieldbook.operators import permissions as P, population as N, sampling, segments as G, views
-from fieldbook.plans import dashboard as plan
+from fieldbook.plans import dashboard as plan, update
 from fieldbook.plans.dive import hist_samp
 from fieldbook.plans.history import build_history, permission_sales
 from fieldbook.schemas import SCALEUP_PERCENT, SEGMENTS
 from fieldbook.session import fresh_path, stage
 from fieldbook.sources import loaders as L, writers
+from fieldbook.sources.snapshots import Snapshots
 from fieldbook.sources.star_adapter import (
     CURRENT_QUARTER, DASHBOARD_YEARS, RULES, SAMPLE_SEED, STATE, YEARS, StarAdapter,
 )
@@ -24,6 +25,7 @@ from fieldbook.sources.store import DerivedStore, FileStore, load_table
 SELECT_QUARTERS = (2, 4)
 MONTH_YEARS = (min(DASHBOARD_YEARS) - 1, *DASHBOARD_YEARS)
 SAMPLE_PCT = 10
+BUCKETS = 16
 PERM = ("permission",)
 RULE = {rule.name: rule for rule in RULES}
 
@@ -187,6 +189,74 @@ def _history_emptied(d: Desk) -> DataFrame:
     return load_table(FileStore(d.spark, root), "history").select(*stored.columns)
 
 
+def _odd_name_emptied(d: Desk) -> DataFrame:
+    """A permission whose name a path must spell otherwise, written and emptied; the others stay."""
+    root = fresh_path(d.spark, "odd")
+    stored = d.stored_history
+    odd = stored.filter("permission = 'deer'").drop("permission")
+    writers.write_history(stored, f"{root}/history")
+    writers.write_history(odd, f"{root}/history", "deer: bow/50%")
+    writers.write_history(odd.filter("year > 1999"), f"{root}/history", "trout")
+    writers.write_history(odd.limit(0), f"{root}/history", "deer: bow/50%")
+    return load_table(FileStore(d.spark, root), "history").select(*stored.columns)
+
+
+def _snapshot_commit(d: Desk) -> DataFrame:
+    """Rows and license types of each permission before a change, while its data is written but not committed, and after."""
+    store = Snapshots(d.spark, fresh_path(d.spark, "store"))
+    change = store.begin()
+    change.replace("history", d.history, "permission", list(RULE))
+    change.replace("permission", d.permission, "permission", list(RULE))
+    change.commit()
+
+    def seen(state: str) -> DataFrame:
+        history = store.table("history").groupBy("permission").agg(F.count(F.lit(1)).alias("n"), F.sum("cust_id").alias("total"))
+        types = store.table("permission").groupBy("permission").agg(F.count(F.lit(1)).alias("n"), F.sum("lic_id").alias("total"))
+        rows = history.select(F.lit("history").alias("part"), "*").unionByName(types.select(F.lit("licenses").alias("part"), "*"))
+        return stage(rows.select(F.lit(state).alias("state"), "*"), "seen")
+
+    states = [seen("before")]
+    late = store.table("history").filter("permission = 'deer' and year >= 2000")
+    for state in ("killed", "after"):
+        change = store.begin()
+        change.replace("history", late, "permission", ["deer", "youth_deer"])
+        change.replace("permission", d.permission.filter("permission = 'deer' and lic_id % 2 = 0"), "permission", ["deer", "youth_deer"])
+        if state == "after":  # the first of both writers stops before its commit
+            change.commit()
+        states.append(seen(state))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+def _history_by_season(d: Desk) -> DataFrame:
+    """History after each of three seasons was added to the state of the years before."""
+    state = stage(update.season_state(permission_sales(d.sale.filter("year < 1999"), d.lic, RULES, known=False), range(1995, 1999)), "state")
+    out = []
+    for year in (1999, 2000, 2001):
+        new = update.season_state(permission_sales(d.sale.filter(F.col("year") == year), d.lic, RULES, known=False), [year])
+        state = stage(update.merge_states(state, new), "state")
+        out.append(update.history_of(state, range(1995, year + 1)).withColumn("through", F.lit(year)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _dashboard_by_quarter(d: Desk) -> DataFrame:
+    """A dashboard made in quarter 1 and brought up to date with what was sold since."""
+    store = Snapshots(d.spark, fresh_path(d.spark, "store"))
+    since = (F.col("year") == max(YEARS)) & (F.col("month") > 3)
+    for quarter, sold in ((1, ~since), (CURRENT_QUARTER, since)):
+        update.advance(store, d.sale.filter(sold), d.lic, d.cust, d.counties, RULES, YEARS, quarter, SELECT_QUARTERS)
+    return tidy(update.dashboard_of_store(store, d.pop, RULES, DASHBOARD_YEARS, MONTH_YEARS))
+
+
+def _bucketed(d: Desk) -> DataFrame:
+    """History and customers stored by customer, and joined as they lie."""
+    names = {}
+    for name, df in (("history", d.history), ("cust", d.cust)):
+        path = fresh_path(d.spark, f"bucketed_{name}")
+        names[name] = path.rpartition("/")[2].replace("-", "_")
+        writers.write_bucketed(df, names[name], BUCKETS, path=path)
+    return H.enrich_history(d.spark.table(names["history"]), d.spark.table(names["cust"]))
+
+
 def _permission_emptied(d: Desk) -> DataFrame:
     """Trout loses all its license types."""
     return writers.upsert_permission(d.permission.limit(0), d.permission, ["trout"])
@@ -368,6 +438,8 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     # sinks
     "write_history_roundtrip": _history_roundtrip,
     "write_history_empty": _history_emptied,
+    "write_history_odd_name": _odd_name_emptied,
+    "snapshot_commit": _snapshot_commit,
     "permission_upsert": _permission_upsert,
     "permission_upsert_empty": _permission_emptied,
     "remove_table": _removed,
@@ -401,6 +473,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "drop_state_code": lambda d: d.cust.select("cust_id", "county_fips", short_fips(F.col("county_fips")).alias("fips")),
     # joins
     "history_enriched": lambda d: H.enrich_history(d.history, d.cust, d.counties),
+    "history_bucketed": _bucketed,
     "county_from_zip": _county_from_zip,
     "join_county_map": _county_map,
     "county_map_missing": lambda d: geography.county_map_missing(d.stored_dashboard, d.county_map, d.counties),
@@ -410,6 +483,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "lapse": lambda d: H.add_lapse(_staged_history(d), YEARS, PERM).select("permission", "cust_id", "year", "lapse"),
     "r3": lambda d: H.add_r3(_staged_history(d), YEARS, PERM).select("permission", "cust_id", "year", "R3"),
     "history_all": lambda d: d.history,
+    "history_incremental": _history_by_season,
     "quarterly_lapse": lambda d: d.cut(d.recoded, 2).select("permission", "cust_id", "year", "lapse"),
     "open_year_lapse": lambda d: H.forget_open_year_lapse(d.cut(d.recoded, 4), CURRENT_QUARTER, 4, YEARS).select(
         "permission", "cust_id", "year", "lapse"
@@ -436,6 +510,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "calc_metrics": lambda d: d.metrics("hunt", 4),
     "dashboard": lambda d: D.format_metrics(d.metrics("deer", 2), 2, "deer"),
     "dashboard_all": lambda d: d.dashboard_all(),
+    "dashboard_incremental": _dashboard_by_quarter,
     "dashboard_spaced_names": lambda d: d.dashboard_of(SPACED_RULES),
     "dashboard_all_residency": lambda d: d.dashboard_of(RESIDENCY_RULES),
     "fill_missing_months": lambda d: D.fill_missing_months(d.stored_dashboard),
