@@ -2,6 +2,7 @@
 
 from fieldbook.functions.columns import (
     age_category,
+    apportioned,
     label_res,
     label_sex,
     month_to_quarter,
@@ -16,6 +17,7 @@ from fieldbook.functions.columns import (
 
 __all__ = [
     "age_category",
+    "apportioned",
     "label_res",
     "label_sex",
     "month_to_quarter",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, Window, functions as F
 
 from fieldbook.schemas import AGE_BREAKS, RES_LABELS, SEX_LABELS, age_labels
 
@@ -77,3 +77,20 @@ def strict_mean(value: Column) -> Column:
 
 def percent_churn(lapse: Column) -> Column:
     return strict_mean(lapse) * 100
+
+
+def apportioned(value: str, total: Column, by: Sequence[str], category: str) -> Column:
+    """Whole numbers in proportion to ``value`` that add up to ``total`` over the rows of each ``by``.
+
+    Largest remainders: every row gets the whole part of its share, and the units left go to the largest
+    remainders, ties to the first in order of ``category``.  In whole numbers throughout, so exact; NULL where
+    nothing is known to share by.
+    """
+    rows = Window.partitionBy(*by)
+    known = F.sum(value).over(rows)
+    product = F.col(value) * total
+    rest = F.when(known > 0, F.pmod(product, known))
+    floor = F.round((product - rest) / known).cast("long")
+    left = total - F.sum(floor).over(rows)
+    place = F.row_number().over(rows.orderBy(rest.desc_nulls_last(), F.col(category)))
+    return floor + F.when(place <= left, 1).otherwise(0)

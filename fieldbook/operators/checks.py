@@ -104,6 +104,51 @@ def check_foreign_keys(cust: DataFrame, lic: DataFrame, sale: DataFrame) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def quarantine_sales(
+    cust: DataFrame,
+    lic: DataFrame,
+    sale: DataFrame,
+    max_year: int,
+    min_year: int = S.FIRST_SALE_YEAR,
+    months: Collection[int] = range(S.SALE_MONTHS[0], S.SALE_MONTHS[1] + 1),
+    residencies: Collection[int] = tuple(S.RES_LABELS),
+) -> tuple[DataFrame, DataFrame]:
+    """Sales in two parts: those to work with, and those that break a rule, with ``reasons``.
+
+    Reasons are ``year``, ``month``, ``res`` (not an allowed value, as ``check_allowed_values``), ``cust_id`` and
+    ``lic_id`` (no such row, as ``check_foreign_keys``; a NULL key is none).  A sale has all reasons it gives, in
+    that order.  Both keys are probed in the pass that checks values, so sales are read once for either part; each
+    key table is reduced to distinct keys, so no sale is multiplied.  Both parts have the columns of ``sale``; a
+    rule on a column that ``sale`` lacks does not apply.
+    """
+    probed = sale
+    for column, other in (("cust_id", cust), ("lic_id", lic)):
+        if column in sale.columns:
+            keys = other.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(f"_has_{column}", F.lit(True))
+            probed = probed.join(keys, column, "left")
+    rules = {
+        "year": _outside("year", min_year, max_year),
+        "month": _not_in("month", months),
+        "res": _not_in("res", residencies, True),
+        "cust_id": F.col("cust_id").isNotNull() & F.col("_has_cust_id").isNull(),
+        "lic_id": F.col("lic_id").isNotNull() & F.col("_has_lic_id").isNull(),
+    }
+    broken = [F.when(bad, F.lit(column)) for column, bad in rules.items() if column in sale.columns]
+    tagged = probed.select(*sale.columns, F.array_compact(F.array(*broken)).alias("reasons"))
+    return tagged.filter(F.size("reasons") == 0).select(*sale.columns), tagged.filter(F.size("reasons") > 0)
+
+
+def quarantine_counts(quarantined: DataFrame) -> DataFrame:
+    """The report of ``data_check`` on sales from their quarantined rows: ``check, table, column, n_bad``."""
+    key = F.col("column").isin("cust_id", "lic_id")
+    return (
+        quarantined.select(F.explode("reasons").alias("column"))
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("n_bad"))
+        .select(F.when(key, "foreign_key").otherwise("allowed_values").alias("check"), F.lit("sale").alias("table"), "column", "n_bad")
+    )
+
+
 def check_primary_key(df: DataFrame, table: str, key: str) -> DataFrame:
     """``duplicate_key`` counts surplus rows, ``null_key`` rows without a key; nothing without the column."""
     if key not in df.columns:

@@ -15,18 +15,19 @@ _ONE = ("permission",)
 
 
 def calc_part(
-    history: DataFrame, segs: Sequence[str] = S.SEGMENTS, use_recruits: bool = False
+    history: DataFrame, segs: Sequence[str] = S.SEGMENTS, use_recruits: bool = False, exact: bool = False
 ) -> DataFrame:
     """Scaled participants and residents of one permission: ``segment, category, year, participants, residents``.
 
-    County participants are residents.  With ``use_recruits`` only recruits are counted.
+    County participants are residents.  With ``use_recruits`` only recruits are counted; with ``exact`` the
+    categories of a segment add up to the total.
     """
     if "res" not in segs:
         raise ValueError("segment 'res' is needed to scale resident counts")
     if use_recruits:
         history = history.filter(F.col("R3") == "Recruit")
     history = history.withColumn("permission", F.lit("one"))
-    measures = G.segment_measures(G.segment_counts(history, _ONE, segs), _ONE)
+    measures = G.segment_measures(G.segment_counts(history, _ONE, segs), _ONE, exact)
     rows = measures.select("segment", "category", "year", "participants", "residents")
     # a county may have nonresidents only
     return rows.filter(F.col("participants").isNotNull())

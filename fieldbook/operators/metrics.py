@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldbook.functions import strict_mean
+from fieldbook.functions import apportioned, strict_mean
 from fieldbook.schemas import RATE_THRESHOLD
 
 
@@ -46,12 +46,24 @@ def est_churn(history: DataFrame, segment: str, keys: Sequence[str] = ()) -> Dat
 
 
 def scaleup_part(
-    part: DataFrame, part_total: DataFrame, keys: Sequence[str] = (), outvar: str = "participants"
+    part: DataFrame,
+    part_total: DataFrame,
+    keys: Sequence[str] = (),
+    outvar: str = "participants",
+    exact: bool = False,
 ) -> DataFrame:
-    """Inflate known categories so that they add up to the year's total, rounded half up."""
+    """Inflate known categories to the year's total, each rounded half up.
+
+    Rounded by themselves, categories can miss the total by a few; with ``exact`` the units are given out by
+    largest remainder, so that they add up to it.
+    """
     by = [*keys, "year"]
     totals = part_total.select(*by, F.col(outvar).alias("_total"))
     known = F.sum(outvar).over(Window.partitionBy(*by))
+    if exact:
+        (category,) = [c for c in part.columns if c not in (*by, outvar)]
+        share = apportioned(outvar, F.col("_total"), by, category)
+        return part.join(totals, by, "left").withColumn(outvar, share).select(*part.columns)
     return (
         part.withColumn("_known", known)
         .join(totals, by, "left")

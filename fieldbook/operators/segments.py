@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldbook.functions import strict_sum
+from fieldbook.functions import apportioned, strict_sum
 from fieldbook.schemas import SEGMENTS
 
 RESIDENT = "Resident"
@@ -74,12 +74,13 @@ def segment_counts(
     )
 
 
-def segment_measures(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def segment_measures(counts: DataFrame, keys: Sequence[str], exact: bool = False) -> DataFrame:
     """Scaled-up ``participants``, ``residents`` and ``recruits``, and ``churn``, per segment row.
 
     Counts of a segment are inflated to the year's total.  Residents are inflated to the already
     inflated number of residents; county participants are residents only, while county churn covers
-    everybody.  ``churn`` is NULL where lapse is not known for every person.
+    everybody.  ``churn`` is NULL where lapse is not known for every person.  With ``exact`` the categories of
+    a segment add up to the total they are inflated to (largest remainders), otherwise each is rounded.
     """
     year = Window.partitionBy(*keys, "year")
     segment = Window.partitionBy(*keys, "year", "segment")
@@ -88,6 +89,8 @@ def segment_measures(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def scaled(df: DataFrame, count: str, resident_count: str, out: str, out_res: str) -> DataFrame:
         def inflate(value: str, total: str) -> Column:
+            if exact:
+                return apportioned(value, F.col(total), [*keys, "year", "segment"], "category")
             return F.round(F.col(value) * F.col(total) / F.sum(value).over(segment)).cast("long")
 
         return (

@@ -68,6 +68,23 @@ def load_history(store, group: str, yrs: Iterable[int]) -> DataFrame:
     )
 
 
+def load_histories(store, chosen: DataFrame, yrs: Iterable[int]) -> DataFrame:
+    """Histories of the permissions in ``chosen`` (column ``permission``), which may be any query.
+
+    The names are not known when the plan is made.  The join hands them to the scan at run time, so only the
+    partitions of permissions that turn up in ``chosen`` are read (dynamic partition pruning); permissions keep
+    their column.  For that ``chosen`` has to be small or filtered, and history stored by permission.
+    """
+    wanted = chosen.select("permission").distinct()
+    history = load_table(store, "history", lambda t: t.filter(F.col("year").isin(*yrs)))
+    return history.join(wanted, "permission", "left_semi")
+
+
+def permissions_of(store, lic_ids: DataFrame) -> DataFrame:
+    """Permissions that any of the license types in ``lic_ids`` belongs to, for ``load_histories``."""
+    return load_table(store, "permission").join(lic_ids.select("lic_id"), "lic_id", "left_semi").select("permission").distinct()
+
+
 def load_license(
     store,
     yrs: Iterable[int],

@@ -333,6 +333,9 @@ ORACLE["load_pop"] = _q("SELECT state_abbrev, county_fips, year, sex, age, age_a
 ORACLE["load_lic_ids"] = _q("SELECT lic_id FROM permission WHERE permission = 'deer'")
 ORACLE["load_history"] = _h("""
 SELECT cust_id, year, duration_run, lapse, R3, month, res FROM history WHERE permission = 'deer' AND year IN (2000, 2001)""")
+ORACLE["load_histories"] = _h("""
+SELECT * FROM history WHERE year IN (2000, 2001) AND permission IN (
+  SELECT permission FROM permission JOIN lic USING (lic_id) WHERE priv = 'trout' AND duration > 1)""")
 ORACLE["load_license_sale"] = _q("SELECT cust_id, lic_id, year, res, month FROM sale WHERE year BETWEEN 1999 AND 2001")
 ORACLE["cust_sample"] = _samp("SELECT cust_id FROM chosen")
 ORACLE["cust_sample_hash"] = _samp("""
@@ -414,6 +417,20 @@ broken AS (
   SELECT lic_id, CASE WHEN type <> 'trap' THEN type END AS type, duration FROM lic WHERE lic_id % 7 <> 0
   UNION ALL SELECT lic_id, CASE WHEN type <> 'trap' THEN type END, duration FROM lic WHERE lic_id % 7 <> 0 AND lic_id % 10 = 1)""")
 
+_TAGGED = """
+tagged AS (
+  SELECT cust_id, lic_id, year, res, month,
+    list_filter([CASE WHEN year IS NULL OR year < 1997 OR year > 2001 THEN 'year' END,
+      CASE WHEN month IS NULL OR month NOT BETWEEN 1 AND 11 THEN 'month' END, CASE WHEN res <> 1 THEN 'res' END,
+      CASE WHEN cust_id NOT IN (SELECT cust_id FROM cust WHERE county_fips IS NOT NULL) THEN 'cust_id' END,
+      CASE WHEN lic_id % 7 = 0 THEN 'lic_id' END], lambda x: x IS NOT NULL) AS reasons
+  FROM sale)"""
+ORACLE["quarantine_sales"] = _q("SELECT * REPLACE (array_to_string(reasons, ',') AS reasons) FROM tagged WHERE len(reasons) > 0", _TAGGED)
+ORACLE["quarantine_passed"] = _q("SELECT cust_id, lic_id, year, res, month FROM tagged WHERE len(reasons) = 0", _TAGGED)
+ORACLE["quarantine_counts"] = _q("""
+SELECT CASE WHEN "column" IN ('cust_id', 'lic_id') THEN 'foreign_key' ELSE 'allowed_values' END AS "check", 'sale' AS "table", "column", count(*) AS n_bad
+FROM (SELECT unnest(reasons) AS "column" FROM tagged) GROUP BY ALL""", _TAGGED)
+
 # ---- filters, projections, scalar functions
 ORACLE["sale_group"] = _q("""
 SELECT DISTINCT cust_id, year, month FROM sale WHERE lic_id IN (SELECT lic_id FROM permission WHERE permission = 'deer')""")
@@ -461,6 +478,17 @@ SELECT c.cust_id, c.sex, c.birth_year, coalesce(c.county_fips, z.fips) AS county
 FROM cust c LEFT JOIN (
   SELECT 50000 + c_nationkey * 10 + cust_id % 7 AS zip, min(county_fips) AS fips FROM cust WHERE county_fips IS NOT NULL GROUP BY 1) z
   ON z.zip = 50000 + c_nationkey * 10 + c.cust_id % 7""")
+ORACLE["county_of_point"] = _q("""
+SELECT cust_id, long, lat, CAST(min(county_fips) FILTER (crossings % 2 = 1) AS INTEGER) AS county_fips FROM (
+  SELECT p.cust_id, p.long, p.lat, e.county_fips, count(*) FILTER (
+    (e.y1 > p.lat) <> (e.y2 > p.lat) AND p.long < (e.x2 - e.x1) * (p.lat - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1) AS crossings
+  FROM (SELECT c_custkey AS cust_id, c_acctbal / 100 + 0.003 AS long, ((c_custkey * 7) % 9000) / 100 + 0.003 AS lat FROM customer) p,
+    (SELECT county_fips, long AS x1, lat AS y1, lead(long, 1, first) OVER w AS x2, lead(lat, 1, low) OVER w AS y2
+     FROM (SELECT *, first_value(long) OVER w AS first, first_value(lat) OVER w AS low FROM county_map_us
+           WHERE county_fips % 4 = 1 WINDOW w AS (PARTITION BY county_fips ORDER BY seq))
+     WINDOW w AS (PARTITION BY county_fips ORDER BY seq)) e
+  GROUP BY ALL)
+GROUP BY ALL""")
 ORACLE["join_county_map"] = _dash("""
 SELECT d.quarter, d."group", lower(d.segment) AS segment, d.year, d.category, d.metric, d.value, n.county_fips,
   CAST(o.n AS INTEGER) AS n_vertices, o.west, o.north
@@ -537,6 +565,27 @@ ORACLE["scaleup_sex"] = _h("""
 SELECT permission, sex, year, CAST(round(CAST(n * total AS DOUBLE) / sum(n) OVER (PARTITION BY permission, year)) AS BIGINT) AS participants
 FROM (SELECT permission, sex, year, count(*) AS n FROM recoded WHERE sex IS NOT NULL GROUP BY ALL)
 JOIN (SELECT permission, year, count(*) AS total FROM recoded GROUP BY ALL) USING (permission, year)""")
+_UNITS = """CAST(low + CASE WHEN row_number() OVER (PARTITION BY {by} ORDER BY rest DESC, category) <= total - sum(low) OVER (PARTITION BY {by}) THEN 1 ELSE 0 END AS BIGINT)"""
+_SHARES = """SELECT *, (CAST(n AS HUGEINT) * total) // sum(n) OVER (PARTITION BY {by}) AS low,
+    (CAST(n AS HUGEINT) * total) % CAST(sum(n) OVER (PARTITION BY {by}) AS HUGEINT) AS rest"""
+_BY = "permission, segment, year"
+ORACLE["scaleup_exact"] = _h(f"""
+, known AS (
+  SELECT permission, segment, category, year, count(*) AS n FROM (
+    SELECT permission, year, unnest(['res', 'sex', 'agecat']) AS segment, unnest([res, sex, agecat]) AS category FROM recoded)
+  WHERE category IS NOT NULL GROUP BY ALL)
+SELECT permission, segment, category, year, {_UNITS.format(by=_BY)} AS participants
+FROM ({_SHARES.format(by=_BY)} FROM known JOIN (SELECT permission, year, count(*) AS total FROM recoded GROUP BY ALL) USING (permission, year))""")
+ORACLE["calc_part_exact"] = _q(f"""
+, people AS (SELECT segment, category, year, v FROM (
+    SELECT segment, category, year, {_UNITS.format(by="segment, year")} AS v
+    FROM ({_SHARES.format(by="segment, year")} FROM m_all JOIN (SELECT year, n AS total FROM m_all WHERE segment = 'tot') USING (year)))),
+residents AS (
+    SELECT segment, category, year, {_UNITS.format(by="segment, year")} AS v
+    FROM ({_SHARES.format(by="segment, year")} FROM m_home JOIN (SELECT year, v AS total FROM people WHERE category = 'Resident') USING (year)))
+SELECT segment, category, year, p.v AS participants, r.v AS residents FROM people p LEFT JOIN residents r USING (segment, category, year)
+UNION ALL SELECT segment, category, year, v, v FROM residents WHERE segment = 'county'""",
+    HISTORY, _only("cut", "sq = 2 AND permission = 'deer'"), measures("m", "picked"))
 ORACLE["calc_part"] = _q("""
 SELECT segment, category, year, p.v AS participants, r.v AS residents
 FROM m_part p LEFT JOIN m_resd r USING (permission, sq, segment, category, year)""",

@@ -247,6 +247,45 @@ def _dashboard_by_quarter(d: Desk) -> DataFrame:
     return tidy(update.dashboard_of_store(store, d.pop, RULES, DASHBOARD_YEARS, MONTH_YEARS))
 
 
+def _stored_permissions(d: Desk) -> FileStore:
+    """History and license types as files, by permission."""
+    root = fresh_path(d.spark, "chosen")
+    writers.write_history(d.history, f"{root}/history")
+    d.permission.write.parquet(f"{root}/permission")
+    return FileStore(d.spark, root)
+
+
+def _load_histories(d: Desk) -> DataFrame:
+    """Histories of all permissions that a license type for trout belongs to."""
+    store = _stored_permissions(d)
+    return L.load_histories(store, L.permissions_of(store, d.lic.filter("priv = 'trout' and duration > 1")), DASHBOARD_YEARS)
+
+
+def _scaleup_exact(d: Desk) -> DataFrame:
+    """Residency, sex and age of all permissions, each adding up to the year's total."""
+    total, out = M.est_part(d.recoded, "tot", PERM), None
+    for segment in ("res", "sex", "agecat"):
+        part = M.scaleup_part(M.est_part(d.recoded, segment, PERM), total, PERM, exact=True)
+        part = part.select("permission", F.lit(segment).alias("segment"), F.col(segment).alias("category"), "year", "participants")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _county_of_point(d: Desk) -> DataFrame:
+    """Every customer's place against the outlines, moved by a little so that no corner decides."""
+    places = d.star.read("customer").selectExpr("c_custkey as cust_id", "c_acctbal / 100 + 0.003 as long", "((c_custkey * 7) % 9000) / 100 + 0.003 as lat")
+    return geography.county_of_point(places, d.star.county_map().filter("county_fips % 4 = 1"), cell=8.0)
+
+
+def _quarantine(d: Desk) -> tuple[DataFrame, DataFrame]:
+    cust, lic = d.cust.filter("county_fips is not null"), d.lic.filter("lic_id % 7 <> 0")
+    return checks.quarantine_sales(cust, lic, d.sale, max_year=2001, min_year=1997, months=range(1, 12), residencies=(1,))
+
+
+def _quarantine_rows(d: Desk) -> DataFrame:
+    return _quarantine(d)[1].withColumn("reasons", F.array_join("reasons", ","))
+
+
 def _bucketed(d: Desk) -> DataFrame:
     """History and customers stored by customer, and joined as they lie."""
     names = {}
@@ -428,6 +467,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "load_pop": lambda d: L.load_pop(d.store, STATE),
     "load_lic_ids": lambda d: L.load_lic_ids(d.store, "deer"),
     "load_history": _load_history,
+    "load_histories": _load_histories,
     "load_license_sale": lambda d: L.load_license(d.store, MONTH_YEARS).sale,
     "cust_sample": lambda d: sampling.load_cust_samp(d.stored_history.filter("permission = 'all_sports'"), SAMPLE_PCT, SAMPLE_SEED),
     "cust_sample_hash": lambda d: sampling.load_cust_samp(
@@ -450,6 +490,9 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "check_primary_keys": _primary_keys,
     "check_fips_integer": _fips_integer,
     "data_check": _data_check,
+    "quarantine_sales": _quarantine_rows,
+    "quarantine_passed": lambda d: _quarantine(d)[0],
+    "quarantine_counts": lambda d: checks.quarantine_counts(_quarantine(d)[1]),
     # filters, projections, scalar functions
     "sale_group": lambda d: P.sale_group(L.load_sale(d.store, YEARS), L.load_lic_ids(d.store, "deer")),
     "permission_rules": _permission_rules,
@@ -475,6 +518,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "history_enriched": lambda d: H.enrich_history(d.history, d.cust, d.counties),
     "history_bucketed": _bucketed,
     "county_from_zip": _county_from_zip,
+    "county_of_point": _county_of_point,
     "join_county_map": _county_map,
     "county_map_missing": lambda d: geography.county_map_missing(d.stored_dashboard, d.county_map, d.counties),
     # history
@@ -504,6 +548,8 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "priv_rate": _priv_rate,
     "part_rate": _part_rate,
     "scaleup_sex": _scaleup_sex,
+    "scaleup_exact": _scaleup_exact,
+    "calc_part_exact": lambda d: D.calc_part(d.one("deer", 2), exact=True),
     "calc_part": lambda d: D.calc_part(d.one("deer", 2)),
     "month_participants": lambda d: M.est_month(d.sale_months("deer", 2)),
     "month_recruits": _recruit_rows,
