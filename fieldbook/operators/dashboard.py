@@ -165,6 +165,29 @@ def fill_missing_months(
     return dash.unionByName(absent.select(*dash.columns))
 
 
+def fill_missing_categories(
+    dash: DataFrame,
+    categories: Mapping[str, Sequence[str]] | None = None,
+    metrics: Sequence[str] = ("participants", "recruits"),
+) -> DataFrame:
+    """Zero rows for categories of residency, sex and age that nobody is in, so that every view finds all of them.
+
+    A quarter, group, year and metric that has a total gets all ``categories`` (segment label to labels; the
+    fixed ones, if not given), also of a segment without any row.  Counts only: churn and rate of nobody are
+    unknown, not zero, unless ``metrics`` names them.  Labels are exploded from one short array, so nothing is
+    crossed.  ``dash`` is used twice: pass the stored dashboard.
+    """
+    if categories is None:
+        label = S.SEGMENT_LABELS
+        categories = {label["res"]: tuple(S.RES_LABELS.values()), label["sex"]: tuple(S.SEX_LABELS.values()), label["agecat"]: tuple(S.age_labels())}
+    wanted = F.array(*[F.struct(F.lit(s).alias("segment"), F.lit(c).alias("category")) for s, names in categories.items() for c in names])
+    by = ["quarter", "group", "year", "metric"]
+    counted = dash.filter(F.col("metric").isin(*metrics))
+    full = counted.filter(F.col("segment") == S.SEGMENT_LABELS["tot"]).select(*by).distinct().select(*by, F.inline(wanted))
+    absent = full.join(counted.select(*by, "segment", "category"), [*by, "segment", "category"], "left_anti")
+    return dash.unionByName(absent.withColumn("value", F.lit(0.0)).select(*dash.columns))
+
+
 def qa_year_change(dash: DataFrame, thresholds: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
     """Dashboard rows that moved more than their segment's percent threshold since the year before."""
     if thresholds is None:

@@ -610,6 +610,17 @@ FROM ({_metrics_of("hunt", sq, res)})"""
     for name, res in (("home_hunt", "Resident"), ("away_hunt", "Nonresident"))
     for sq in (2, 4)
 )
+ORACLE["fill_missing_categories"] = f"""
+WITH shown AS ({ORACLE["dashboard_all_residency"]})
+SELECT * FROM shown
+UNION ALL
+SELECT quarter, "group", segment, year, category, metric, 0 FROM (
+  SELECT DISTINCT s.quarter, s."group", s.year, s.metric, v.segment, v.category FROM shown s, (VALUES
+    ('Residency', 'Resident'), ('Residency', 'Nonresident'), ('Gender', 'Male'), ('Gender', 'Female'), ('Age', '0-17'), ('Age', '18-24'),
+    ('Age', '25-34'), ('Age', '35-44'), ('Age', '45-54'), ('Age', '55-64'), ('Age', '65+')) v(segment, category)
+  WHERE s.segment = 'All' AND s.metric IN ('participants', 'recruits')) f
+WHERE NOT EXISTS (SELECT 1 FROM shown x WHERE x.quarter = f.quarter AND x."group" = f."group" AND x.year = f.year AND x.metric = f.metric
+  AND x.segment = f.segment AND x.category = f.category)"""
 ORACLE["dashboard"] = _dash("""SELECT * FROM dash WHERE "group" = 'deer' AND quarter = 2""")
 ORACLE["write_dash_roundtrip"] = ORACLE["dashboard_all"]
 ORACLE["fill_missing_months"] = _dash("""

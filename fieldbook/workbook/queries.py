@@ -560,6 +560,7 @@ QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "dashboard_spaced_names": lambda d: d.dashboard_of(SPACED_RULES),
     "dashboard_all_residency": lambda d: d.dashboard_of(RESIDENCY_RULES),
     "fill_missing_months": lambda d: D.fill_missing_months(d.stored_dashboard),
+    "fill_missing_categories": lambda d: D.fill_missing_categories(stage(d.dashboard_of(RESIDENCY_RULES), "dashboard")),
     "qa_year_change": lambda d: D.qa_year_change(d.stored_dashboard),
     "qa_scaleup": _qa_scaleup,
     # exploratory views

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from fieldbook.functions import apportioned
-from fieldbook.operators import checks, geography, metrics as M
+from fieldbook.operators import checks, dashboard as D, geography, metrics as M
 from fieldbook.session import fresh_path
 from fieldbook.sources import loaders as L, writers as W
 from fieldbook.sources.store import FileStore
@@ -59,6 +59,23 @@ def test_every_segment_adds_up(spark, sf_dir, name):
         assert county.join(home, "year").filter("n <> want").count() == 0 < county.count()
 
 
+# ---- categories without people
+
+
+def test_fill_missing_categories(spark):
+    schema = "quarter int, `group` string, segment string, year int, category string, metric string, value double"
+    dash = spark.createDataFrame(
+        [(2, "deer", "All", 2000, "All", "participants", 5.0), (2, "deer", "Gender", 2000, "Male", "participants", 5.0), (2, "deer", "All", 2000, "All", "churn", 0.5), (2, "deer", "month", 2000, "1", "participants", 5.0)], schema
+    )
+    out = D.fill_missing_categories(dash)
+    new = out.exceptAll(dash)
+    assert new.groupBy("segment").count().collect() != [] and {(r["segment"], r["count"]) for r in new.groupBy("segment").count().collect()} == {("Residency", 2), ("Gender", 1), ("Age", 7)}
+    assert {(r["metric"], r["value"]) for r in new.collect()} == {("participants", 0.0)}
+    assert rows(D.fill_missing_categories(out)) == rows(out)  # nothing is filled twice
+    assert D.fill_missing_categories(dash, {"Gender": ["Male"]}, ["churn"]).filter("metric = 'churn' and segment = 'Gender'").count() == 1
+    assert D.fill_missing_categories(dash.limit(0)).count() == 0
+
+
 # ---- points in outlines
 
 STAR = [(math.cos(a) * r * 3 + 1, math.sin(a) * r * 2 - 1) for a, r in ((i * math.pi / 5 + 0.1, 1 if i % 2 else 0.35) for i in range(10))]
