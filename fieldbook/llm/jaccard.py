@@ -14,9 +14,11 @@ between classes.
 
 Lists are scanned in key order.  A list's first member is compared with the others; members that the links found so
 far already put in one component need no comparison.  Lists that still hold several components go on with the next
-member.  What is left after these rounds is paired within short lists; members of long ones, mostly groups that differ by
-a little more than a link allows, are joined on the rarest shingles of each set, with bounds on size and on the place of the first common shingle that
-exclude such pairs unseen.  So no link between components is lost, and a group of thousands of near copies costs about
+member.  Linked sets share not one block but as many as a level has to spare, less the empty blocks of either; a set that
+is left in fewer lists of a level than that goes out of all of them, so documents that merely share a passage drop out
+here.  What is left after these rounds is paired within short lists; members of long ones, mostly groups that differ by
+a little more than a link allows, are joined on the rarest shingles of each set, with bounds on size and on the place of
+the first common shingle that exclude such pairs unseen.  So no link between components is lost, and a group of thousands of near copies costs about
 one comparison a member.  Candidates first compare parity bitmaps: where these differ in more bits than linked sets in
 shingles, the pair is no link.  The others are checked exactly.
 """
@@ -46,6 +48,11 @@ STAR_ROUNDS = 2
 SHORT_LIST = 16
 #: size levels grow by this factor
 LEVEL = 1.5
+#: the low bits of a key tell its level, or that it is of a subset
+LEVEL_BITS = 6
+SUBSET = (1 << LEVEL_BITS) - 1
+#: times that sets in too few lists are taken out, which leaves others in too few
+PEELS = 3
 #: 64-bit words of a set's parity bitmap
 BITMAP = 16
 #: broadcast a list of texts to fetch up to this many, shuffle beyond
@@ -136,6 +143,10 @@ def _profiles(k: int):
     return run
 
 
+def _levelled(key: np.ndarray, level: np.ndarray) -> np.ndarray:
+    return (key & ~np.uint64(SUBSET)) | level
+
+
 def _light(values: np.ndarray, at: np.ndarray, n: np.ndarray, cls: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for size in np.unique(n):
         of = np.flatnonzero(n == size)
@@ -144,7 +155,7 @@ def _light(values: np.ndarray, at: np.ndarray, n: np.ndarray, cls: np.ndarray, t
         for c in range(max(1, math.ceil(t * int(size))), int(size) + 1):
             out = np.array(list(itertools.combinations(range(size), int(size) - c)), dtype=np.int64)
             less = h[:, out].sum(axis=2, dtype=np.uint64) if out.shape[1] else np.zeros((len(of), 1), np.uint64)
-            yield tb.mix(tb.mix(whole[:, None] - less) + np.uint64(c)).ravel(), np.repeat(cls[of], less.shape[1])
+            yield _levelled(tb.mix(tb.mix(whole[:, None] - less) + np.uint64(c)).ravel(), np.uint64(SUBSET)), np.repeat(cls[of], less.shape[1])
 
 
 def _heavy(values: np.ndarray, at: np.ndarray, n: np.ndarray, cls: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -164,12 +175,35 @@ def _heavy(values: np.ndarray, at: np.ndarray, n: np.ndarray, cls: np.ndarray, t
         at_first = np.flatnonzero(first)
         digest = np.add.reduceat(tb.mix(h + np.uint64(55)), at_first)
         tag = lambda r, b: lev[r].astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3) + b * np.uint64(0x589965CC75374CC3)
-        yield tb.mix(tb.mix(digest) + tag(rows[at_first], block[at_first])), cls[of][rows[at_first]]
+        yield _levelled(tb.mix(tb.mix(digest) + tag(rows[at_first], block[at_first])), lev[rows[at_first]].astype(np.uint64)), cls[of][rows[at_first]]
         # blocks without a shingle are equal too: they are keys of the few sets that have as many as linked sets need
         filled = np.bincount(rows[at_first], minlength=len(of))
         for r in np.flatnonzero(k - filled >= spare):
             empty = np.setdiff1d(np.arange(k[r], dtype=np.uint64), block[rows == r])
-            yield tb.mix(tag(np.full(len(empty), r), empty)), np.full(len(empty), cls[of][r])
+            yield _levelled(tb.mix(tag(np.full(len(empty), r), empty)), lev[np.full(len(empty), r)].astype(np.uint64)), np.full(len(empty), cls[of][r])
+
+
+def _needs(k: int, t: Fraction):
+    """Of each class and each level that it writes keys of: the keys that it has in common with any linked class at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tb.chunks(batches, "text"):
+            values, row, n, digest = _sets(batch, k)
+            own, most = _levels(n, t)
+            of, levels, needs = [], [], []
+            for level in range(int(own.min(initial=0)), int(most.max(initial=-1)) + 1):
+                at = np.flatnonzero((n > 0) & (own <= level) & (level <= most))
+                blocks, spare = _blocks(level, t)
+                here = np.isin(row, at)
+                block = ((values[here] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+                filled = np.bincount(np.unique(row[here] * blocks + block.astype(np.int64)) // blocks, minlength=batch.num_rows)[at]
+                of.append(tb.signed(digest)[at])
+                levels.append(np.full(len(at), level, dtype=np.int32))
+                needs.append(np.maximum(1, spare - (blocks - filled)).astype(np.int32))
+            columns = [np.concatenate([np.zeros(0, dtype=kind), *x]) for x, kind in ((of, np.int64), (levels, np.int32), (needs, np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cls", "level", "need"])
+
+    return run
 
 
 def _keys(k: int, t: Fraction, boundary: int):
@@ -296,7 +330,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         # the smallest member has met all others: what is left of the list goes on without it
         left = member.join(open_, "key")
         first = left.groupBy("key").agg(F.min("cls").alias("done"))
-        left = stage(left.join(first, "key").where("cls <> done").select("key", "cls", "comp"), "lists")
+        left = _in_enough(texts, stage(left.join(first, "key").where("cls <> done").select("key", "cls", "comp"), "lists"), one_text, k, t)
         if left.isEmpty():
             break
         lists = left.select("key", "cls")
@@ -318,6 +352,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     return placed.join(least, "comp", "left").select("doc_id", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "n_links")
 
 
+def _in_enough(texts: DataFrame, left: DataFrame, one_text: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """The members ``key, cls, comp`` that can still have a partner.
+
+    Two linked classes that have not met are both in all lists that they share, so each is in as many lists of some level
+    as it needs there; lists of one component have no partner to offer.
+    """
+    if left.isEmpty():
+        return left
+    needs = stage(_wanted(texts, left.select("cls"), one_text).mapInArrow(_needs(k, t), "cls long, level int, need int").distinct(), "needs")
+    level = F.col("key").bitwiseAND(F.lit(SUBSET)).cast("int")
+    left = left.withColumn("level", level)
+    for _ in range(PEELS):
+        counts = left.groupBy("cls", "level").agg(F.count(F.lit(1)).alias("lists"))
+        able = counts.join(needs, ["cls", "level"], "left").where((F.col("level") == SUBSET) | (F.col("lists") >= F.col("need"))).select("cls", "level")
+        kept = left.join(able, ["cls", "level"], "left_semi")
+        open_ = kept.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        left = stage(kept.join(open_, "key", "left_semi"), "lists")
+    return left.select("key", "cls", "comp")
+
+
 def _differ_little(t: Fraction, n1: Column, n2: Column, bits1: Column, bits2: Column) -> Column:
     """False where sizes or bitmaps show that two sets do not link: linked ones differ in at most (1 - t) / (1 + t) of their sizes' sum."""
     num, den = t.numerator, t.denominator
