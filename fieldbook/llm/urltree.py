@@ -1,7 +1,9 @@
 """URL filter: rules first, then a path-template tree judged by labelled purity; DataFrame functions only.
 
 Every host's paths form a tree of segments.  Level by level, a segment stays literal where it carries a fair share of
-its node's urls and becomes a wildcard elsewhere (ids, dates, slugs).  Then, deepest level first, labelled branches
+its node's urls, or where its labelled urls have another block rate than the rest of the node's, and becomes a wildcard
+elsewhere (ids, dates, slugs).  The tree is as deep as the paths; a path leaves it where its node has too few urls for
+any segment to stay literal, and has only the number of its further segments in its template.  Then, deepest level first, labelled branches
 whose block rate cannot be told from that of the other labelled ones of their node are merged: into the wildcard if it is
 one of them, else into a branch of their own.  Branches without labels are never merged.  What is left are
 templates; urls that a rule decides are their labels.  A template's block rate is smoothed towards that of the same
@@ -36,9 +38,8 @@ class Rule(NamedTuple):
 
 
 class Settings(NamedTuple):
-    depth: int = 4  # levels with a node each; deeper segments share the node of their number
     min_urls: int = 3  # a literal segment has at least so many urls
-    min_share: float = 0.05  # and at least this share of its node's
+    min_share: float = 0.05  # and at least this share of its node's, or another rate of labels
     z: float = 1.96  # branches less than so many standard errors apart merge
     weight: float = 2.0  # urls that a prior counts for
     block_at: float = 0.5  # smoothed block rate from which a template is rejected
@@ -61,22 +62,37 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits)
 
 
-def _template(paths: DataFrame, s: Settings) -> DataFrame:
-    """``host, path`` with ``t1 .. t<depth>`` (literal, wildcard or null past the end) and ``rest``, the number of further segments."""
+def _template(paths: DataFrame, s: Settings) -> tuple[DataFrame, int]:
+    """``host, path`` with ``t1, t2, ..`` (literal, wildcard, or null past the end) and ``rest``, the number of further segments; and the depth.
+
+    A level looks at the paths that go on in nodes with enough urls, so levels end with the deepest of these.
+    """
     segs = F.filter(F.split("path", "/"), lambda x: x != "")
-    out = paths.withColumn("segs", segs).withColumn("rest", F.greatest(F.lit(0), F.size("segs") - s.depth))
-    for level in range(1, s.depth + 1):
-        node = ["host", *(f"t{i}" for i in range(1, level))]
-        out = out.withColumn("seg", F.get("segs", F.lit(level - 1)))
-        child = out.where("seg is not null").groupBy(*node, "seg").agg(F.sum("urls").alias("n"))
-        whole = child.groupBy(*node).agg(F.sum("n").alias("all"))
-        keep = child.alias("c").join(whole.alias("w"), [F.col(f"c.{x}").eqNullSafe(F.col(f"w.{x}")) for x in node])
-        keep = keep.where((F.col("n") >= s.min_urls) & (F.col("n") >= s.min_share * F.col("all"))).select(*(F.col(f"c.{x}").alias(f"k_{x}") for x in (*node, "seg")))
-        same = [F.col(x).eqNullSafe(F.col(f"k_{x}")) for x in node] + [F.col("seg") == F.col("k_seg")]
-        out = out.join(keep, same, "left")
-        out = out.withColumn(f"t{level}", F.when(F.col("seg").isNull(), F.lit(None)).otherwise(F.coalesce("k_seg", F.lit(WILD)))).drop("seg", *keep.columns)
-        out = stage(out, "paths")
-    return out.drop("segs")
+    left = paths.withColumn("segs", segs)
+    done, level = [], 0
+    while True:
+        node = ["host", *(f"t{i}" for i in range(1, level + 1))]
+        rows = left.withColumn("seg", F.get("segs", F.lit(level)))
+        child = rows.where("seg is not null").groupBy(*node, "seg").agg(F.sum("urls").alias("u"), F.sum("blocked").alias("b"), F.sum("labelled").alias("n"))
+        whole = child.groupBy(*node).agg(F.sum("u").alias("all"), F.sum("b").alias("all_b"), F.sum("n").alias("all_n"))
+        other = (F.col("n") > 0) & (F.col("all_n") > F.col("n")) & _apart(F.col("b"), F.col("n"), s)
+        fair = (F.col("u") >= s.min_urls) & ((F.col("u") >= s.min_share * F.col("all")) | other)
+        big = whole.where(F.col("all") >= s.min_urls).select(*node, F.lit(True).alias("big"))
+        keep = child.join(whole, node).where(fair).select(*node, "seg", F.lit(True).alias("literal"))
+        rows = rows.join(big, node, "left").join(keep, [*node, "seg"], "left")
+        own = F.when(F.col("seg").isNull() | F.col("big").isNull(), F.lit(None)).when(F.col("literal"), F.col("seg")).otherwise(F.lit(WILD))
+        rows = stage(rows.withColumn(f"t{level + 1}", own).drop("seg", "big", "literal"), "paths")
+        done.append((level, rows.where(F.col(f"t{level + 1}").isNull())))
+        left = rows.where(F.col(f"t{level + 1}").isNotNull())
+        if left.isEmpty():
+            break
+        level += 1
+    depth, out = max(1, level), None
+    for at, rows in done:
+        names = [F.col(f"t{i}") if i <= at else F.lit(None).cast("string").alias(f"t{i}") for i in range(1, depth + 1)]
+        part = rows.select("host", "path", "urls", "labelled", "blocked", *names, (F.size("segs") - at).alias("rest"))
+        out = part if out is None else out.unionByName(part)
+    return out, depth
 
 
 def _apart(b: Column, n: Column, s: Settings) -> Column:
@@ -87,11 +103,11 @@ def _apart(b: Column, n: Column, s: Settings) -> Column:
     return F.when((n > 0) & (rest_n > 0), F.abs(b / n - rest_b / rest_n) > s.z * error).otherwise(F.lit(True))
 
 
-def _merged(tree: DataFrame, s: Settings) -> DataFrame:
+def _merged(tree: DataFrame, depth: int, s: Settings) -> DataFrame:
     """Templates with their label counts; ``m1 ..`` are the segments after merging, deepest level first."""
-    names = [f"t{i}" for i in range(1, s.depth + 1)]
+    names = [f"t{i}" for i in range(1, depth + 1)]
     out = tree.select("*", *(F.col(t).alias("m" + t[1:]) for t in names))
-    for level in range(s.depth, 0, -1):
+    for level in range(depth, 0, -1):
         node = ["host", *(f"t{i}" for i in range(1, level))]
         own, at = f"t{level}", f"m{level}"
         branch = out.where(F.col(own).isNotNull()).groupBy(*node, own).agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("n"))
@@ -104,7 +120,7 @@ def _merged(tree: DataFrame, s: Settings) -> DataFrame:
         same = [F.col(x).eqNullSafe(F.col(f"k_{x}")) for x in (*node, own)]
         out = out.join(named, same, "left").withColumn(at, F.col("name")).drop(*named.columns)
         out = stage(out, "templates")
-    shape = F.concat_ws("/", *(F.col(f"m{i}") for i in range(1, s.depth + 1)), F.when(F.col("rest") > 0, F.concat(F.lit("+"), F.col("rest").cast("string"))))
+    shape = F.concat_ws("/", *(F.col(f"m{i}") for i in range(1, depth + 1)), F.when(F.col("rest") > 0, F.concat(F.lit("+"), F.col("rest").cast("string"))))
     return out.withColumn("template", F.concat(F.lit("/"), shape))
 
 
@@ -126,10 +142,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule], settings: Settings | None =
     blocks = [r.name for r in rules if r.verdict == "block"]
     paths = rows.groupBy("host", "path", "rule").agg(F.count("*").alias("urls"))
     paths = paths.withColumn("labelled", F.when(F.col("rule").isNull(), 0).otherwise(F.col("urls"))).withColumn("blocked", F.when(F.col("rule").isin(blocks), F.col("urls")).otherwise(0) if blocks else F.lit(0).cast("long"))
-    placed = _template(stage(paths, "paths"), s)
-    names = [f"t{i}" for i in range(1, s.depth + 1)]
+    placed, depth = _template(stage(paths, "paths"), s)
+    names = [f"t{i}" for i in range(1, depth + 1)]
     tree = placed.groupBy("host", *names, "rest").agg(*(F.sum(x).alias(x) for x in ("urls", "labelled", "blocked")))
-    tree = _merged(stage(tree, "tree"), s)
+    tree = _merged(stage(tree, "tree"), depth, s)
     sums = lambda by, tag: tree.groupBy(*by).agg(F.sum("blocked").alias(f"b_{tag}"), F.sum("labelled").alias(f"n_{tag}"))
     rated = tree.join(sums(["host", "template"], "own"), ["host", "template"]).join(sums(["host"], "host"), "host")
     section = sums([*names, "rest"], "section").select(*(F.col(x).alias(f"s_{x}") for x in (*names, "rest")), "b_section", "n_section")
