@@ -13,7 +13,7 @@ BLOCKS = frozenset(
     "form fieldset legend figure figcaption blockquote pre address details summary dialog hr center menu hgroup search".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head script style noscript template svg math iframe object select textarea button video audio canvas noframes title".split())
+SILENT = frozenset("head script style noscript template svg iframe object select textarea button video audio canvas noframes title".split())
 RAW = frozenset("script style textarea title iframe noframes noscript".split())
 CLOSES_P = BLOCKS - frozenset("html body li dt dd td th tr thead tbody tfoot caption legend summary figcaption".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -30,8 +30,13 @@ ROLES = (
     ("article", "main"), ("nav", "header", "footer", "aside"), ("form", "fieldset", "legend", "search", "dialog"), ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"),
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-keep)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_KEY = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+#: attributes that are looked at
+_NAMING = frozenset(("class", "id", "role", "itemprop"))
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
@@ -48,30 +53,76 @@ class Page:
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters in links
 
 
-def _names(attributes: str) -> tuple[int, int, str]:
+class _Reader:
+    """Tags of a page, one after the other; each character is looked at a bounded number of times."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.gone: set[str] = set()  # quotes that do not come any more
+
+    def tag(self, at: int) -> tuple[int, str, dict[str, str], bool] | None:
+        """The tag whose name begins at ``at``: where it ends, its name, the attributes looked at, whether a slash closes it.
+
+        Quotes count only right after an equals sign; one that is never closed counts as an ordinary letter.  None if
+        the page ends within the tag.
+        """
+        source, found = self.source, {}
+        name = _NAME.match(source, at)
+        at = name.end()
+        while True:
+            gap = _GAP.match(source, at)
+            at = gap.end()
+            if at >= len(source):
+                return None
+            if source[at] == ">":
+                return at + 1, name.group().lower(), found, gap.group().endswith("/")
+            key = _KEY.match(source, at)
+            at = key.end()
+            equals = _EQUALS.match(source, at)
+            if not equals:
+                continue
+            at = equals.end()
+            quote, end = source[at : at + 1], -1
+            if quote in ("'", '"') and quote not in self.gone:
+                end = source.find(quote, at + 1)
+                if end < 0:
+                    self.gone.add(quote)
+            if end >= 0:
+                value, at = source[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(source, at)
+                value, at = bare.group(), bare.end()
+            name_ = key.group().lower()
+            if name_ in _NAMING or name_ == "data-keep":
+                found.setdefault(name_, value)
+
+
+def _names(attributes: dict[str, str]) -> tuple[int, int, str]:
     away = towards = 0
-    keep = ""
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        if name.lower() == "data-keep":
-            keep = value
-            continue
-        parts = [w.lower() for w in _WORD.findall(value)]
+    for name in _NAMING & attributes.keys():
+        parts = [w.lower() for w in _WORD.findall(attributes[name])]
         away += sum(w in AWAY for w in parts)
         towards += sum(w in TOWARDS for w in parts)
-    return away, towards, keep
+    return away, towards, attributes.get("data-keep", "")
 
 
 def read(source: str) -> Page:
-    """Never fails: unknown, unclosed and misplaced tags are taken as browsers would, roughly."""
-    page = Page()
+    """Never fails: unknown, unclosed and misplaced tags are taken as browsers would, roughly.
+
+    Time grows with the length of the page, whatever its markup: the nearest open element of a name, and the nearest
+    open block, are at hand without a walk over those in between.  What follows an unclosed comment, or a tag in which
+    the page ends, is no text.
+    """
+    page, reader = Page(), _Reader(source)
     stack: list[tuple[str, int]] = [("", -1)]  # open elements and the block each is in
+    places: dict[str, list[int]] = {}  # of each name, where in the stack it is open
+    blocks: list[int] = []  # where in the stack blocks are open
     text: list[str] = []
     linked = [0]
     links = silent = 0
 
-    def node(tag: str, attributes: str) -> int:
-        away, towards, keep = _names(attributes) if "=" in attributes else (0, 0, "")
+    def node(tag: str, attributes: dict[str, str]) -> int:
+        away, towards, keep = _names(attributes) if attributes else (0, 0, "")
         page.parent.append(stack[-1][1])
         page.tag.append(tag)
         page.away.append(away)
@@ -85,19 +136,31 @@ def read(source: str) -> Page:
             run = " ".join("".join(text).split())
             if run:
                 if stack[-1][1] < 0:
-                    stack[0] = ("", node("body", ""))
+                    stack[0] = ("", node("body", {}))
                     stack[:] = [(t, b if b >= 0 else stack[0][1]) for t, b in stack]
                 page.runs.append((stack[-1][1], run, min(linked[0], len(run))))
             text.clear()
         linked[0] = 0
 
+    def nearest(names: tuple[str, ...]) -> int:
+        return max((places[t][-1] for t in names if places.get(t)), default=0)
+
+    def open_(tag: str, block: int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            blocks.append(len(stack))
+        stack.append((tag, block))
+
     def close(down_to: int) -> None:
         nonlocal links, silent
-        if any(t in BLOCKS for t, _ in stack[down_to:]):
+        if blocks and blocks[-1] >= down_to:
             flush()
         for t, _ in stack[down_to:]:
             links -= t == "a"
             silent -= t in SILENT
+            places[t].pop()
+        while blocks and blocks[-1] >= down_to:
+            blocks.pop()
         del stack[down_to:]
 
     def words(part: str) -> None:
@@ -107,27 +170,34 @@ def read(source: str) -> Page:
             if links:
                 linked[0] += len(plain.strip())
 
-    at = 0
+    at = begun = 0
     while True:
-        found = _TOKEN.search(source, at)
-        if not found:
-            words(source[at:])
+        at = source.find("<", at)
+        if at < 0:
+            words(source[begun:])
             break
-        words(source[at : found.start()])
-        at = found.end()
-        end, tag, attributes = found.group(1), found.group(2), found.group(3)
-        if tag is None:
-            end, tag, attributes = found.group(4), found.group(5), found.group(6)
-            if tag is None:
+        if not _NAME.match(source, at + 1):
+            if source[at + 1 : at + 2] not in ("!", "?", "/"):
+                at += 1  # a sign, not a tag
                 continue
-        tag = tag.lower()
-        if end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS and tag not in BLOCKS and tag not in SILENT:
-                    break
+            words(source[begun:at])
+            comment = source.startswith("<!--", at)
+            over = source.find("-->" if comment else ">", at + (2 if comment else 1))
+            if over < 0:
+                break
+            begun = at = over + (3 if comment else 1)
+            continue
+        words(source[begun:at])
+        found = reader.tag(at + 1)
+        if found is None:
+            break
+        begun = at = found[0]
+        _, tag, attributes, slash = found
+        if tag.startswith("/"):
+            tag = tag[1:]
+            i = nearest((tag,))
+            if i and (tag in BLOCKS or tag in SILENT or not blocks or blocks[-1] < i):
+                close(i)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -136,35 +206,28 @@ def read(source: str) -> Page:
                 text.append(" " if tag == "br" else "")
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            if blocks and stack[blocks[-1]][0] == "p":
+                close(blocks[-1])
         elif tag in SIBLINGS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in SIBLINGS[tag]:
-                    close(i)
-                    break
-                if stack[i][0] in SCOPES[tag]:
-                    break
+            i = nearest(SIBLINGS[tag])
+            if i > nearest(SCOPES[tag]):
+                close(i)
         if tag == "body" and stack[-1][0] == "head":
             close(len(stack) - 1)
         if tag in BLOCKS:
             flush()
-            stack.append((tag, node(tag, attributes)))
+            open_(tag, node(tag, attributes))
         else:
-            if attributes.endswith("/") and tag in SILENT:
+            if slash and tag in SILENT:
                 continue
-            stack.append((tag, stack[-1][1]))
+            open_(tag, stack[-1][1])
             if stack[-1][1] >= 0:
                 page.inline[stack[-1][1]] += 1
             links += tag == "a"
             silent += tag in SILENT
         if tag in RAW:
             over = re.compile(rf"</{tag}\b", re.I).search(source, at)
-            at = over.start() if over else len(source)
+            begun = at = over.start() if over else len(source)
     flush()
     return page
 

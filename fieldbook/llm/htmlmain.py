@@ -235,10 +235,14 @@ def train(sources: list[str], s: Settings) -> Forest | None:
 
 
 def learn(pages: DataFrame, settings: Settings | None = None) -> Forest | None:
-    """A forest from the ``sample_pages`` pages of least hash (with html, at most 65,536 characters)."""
+    """A forest from the ``sample_pages`` distinct pages of least hash (with html, at most 65,536 characters).
+
+    Hashes are sorted out first, so a task sends as many numbers, not pages; then those pages are fetched.
+    """
     s = settings or Settings()
-    usable = pages.where(F.length("html").between(1, TRAIN_CHARS))
-    rows = usable.select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(s.sample_pages).collect()
+    usable = pages.where(F.length("html").between(1, TRAIN_CHARS)).select(F.xxhash64("html").alias("h"), "html")
+    least = usable.select("h").distinct().orderBy("h").limit(s.sample_pages)
+    rows = usable.join(F.broadcast(least), "h").groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()
     return train([r["html"] for r in rows], s)
 
 
