@@ -120,12 +120,25 @@ def _mutual(links: np.ndarray, most: int, unit: np.ndarray, of: np.ndarray) -> n
     return out
 
 
+def _even(vectors: np.ndarray) -> np.ndarray:
+    """Doubles, each vector scaled by a power of two so that its largest component is about one: exact, and no square overflows."""
+    wide = vectors.astype(np.float64)
+    _, exponent = np.frexp(np.abs(wide).max(axis=1, initial=0))
+    half = exponent // 2  # in two steps, as the power itself may be out of range
+    return np.ldexp(np.ldexp(wide, -half[:, None]), (half - exponent)[:, None])
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    wide = _even(vectors)
+    return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
+
+
 def build(vectors: np.ndarray, s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """Levels from the lowest: positions of its nodes and their neighbours (positions in the level, -1 for none).
 
     Rows are taken to be in random order: a level has the first sixteenth of the one below.
     """
-    unit = (vectors / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
+    unit = _unit(vectors)
     levels, n = [], len(unit)
     while True:
         of = np.arange(n)
@@ -141,8 +154,8 @@ def build(vectors: np.ndarray, s: Settings) -> list[tuple[np.ndarray, np.ndarray
 
 def search(vectors: np.ndarray, levels: list, queries: np.ndarray, s: Settings) -> np.ndarray:
     """Positions of the beam of each query at the end; -1 where it holds fewer."""
-    unit = (vectors / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
-    q = (queries / np.linalg.norm(queries.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
+    unit = _unit(vectors)
+    q = _unit(queries)
     rows = np.arange(len(q))[:, None]
     top = len(levels[-1][0])
     whole = q @ unit[:top].T
@@ -229,10 +242,10 @@ def _searched(k: int, s: Settings):
                 return
             q = np.frombuffer(b"".join(v for _, v in waiting), dtype=vectors.dtype).reshape(len(waiting), -1)
             beam = search(vectors, levels, q, s)
-            wide = vectors.astype(np.float64)
+            wide = _even(vectors)
             norms = np.linalg.norm(wide, axis=1)
             rows = []
-            for (own, _), v, b in zip(waiting, q.astype(np.float64), beam, strict=True):
+            for (own, _), v, b in zip(waiting, _even(q), beam, strict=True):
                 b = b[b >= 0]
                 # one dot product at a time, so that equal pairs get equal scores whatever else is looked at
                 score = np.array([np.dot(wide[i], v) for i in b]) / (norms[b] * np.sqrt(np.dot(v, v)))
@@ -265,7 +278,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, settings: Settings
     """``query_id, rank, vec_id, score``: for rows of ``vectors(vec_id, embedding)`` with an id divisible by ``every``, the k nearest others by cosine.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without an id.
-    Vectors meet only vectors of their own length.  Ties go to the smaller id; equal vectors are found together.
+    All others have a finite cosine, however large or small their components are.  Vectors meet only vectors of their own length.  Ties go to the smaller id; equal vectors are found together.
     Repeated rows count once; a query with fewer than k others gets all of them.  Empty tables give empty tables; other
     columns are ignored.
     """

@@ -171,3 +171,172 @@ def test_nearest_recall_over_shards(spark):
     found = {(r["query_id"], r["vec_id"]) for r in got}
     assert len(got) == 300
     assert np.mean([(q, i) in found for q, v in want.items() for i, _ in v]) >= 0.9
+
+
+# ---- urls at any depth
+
+
+def test_sections_below_the_fourth_level_are_told_apart(spark):
+    rules = [urltree.Rule(h, "/a/b/c/d/bad/", "block") for h in ("x.com", "y.com")] + [urltree.Rule(h, "/a/b/c/d/good/", "allow") for h in ("x.com", "y.com")]
+    urls = [f"http://{h}/a/b/c/d/{kind}/{i}" for h, n in (("x.com", 40), ("y.com", 40), ("z.org", 20)) for kind in ("bad", "good") for i in range(n)]
+    out = urltree.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    for r in out:
+        assert r["verdict"] == ("block" if "/bad/" in r["path"] else "allow"), r
+    assert {r["template"] for r in out if r["host"] == "z.org"} == {"/a/b/c/d/bad/*", "/a/b/c/d/good/*"}
+
+
+def test_a_small_blocked_section_among_many_stays_literal(spark):
+    """Forty even sections have 2.5 % of the urls each; the blocked one is told by its labels."""
+    rules = [urltree.Rule("x.com", f"/s{i:02}/", "block" if i == 7 else "allow") for i in range(40)]
+    urls = [f"http://x.com/s{i:02}/{n}" for i in range(40) for n in range(10)]
+    out = urltree.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    rates = {r["path"].split("/")[1]: (r["template"], r["block_rate"]) for r in out}
+    assert rates["s07"][0] == "/s07/*" and rates["s07"][1] > 0.5 > max(v for k, (_, v) in rates.items() if k != "s07")
+
+
+def brute_templates(urls, rules, s):
+    """Template and block rate of each (host, path), by a tree of dictionaries."""
+    groups = {}
+    for url in urls:
+        host, path, rule = brute_rule(url, rules)
+        blocked = rule is not None and next(r.verdict for r in rules if r.name == rule) == "block"
+        g = groups.setdefault((host, path), [0, 0, 0, [x for x in path.split("/") if x]])
+        g[0], g[1], g[2] = g[0] + 1, g[1] + blocked, g[2] + (rule is not None)
+
+    def apart(b, n, all_b, all_n):
+        if not (n > 0 and all_n - n > 0):
+            return True
+        rate = all_b / all_n
+        return abs(b / n - (all_b - b) / (all_n - n)) > s.z * np.sqrt(rate * (1 - rate) * (1 / n + 1 / (all_n - n)))
+
+    own = {k: [] for k in groups}
+    level, left = 0, list(groups)
+    while left:
+        child, whole = {}, {}
+        for k in left:
+            u, b, n, segs = groups[k]
+            if len(segs) > level:
+                node = (k[0], *own[k])
+                for into, key in ((child, (node, segs[level])), (whole, node)):
+                    have = into.setdefault(key, [0, 0, 0])
+                    for i, v in enumerate((u, b, n)):
+                        have[i] += v
+        nxt = []
+        for k in left:
+            segs, node = groups[k][3], (k[0], *own[k])
+            if len(segs) <= level or whole[node][0] < s.min_urls:
+                continue
+            (u, b, n), (all_u, all_b, all_n) = child[node, segs[level]], whole[node]
+            literal = u >= s.min_urls and (u >= s.min_share * all_u or (n > 0 and all_n > n and apart(b, n, all_b, all_n)))
+            own[k] = [*own[k], segs[level] if literal else "*"]
+            nxt.append(k)
+        left, level = nxt, level + 1
+    depth = max(map(len, own.values()))
+    merged = {k: list(t) for k, t in own.items()}
+    for at in range(depth - 1, -1, -1):
+        branch, whole = {}, {}
+        for k, t in own.items():
+            if len(t) > at:
+                node = (k[0], *t[:at])
+                for into, key in ((branch, (node, t[at])), (whole, node)):
+                    have = into.setdefault(key, [0, 0])
+                    have[0], have[1] = have[0] + groups[k][1], have[1] + groups[k][2]
+        for k, t in own.items():
+            if len(t) > at:
+                node = (k[0], *t[:at])
+                wild = branch.get((node, "*"), [0, 0])
+                if not apart(*branch[node, t[at]], *whole[node]):
+                    merged[k][at] = "(*)" if apart(*wild, *whole[node]) else "*"
+    rest = {k: len(groups[k][3]) - len(t) for k, t in own.items()}
+    name = {k: "/" + "/".join([*m, *([f"+{rest[k]}"] if rest[k] else [])]) for k, m in merged.items()}
+
+    def sums(key):
+        out = {}
+        for k in groups:
+            have = out.setdefault(key(k), [0, 0])
+            have[0], have[1] = have[0] + groups[k][1], have[1] + groups[k][2]
+        return out
+
+    keys = (lambda k: k[0], lambda k: (*own[k], "|", rest[k]), lambda k: (k[0], name[k]))
+    tables = [sums(key) for key in keys]
+    b, n = (sum(g[i] for g in groups.values()) for i in (1, 2))
+    out = {}
+    for k in groups:
+        rate = (b + 0.5 * s.weight) / (n + s.weight)
+        for key, table in zip(keys, tables, strict=True):
+            rate = (table[key(k)][0] + s.weight * rate) / (table[key(k)][1] + s.weight)
+        out[k] = (name[k], rate)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_equal_a_tree_of_dictionaries(spark, seed):
+    rng = np.random.default_rng(seed)
+    words = ["a", "b", "news", "shop", "x", "*"]
+    urls = []
+    for _ in range(500):
+        deep = int(rng.integers(0, 8))
+        parts = [words[int(rng.integers(0, 1 + int(rng.integers(0, 6))))] if rng.random() < 0.8 else f"id{rng.integers(0, 300)}" for _ in range(deep)]
+        urls.append(f"http://{('h1.com', 'h2.com', 'n.h1.com', 'solo.org')[int(rng.choice(4, p=[0.5, 0.3, 0.195, 0.005]))]}/" + "/".join(parts))
+    rules = [urltree.Rule("h1.com", "/a/", "block"), urltree.Rule("h1.com", "/a/b/", "allow"), urltree.Rule("h2.com", "/a/a/a/a/a/", "block"), urltree.Rule("h2.com", "/b", "allow"), urltree.Rule("com", "/a/a/b/", "allow")]
+    want = brute_templates(urls, rules, urltree.Settings())
+    out = urltree.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    assert len(out) == len(urls)
+    for r in out:
+        template, rate = want[r["host"], r["path"]]
+        assert r["template"] == template and abs(r["block_rate"] - rate) < 1e-9, (r, template, rate)
+
+
+# ---- markup
+
+
+def texts_of(source):
+    return [run for _, run, _ in dom.read(source).runs]
+
+
+def test_quotes_count_right_after_an_equals_sign_only():
+    assert texts_of("<article><p title=don't>alpha</p><p>beta</p><p title=it's>gamma</p></article>") == ["alpha", "beta", "gamma"]
+    assert texts_of("<p a='x>y' b=\"p>q\" c=z>one</p><p d = 'e'f>two</p><p \"odd'>three</p>") == ["one", "two", "three"]
+    assert texts_of("<p title=\"never closed>four</p><p>five</p>") == ["four", "five"]
+    assert dom.read("<div class=side-bar id='menu' CLASS=x>a</div>").away[0] == 2
+    assert texts_of("1 < 2 and 3<4 x<br/>y<p>z</p") == ["1 < 2 and 3<4 x y", "z"]
+
+
+def test_formulas_stay_and_comments_go():
+    assert texts_of("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<!-- > no --> here</p><!-- open") == ["so x=1 holds here"]
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<div>|</p>", '<a title="x\' |', "<script |", "<p><li>|<b>|<div></div>", "<li><ul>|<div>|<li></li>", "<|", "<a b='|", "<td>|<tr>", "<em>x</b>|", "<!--|<!-"],
+)
+def test_hostile_markup_takes_time_in_proportion(piece):
+    import time
+
+    once, *many = piece.split("|") if piece.startswith(("<p>", "<li>")) else ("", *piece.split("|"))
+    page = once + "".join(m * (500_000 // max(1, len("".join(many)))) for m in many)
+    start = time.process_time()
+    dom.features(dom.read(page))
+    assert time.process_time() - start < 25  # it took minutes with a walk over open elements
+
+
+def test_deep_and_long_pages_are_extracted(spark):
+    body = "".join(f"<p>{TEXT} {i}</p>" for i in range(1500))
+    rows = [(1, "u", f"<html><body>{'<div>' * 3000}<article>{body}</article></body></html>"), (2, "v", "<div>" * 20000 + "x")]
+    learned = htmlmain.learn(spark.createDataFrame([(i, "u", f"<html><body><nav><a>menu {i}</a></nav><article>{'<p>' + TEXT + str(i) + '</p>'}</article></body></html>") for i in range(60)] * 2, "page_id long, url string, html string"))
+    out = {r["page_id"]: r["text"] for r in htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), learned).collect()}
+    assert len(out) == 2 and out[1].count(TEXT.strip()[:40]) in (0, 4 * 1500)
+
+
+# ---- vectors at the ends of the range
+
+
+def test_cosine_of_extreme_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (50, [1e-200, 0.0]), (1, [1.0, 1.0]), (2, [3e-310, 3e-310]), (3, [-1e300, 1e-300]), (4, [1.0, 0.0]), (5, [1e308, 1.7e308]), (100, [0.0, 0.0]), (6, [float("inf"), 1.0])]
+    got = hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, k=10).collect()
+    good = {i: np.array([float(x) / max(map(abs, v)) for x in v]) for i, v in rows if np.isfinite(v).all() and any(v)}
+    want = {(q, i): float(good[q] @ good[i] / (np.linalg.norm(good[q]) * np.linalg.norm(good[i]))) for q in (0, 50) for i in good if i != q}
+    assert {(r["query_id"], r["vec_id"]) for r in got} == set(want)
+    for r in got:
+        assert abs(r["score"] - want[r["query_id"], r["vec_id"]]) < 1e-12
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])) if r["query_id"] == 50][0] == 4
