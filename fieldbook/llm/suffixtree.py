@@ -1,16 +1,16 @@
 """Language-model scores by a probabilistic suffix tree.
 
-The tree's symbols are bytes of lower-cased text, words ending in a space and a text in a newline.  Contexts of up to
-``depth`` symbols are states of the tree if they are frequent enough and if what follows them diverges from what follows
-their own suffix by more than chance; next-symbol distributions are smoothed towards the suffix's.  A symbol is scored
-in the longest state that its past ends in.  As for the base score, tokens are the training words and one token that
-stands for all others.  The latter has the probability that the words seen once suggest (Good and Turing); a known token
-mixes the tree's probability of its spelling, given the text so far, with its share of the training tokens.
-
-Counting is Spark's: each task counts its symbol strings and words before anything is shuffled.  What the driver and
-the tasks hold of the tree is bounded by ``least``: strings with a smaller share of all symbols are not kept, so there are
-at most 1 / ``least`` of each length, at every size of the corpus.  Word counts are not bounded; they are joined with the
-words of each block of text (see ``blocks``) and never gathered.
+The tree's symbols are bytes of lower-cased text, words ending in a space and a text in a newline.  A context of up to
+``depth`` symbols is a state of the tree if it is seen ``least`` times and if what follows it diverges from what follows
+its longest suffix in the tree by more than chance.  Both cuts are absolute, so the tree grows with the corpus.  A
+state's next-symbol distribution is smoothed towards that suffix's; a symbol is scored in the longest state that its past
+ends in.  As for the base score, tokens are the training words and one token that stands for all others.  The latter has
+the probability that the words seen once suggest (Good and Turing); a known token mixes the tree's probability of its
+spelling, given the text so far, with its share of the training tokens.
+
+Counts, tree and scores are Spark tables.  Each task counts its symbol strings and words before anything is shuffled; the
+tree is worked out level by level with a join and a window (a context has at most 256 next symbols, so no key is hot); each
+block of text (see ``blocks``) asks for the words and contexts that stand in it.  Only sums come to the driver.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm import blocks
@@ -32,29 +32,26 @@ from fieldbook.session import stage
 SPACE, NEWLINE = 0x20, 0x0A
 #: key of the end token among word hashes
 END = np.uint64(0x5851F42D4C957F2D)
-_COLUMNS = "block long, seq int, key long, n long, blob binary"
+_COLUMNS = "block long, seq int, key long, n long, next array<float>, blob binary"
 
 
 @dataclass(frozen=True)
 class Settings:
-    depth: int = 5  # longest context, at most 7
-    least: float = 5e-7  # share of all symbols that a string needs to be kept
-    divergence: float = 3.0  # log likelihood that a context must gain for each of its symbols
-    weight: float = 0.2  # of the tree in a known token's probability
+    depth: int = 6  # longest context, at most 7
+    least: int = 4  # times that a state is seen
+    divergence: float = 3.0  # log likelihood that a state must gain for each of its symbols
+    weight: float = 0.4  # of the tree in a known token's probability
     hold: int = 4_000_000  # distinct strings that a counting task holds before it sends them
 
 
-@dataclass
-class Tree:
-    root: np.ndarray  # probability of each byte
-    contexts: list[np.ndarray]  # by depth from 1: packed states, ascending
-    spare: list[np.ndarray]  # what each state leaves to its suffix
-    strings: list[np.ndarray]  # by depth from 1: packed context and symbol, ascending
-    chance: list[np.ndarray]  # the symbol's probability in that state
-    weight: float
-    tokens: int  # training tokens
+@dataclass(frozen=True)
+class Totals:
+    symbols: int  # in training texts
+    tokens: int
     distinct: int
     once: int  # words seen once
+    ends: int  # end tokens
+    weight: float
 
 
 def held_out(doc_id: Column, parts: int = 5) -> Column:
@@ -99,7 +96,7 @@ def strings(symbols: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _counted(s: Settings):
-    """Rows (kind, key, n) of a task: 0 symbol strings, 1 words."""
+    """Rows (kind, key, n) of a task: 0 symbol strings, those of held-out texts with n = 0, and 1 training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
@@ -120,16 +117,21 @@ def _counted(s: Settings):
                     kept[kind] = []
 
         for batch in tb.chunks(batches, "text"):
-            symbols, at, hashes, _ = spelled(batch)
-            ends = at[hashes == END]
-            for kind, keys in ((0, strings(symbols, ends, s.depth)), (1, hashes)):
-                code, unique = pd.factorize(keys)
-                kept[kind].append((unique, np.bincount(code)))
-                size += len(unique)
+            out = batch.column("held_out")
+            for held in (False, True):
+                part = batch.filter(out if held else pc.invert(out))
+                if not part.num_rows:
+                    continue
+                symbols, at, hashes, _ = spelled(part)
+                of_kind = [(0, strings(symbols, at[hashes == END], s.depth))] + ([] if held else [(1, hashes)])
+                for kind, keys in of_kind:
+                    code, unique = pd.factorize(keys)
+                    kept[kind].append((unique, np.zeros(len(unique), np.int64) if held else np.bincount(code)))
+                    size += len(unique)
             if size > s.hold:
                 for kind in (0, 1):
-                    kept[kind] = [merged(kind)]
-                size = sum(len(k[0][0]) for k in kept)
+                    kept[kind] = [merged(kind)] if kept[kind] else []
+                size = sum(len(k[0][0]) for k in kept if k)
                 if size > s.hold // 2:
                     yield from flush()
                     size = 0
@@ -139,8 +141,11 @@ def _counted(s: Settings):
 
 
 def counts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``kind, key, n`` over all of ``docs(text)``: symbol strings (0) and words, the end among them (1)."""
-    found = docs.select("text").mapInArrow(_counted(settings or Settings()), "kind int, key long, n long")
+    """``kind, key, n`` over all of ``docs(text, held_out)``: symbol strings (0) and words, the end among them (1).
+
+    Training texts are counted.  Strings that only held-out texts have are listed with n = 0; their words are not.
+    """
+    found = docs.select("text", "held_out").mapInArrow(_counted(settings or Settings()), "kind int, key long, n long")
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -151,177 +156,182 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, keys[at] == wanted
 
 
-def grow(by_depth: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]], total: int, s: Settings, tokens: int, distinct: int, once: int) -> Tree:
-    """The tree from counts of strings and contexts of each depth (ascending keys)."""
-    keys, n = by_depth.get((0, False), (np.zeros(0, np.uint64), np.zeros(0)))
-    root = np.full(256, 0.5)
-    root[(keys >> np.uint64(56)).astype(int)] += n
-    root /= total + 128
-    tree = Tree(root, [], [], [], [], s.weight, tokens, distinct, once)
-    parent_keys, parent_chance = np.arange(256, dtype=np.uint64) << np.uint64(56), root
-    parent_states = None
+def _first(key: Column, symbols: int) -> Column:
+    """A string's first bytes, the others zero."""
+    return F.shiftleft(F.shiftrightunsigned(key, 64 - 8 * symbols), 64 - 8 * symbols) if symbols < 8 else key
+
+
+def grow(counted: DataFrame, total: int, settings: Settings | None = None) -> DataFrame:
+    """``key, p, state``: probability of each string's symbol in the longest state its context ends in, and that state's length.
+
+    ``counted(key, n)``: the strings of ``depth`` + 1 symbols, stored; ``total``: the sum of n.
+    """
+    s = settings or Settings()
+    levels = [counted.select("key", "n")]
+    for d in range(s.depth - 1, -1, -1):
+        shorter = levels[0].groupBy(_first(F.col("key"), d + 1).alias("key")).agg(F.sum("n").alias("n"))
+        levels.insert(0, stage(shorter, "strings"))
+    tree = levels[0].select("key", ((F.col("n") + 0.5) / (total + 128)).alias("p"), F.lit(0).alias("state"))
     for d in range(1, s.depth + 1):
-        none = (np.zeros(0, np.uint64), np.zeros(0))
-        (key, n), (state, c) = by_depth.get((d, False), none), by_depth.get((d, True), none)
-        shorter = lambda k, bytes_: k & np.uint64(((1 << 64) - 1) ^ ((1 << (64 - 8 * bytes_)) - 1))
-        if parent_states is not None:
-            _, ok = _lookup(parent_states, shorter(state, d - 1))
-            state, c = state[ok], c[ok]
-        of, ok = _lookup(state, key << np.uint64(8))
-        key, n, of = key[ok], n[ok], of[ok]
-        up, ok = _lookup(parent_keys, shorter(key, d))
-        before = np.where(ok, parent_chance[up], 1e-12) if len(parent_chance) else np.zeros(0)
-        gain = np.bincount(of, n * np.log(n / c[of] / before), len(state)) if len(n) else np.zeros(len(state))
-        kinds = np.bincount(of, minlength=len(state))
-        keep = (gain > s.divergence * kinds) & (kinds > 0)
-        number = np.cumsum(keep) - 1
-        here = keep[of]
-        key, n, before, of = key[here], n[here], before[here], number[of[here]]
-        state, c, kinds = state[keep], c[keep], kinds[keep]
-        known = np.bincount(of, n, len(state))
-        spare = (c - known + kinds) / (c + kinds)
-        chance = (n + (c - known + kinds)[of] * before) / (c + kinds)[of]
-        tree.contexts.append(state)
-        tree.spare.append(spare)
-        tree.strings.append(key)
-        tree.chance.append(chance)
-        parent_keys, parent_chance, parent_states = key, chance, state
+        longer = levels[d].withColumn("up", _first(F.col("key"), d))
+        met = longer.join(tree.withColumnRenamed("key", "up"), "up").withColumn("context", F.shiftleft("key", 8))
+        of_context = Window.partitionBy("context")
+        c, kinds = F.sum("n").over(of_context), F.sum((F.col("n") > 0).cast("int")).over(of_context)
+        gain = F.sum(F.when(F.col("n") > 0, F.col("n") * (F.ln("n") - F.ln("p")))).over(of_context)
+        tested = met.select("key", "n", "p", "state", c.alias("c"), kinds.alias("kinds"), gain.alias("gain"))
+        keep = (F.col("c") >= s.least) & (F.col("gain") - F.col("c") * F.ln("c") > s.divergence * F.col("kinds"))
+        smooth = (F.col("n") + F.col("kinds") * F.col("p")) / (F.col("c") + F.col("kinds"))
+        tree = tested.select("key", F.when(keep, smooth).otherwise(F.col("p")).alias("p"), F.when(keep, d).otherwise(F.col("state")).alias("state"))
     return tree
 
 
-def learn(counted: DataFrame, settings: Settings | None = None) -> Tree:
-    """The tree of a stored table of counts.  Its strings come to the driver, at most 1 / ``least`` of each length and kind."""
-    s = settings or Settings()
-    sums = counted.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct"), F.count_if(F.col("n") == 1).alias("once"))
-    by_kind = {r["kind"]: (int(r["n"]), int(r["distinct"]), int(r["once"])) for r in sums.collect()}
-    total, (tokens, distinct, once) = by_kind.get(0, (0, 0, 0))[0], by_kind.get(1, (0, 0, 0))
-    depth = F.col("d")
-    text, past = F.col("key"), F.shiftleft("key", 8)
-    top = lambda k, n: F.expr(f"shiftleft(shiftrightunsigned({k}, 64 - 8 * ({n})), 64 - 8 * ({n}))")
-    both = counted.where("kind = 0").select("n", text.alias("key"), past.alias("past"), F.explode(F.sequence(F.lit(0), F.lit(s.depth))).alias("d"))
-    cut = both.select("d", "n", F.explode(F.array(F.struct(F.lit(False).alias("context"), top("key", "d + 1").alias("key")), F.struct(F.lit(True).alias("context"), F.when(depth > 0, top("past", "d")).alias("key")))).alias("k"))
-    kept = cut.where("k.key is not null").groupBy("d", "k.context", "k.key").agg(F.sum("n").alias("n")).where(F.col("n") >= s.least * total)
-    table = kept.toArrow()
-    d, context, key, n = (table.column(i).to_numpy() for i in range(4))
-    key = np.ascontiguousarray(key).view(np.uint64)
-    order = np.lexsort((key, context, d))
-    by_depth = {}
-    for i in range(s.depth + 1):
-        for c in (False, True):
-            mine = order[(d[order] == i) & (context[order] == c)]
-            by_depth[i, c] = key[mine], n[mine].astype(float)
-    return grow(by_depth, total, s, tokens, distinct, once)
-
-
-def symbol_logs(tree: Tree, packed: np.ndarray) -> np.ndarray:
-    """Natural log of each symbol's probability in its longest state."""
-    code, unique = pd.factorize(packed)
-    p = tree.root[(unique >> np.uint64(56)).astype(int)]
-    past = unique << np.uint64(8)
-    place, states = pd.factorize(past)
-    live = np.ones(len(states), dtype=bool)
-    for d in range(1, len(tree.contexts) + 1):
-        mask = lambda n: np.uint64(((1 << 64) - 1) ^ ((1 << (64 - 8 * n)) - 1))
-        of, ok = _lookup(tree.contexts[d - 1], states & mask(d))
-        live &= ok
-        spare = tree.spare[d - 1][of] if len(tree.spare[d - 1]) else np.zeros(len(states))
-        inside = np.flatnonzero(live[place])
-        at, known = _lookup(tree.strings[d - 1], unique[inside] & mask(d + 1))
-        new = spare[place[inside]] * p[inside]
-        if len(tree.chance[d - 1]):
-            new = np.where(known, tree.chance[d - 1][at], new)
-        p[inside] = new
-    return np.log(p)[code]
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct word hashes of each block."""
-    now, seen = None, []
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        if seen:
-            keys = pd.unique(np.concatenate(seen))
-            for lo in range(0, len(keys), 100_000):
-                part = keys[lo : lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int64)), pa.array(tb.signed(part))], ["block", "key"])
-
-    for block, _, batch in blocks.numbered(batches):
-        if block != now:
-            yield from rows()
-            now, seen = block, []
-        data, offs = tb.text_buffer(batch.column("text"))
-        seen.append(pd.unique(tb.word_hashes(data, offs)[0]))
-    yield from rows()
+def distributions(tree: DataFrame) -> DataFrame:
+    """``key, next`` of each context: its symbols and their natural log probabilities, in turn."""
+    symbol = F.shiftrightunsigned("key", 56).cast("float")
+    return tree.groupBy(F.shiftleft("key", 8).alias("key")).agg(F.flatten(F.collect_list(F.array(symbol, F.ln("p").cast("float")))).alias("next"))
+
+
+def totals(counted: DataFrame, settings: Settings | None = None) -> Totals:
+    """Sums of a stored table of counts."""
+    is_end = F.col("key") == int(END.view(np.int64))
+    sums = counted.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct"), F.count_if(F.col("n") == 1).alias("once"), F.sum(F.when(is_end, F.col("n"))).alias("ends"))
+    by_kind = {r["kind"]: r for r in sums.collect()}  # at most two rows
+    words = by_kind.get(1)
+    found = (int(words["n"]), int(words["distinct"]), int(words["once"]), int(words["ends"] or 0)) if words else (0, 0, 0, 0)
+    return Totals(int(by_kind[0]["n"]) if 0 in by_kind else 0, *found, (settings or Settings()).weight)
+
+
+def _wanted(depth: int):
+    """Distinct contexts (kind 0) and word hashes (1) of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, ([], [])
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for kind, found in enumerate(seen):
+                keys = pd.unique(np.concatenate(found)) if found else ()
+                for lo in range(0, len(keys), 100_000):
+                    part = keys[lo : lo + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int64)), pa.array(np.full(len(part), kind, np.int32)), pa.array(tb.signed(part))], ["block", "kind", "key"])
+
+        for block, _, batch in blocks.numbered(batches):
+            if block != now:
+                yield from rows()
+                now, seen = block, ([], [])
+            symbols, at, hashes, _ = spelled(batch)
+            seen[0].append(pd.unique(strings(symbols, at[hashes == END], depth) << np.uint64(8)))
+            seen[1].append(pd.unique(hashes))
+        yield from rows()
+
+    return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, seq, batch in blocks.numbered(batches):
         blob = blocks.pack(batch.select(["doc_id", "text", "held_out"]))
         none = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.array([blob], pa.binary())], ["block", "seq", "key", "n", "blob"])
+        columns = [pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.nulls(1, pa.list_(pa.float32())), pa.array([blob], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "seq", "key", "n", "next", "blob"])
 
 
-def token_scores(tree: Tree, n: np.ndarray, spelling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def token_scores(t: Totals, n: np.ndarray, spelling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Base and model log10 probability of tokens with training counts ``n`` and log probability ``spelling`` in the tree."""
-    base = np.log10((n + 0.5) / (tree.tokens + 0.5 * (tree.distinct + 1)))
-    other = (tree.once + 0.5) / (tree.tokens + 0.5)
+    base = np.log10((n + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
+    other = (t.once + 0.5) / (t.tokens + 0.5)
     if other >= 1:  # nothing was seen, or nothing twice
-        other = 1 - 0.5 * tree.tokens / (tree.tokens + 0.5)
+        other = 1 - 0.5 * t.tokens / (t.tokens + 0.5)
     with np.errstate(divide="ignore"):
-        share = np.log((1 - tree.weight) * n / max(1, tree.tokens))
-        known = np.log1p(-other) + np.logaddexp(share, np.log(tree.weight) + spelling)
+        share = np.log((1 - t.weight) * n / max(1, t.tokens))
+        known = np.log1p(-other) + np.logaddexp(share, np.log(t.weight) + spelling)
     return base, np.where(n > 0, known, np.log(other)) / np.log(10)
 
 
-def _scored(shared: Broadcast, end_count: int):
+class _Dictionary:
+    """Words and contexts of one block."""
+
+    def __init__(self) -> None:
+        self.parts: tuple[list, list] = ([], [])
+
+    def add(self, batch: pa.RecordBatch, lo: int, hi: int) -> None:
+        key, n = (np.array(batch.column(c)[lo:hi].to_numpy(zero_copy_only=False)) for c in ("key", "n"))
+        key, following = key.astype(np.int64).view(np.uint64), batch.column("next")[lo:hi]
+        context = following.is_valid().to_numpy(zero_copy_only=False)
+        self.parts[1].append((key[~context], n[~context].astype(np.int64)))
+        pairs = following.flatten().to_numpy().reshape(-1, 2)
+        of = np.repeat(key[context] >> np.uint64(8), following.value_lengths().drop_null().to_numpy() // 2)
+        self.parts[0].append((of | (pairs[:, 0].astype(np.uint64) << np.uint64(56)), pairs[:, 1]))
+
+    def sort(self) -> None:
+        self.tables = []
+        for found in self.parts:
+            keys, values = (np.concatenate([p[i] for p in found]) if found else np.zeros(0, t) for i, t in ((0, np.uint64), (1, np.int64)))
+            order = np.argsort(keys)
+            self.tables.append((keys[order], values[order]))
+        self.parts = ([], [])
+
+    def logs(self, packed: np.ndarray) -> np.ndarray:
+        """Natural log of each symbol's probability; every string of the block is in the dictionary."""
+        code, unique = pd.factorize(packed)
+        at, known = _lookup(self.tables[0][0], unique)
+        if not known.all():
+            raise ValueError("a block without the strings of its texts")
+        return self.tables[0][1].astype(np.float64)[at][code]
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        keys, n = self.tables[1]
+        at, known = _lookup(keys, hashes)
+        return np.where(known, n[at], 0) if len(keys) else np.zeros(len(hashes), dtype=np.int64)
+
+
+def _scored(t: Totals, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, depth = shared.value, len(shared.value.contexts)
-        now, parts, keys, n = None, [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        now, own, ready = None, _Dictionary(), False
         for batch in batches:
             for block, texts, lo, hi in blocks.runs(batch):
                 if block != now:
-                    now, parts, keys = block, [], np.zeros(0, np.uint64)
+                    now, own, ready = block, _Dictionary(), False
                 if not texts:
-                    parts.append(tuple(np.array(batch.column(c)[lo:hi].to_numpy()) for c in ("key", "n")))
+                    own.add(batch, lo, hi)
                     continue
-                if parts:
-                    keys, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-                    keys = keys.view(np.uint64)
-                    order = np.argsort(keys)
-                    keys, n, parts = keys[order], n[order], []
+                if not ready:
+                    own.sort()
+                    ready = True
                 part = blocks.unpack(batch.column("blob")[lo].as_buffer())
                 symbols, at, hashes, row = spelled(part)
-                logs = symbol_logs(tree, strings(symbols, at[hashes == END], depth))
-                spelling = np.add.reduceat(logs, at)
-                where, known = _lookup(keys, hashes)
-                count = np.where(known, n[where], 0) if len(keys) else np.zeros(len(hashes), dtype=np.int64)
-                count[hashes == END] = end_count
-                base, score = token_scores(tree, count, spelling)
-                sums = [np.bincount(row, weights=w, minlength=part.num_rows) for w in (np.ones(len(row)), count > 0, base, score)]
+                spelling = np.add.reduceat(own.logs(strings(symbols, at[hashes == END], depth)), at)
+                count = own.counts(hashes)
+                count[hashes == END] = t.ends
+                base, score = token_scores(t, count, spelling)
+                spelled_out = score + np.where(count > 0, 0, spelling / np.log(10))
+                sums = [np.bincount(row, weights=w, minlength=part.num_rows) for w in (np.ones(len(row)), count > 0, base, score, spelled_out)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(np.full(part.num_rows, tree.tokens, np.int64)), pa.array(sums[2]), pa.array(sums[3])],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                    [part.column("doc_id"), part.column("held_out"), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(np.full(part.num_rows, t.tokens, np.int64)), *map(pa.array, sums[2:])],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score"],
                 )
 
     return run
 
 
 def scores(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs(doc_id, text)``.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, spelled_score`` for each row of ``docs(doc_id, text)``.
 
     Learns from rows whose id is not held out (a null id is neither held out nor learned from).  Tokens are the words
-    and one end; null and empty texts are one end.  Scores are log10 probabilities; with nothing to learn from, all
-    tokens are the unknown one and scores are 0.  Words are known by 64-bit hashes.  Repeated rows count as often in training and get equal
-    scores; empty tables give empty tables; other columns are ignored.
+    and one end; null and empty texts are one end.  Scores are log10 probabilities; in ``spelled_score`` an unknown token
+    also has the tree's probability of its spelling, so that it is the probability of the very text.  With nothing to learn
+    from, all tokens are the unknown one and ``score`` is 0.  Words are known by 64-bit hashes.  Repeated rows count as
+    often in training and get equal scores; empty tables give empty tables; other columns are ignored.
     """
     s = settings or Settings()
-    spark = docs.sparkSession
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), F.spark_partition_id().alias("part"))
-    counted = stage(counts(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), s), "counts")
-    tree = learn(counted, s)
-    end = counted.where((F.col("kind") == 1) & (F.col("key") == int(END.view(np.int64)))).first()
-    words = rows.mapInArrow(_words, "block long, key long")
-    known = words.join(counted.where("kind = 1").select("key", "n"), "key")
-    known = known.select("block", F.lit(-1).alias("seq"), "key", "n", F.lit(None).cast("binary").alias("blob"))
-    meet = rows.mapInArrow(_packed, _COLUMNS).union(known).repartition("block").sortWithinPartitions("block", "seq")
-    return meet.mapInArrow(_scored(spark.sparkContext.broadcast(tree), end["n"] if end else 0), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    counted = stage(counts(rows.withColumn("held_out", F.col("held_out") | F.col("doc_id").isNull()), s), "counts")
+    t = totals(counted, s)
+    tree = stage(grow(counted.where("kind = 0"), t.symbols, s), "tree")
+    nothing = F.lit(None).cast("array<float>")
+    table = counted.where("kind = 1").select("kind", "key", "n", nothing.alias("next")).union(distributions(tree).select(F.lit(0).alias("kind"), "key", F.lit(None).cast("long").alias("n"), "next"))
+    known = rows.mapInArrow(_wanted(s.depth), "block long, kind int, key long").join(table, ["kind", "key"])
+    known = known.select("block", F.lit(-1).alias("seq"), "key", "n", "next", F.lit(None).cast("binary").alias("blob"))
+    meet = rows.mapInArrow(_packed, _COLUMNS).union(known)
+    wide = -(-t.symbols // blocks.BLOCK_BYTES)  # about as many as there are blocks
+    more = wide > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meet = (meet.repartition(wide, "block") if more else meet.repartition("block")).sortWithinPartitions("block", "seq")
+    return meet.mapInArrow(_scored(t, s.depth), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")

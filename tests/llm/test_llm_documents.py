@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from fieldbook.llm import bpe, jaccard, langid, linededup, substring, suffixtree, winnow
+from fieldbook.session import stage
 
 SCHEMA = "doc_id long, text string, lang string, keep int, score string, cls string, th int"
 WHITE = " \t\n\x0b\x0c\r"
@@ -282,18 +284,81 @@ def test_suffix_tree_nulls_and_empty(spark, awkward, nothing):
     assert [(r["n_tokens"], r["train_tokens"], r["base_score"]) for r in sorted(got, key=lambda r: r["n_tokens"])] == [(1, 0, 0.0), (3, 0, 0.0)]
 
 
-def test_suffix_tree_is_a_distribution(spark):
-    """Next-symbol probabilities of every state sum to one."""
+def plain_tree(texts, depth, least, divergence):
+    """Probability of ``symbol`` after ``past`` (latest first) in a suffix tree of dictionaries."""
+    follow = collections.defaultdict(collections.Counter)
+    for t in texts:
+        past = b"\n" * depth
+        for symbol in "".join(w + " " for w in words(t)).encode() + b"\n":
+            for d in range(depth + 1):
+                follow[past[:d]][symbol] += 1
+            past = bytes([symbol]) + past[:-1]
+    total, states = sum(follow[b""].values()), set()
+
+    def chance(symbol, past):
+        at = next((past[:d] for d in range(len(past), 0, -1) if past[:d] in states), b"")
+        if not at:
+            return (follow[b""][symbol] + 0.5) / (total + 128)
+        n = follow[at]
+        return (n[symbol] + len(n) * chance(symbol, at[:-1])) / (n.total() + len(n))
+
+    for context in sorted(follow, key=len)[1:]:
+        n = follow[context]
+        gain = sum(k * (math.log(k / n.total()) - math.log(chance(x, context[:-1]))) for x, k in n.items())
+        if n.total() >= least and gain > divergence * len(n):
+            states.add(context)
+    return chance, states
+
+
+def test_suffix_tree_against_dictionaries(spark):
+    """Tables of a small corpus: every string's probability, the states, and scores of known and unknown words."""
     rng = random.Random(4)
-    docs = spark.createDataFrame([(i, sentence(rng, 80, 20) + " abc abd" * 5) for i in range(40)], "doc_id long, text string")
-    from fieldbook.session import stage
-
-    s = suffixtree.Settings(depth=3, least=1e-4)
-    tree = suffixtree.learn(stage(suffixtree.counts(docs, s), "counts"), s)
-    assert len(tree.contexts[0]) and len(tree.contexts[1])
-    for past in (b"   ", b"cba", b" cb", b"zzz", b"1w "):
-        packed = np.array([(b << 56) | (past[0] << 48) | (past[1] << 40) | (past[2] << 32) for b in range(256)], dtype=np.uint64)
-        assert np.exp(suffixtree.symbol_logs(tree, packed)).sum() == pytest.approx(1, abs=1e-6)
+    rows = [(i, sentence(rng, rng.randrange(60), 25) + " abc Abd é" * rng.randrange(4)) for i in range(60)] + [(60, None), (61, ""), (62, "new words xyz")]
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for depth in (3, 7):
+        s = suffixtree.Settings(depth=depth)
+        chance, states = plain_tree(train, depth, s.least, s.divergence)
+        assert {len(x) for x in states} >= {1, 2}
+        counted = stage(suffixtree.counts(docs.withColumn("held_out", suffixtree.held_out(F.col("doc_id"))), s), "counts")
+        t = suffixtree.totals(counted, s)
+        tree = suffixtree.grow(counted.where("kind = 0"), t.symbols, s).collect()
+        assert len(tree) == counted.where("kind = 0").count()
+        for r in tree:
+            key = (r["key"] % 2**64).to_bytes(8, "big")
+            past = key[1 : depth + 1]
+            assert r["p"] == pytest.approx(chance(key[0], past), rel=1e-9)
+            assert r["state"] == next((d for d in range(depth, 0, -1) if past[:d] in states), 0)
+        seen = collections.Counter(w for x in train for w in [*words(x), "\n"])
+        other = (t.once + 0.5) / (t.tokens + 0.5)
+        got = {r["doc_id"]: r for r in suffixtree.scores(docs, s).collect()}
+        for i, text in rows:
+            past, score, spelled = b"\n" * depth, 0.0, 0.0
+            for token in [*words(text), "\n"]:
+                spelling = 1.0
+                for symbol in (token if token == "\n" else token + " ").encode():
+                    spelling *= chance(symbol, past)
+                    past = bytes([symbol]) + past[:-1]
+                known = (1 - other) * (s.weight * spelling + (1 - s.weight) * seen[token] / t.tokens)
+                score += math.log10(known if seen[token] else other)
+                spelled += math.log10(known if seen[token] else other * spelling)
+            assert got[i]["score"] == pytest.approx(score, rel=1e-5)
+            assert got[i]["spelled_score"] == pytest.approx(spelled, rel=1e-5)
+    past = b"w 1"
+    assert sum(chance(b, past) for b in range(256)) == pytest.approx(1)
+
+
+def test_suffix_tree_grows(spark):
+    """Twice the corpus has more states: nothing is cut by its share."""
+    rng = random.Random(8)
+    s = suffixtree.Settings()
+    sizes = []
+    rows = [(i, sentence(rng, 80, 10**4), False) for i in range(400)]
+    for n in (100, 200, 400):
+        counted = stage(suffixtree.counts(spark.createDataFrame(rows[:n], "doc_id long, text string, held_out boolean"), s), "counts").where("kind = 0")
+        tree = suffixtree.grow(counted, counted.agg(F.sum("n")).first()[0], s)
+        sizes.append(tree.where("state > 0").select(F.expr("shiftleft(key, 8)"), "state").distinct().count())
+    assert sizes[0] * 1.2 < sizes[1] and sizes[1] * 1.2 < sizes[2]
 
 
 def test_suffix_tree_beats_the_base_on_held_out(spark, sf_dir):
