@@ -32,7 +32,9 @@ from fieldbook.session import stage
 SPACE, NEWLINE = 0x20, 0x0A
 #: key of the end token among word hashes
 END = np.uint64(0x5851F42D4C957F2D)
-_COLUMNS = "block long, seq int, key long, n long, next array<float>, blob binary"
+#: units of a natural logarithm in a table of distributions; 128 of the latter fit beside a symbol in 32 bits
+FINE = 1 << 16
+_COLUMNS = "block long, seq int, key long, n long, next array<int>, blob binary"
 
 
 @dataclass(frozen=True)
@@ -111,6 +113,8 @@ def _counted(s: Settings):
             for kind in (0, 1):
                 if kept[kind]:
                     keys, counts = merged(kind)
+                    order = np.argsort(keys)  # neighbours compress better
+                    keys, counts = keys[order], counts[order]
                     for lo in range(0, len(keys), 100_000):
                         k, n = keys[lo : lo + 100_000], counts[lo : lo + 100_000]
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(tb.signed(k)), pa.array(n)], ["kind", "key", "n"])
@@ -162,7 +166,7 @@ def _first(key: Column, symbols: int) -> Column:
 
 
 def grow(counted: DataFrame, total: int, settings: Settings | None = None) -> DataFrame:
-    """``key, p, state``: probability of each string's symbol in the longest state its context ends in, and that state's length.
+    """``key, context, p, state``: probability of each string's symbol in the longest state its context ends in, and that state's length.
 
     ``counted(key, n)``: the strings of ``depth`` + 1 symbols, stored; ``total``: the sum of n.
     """
@@ -171,24 +175,27 @@ def grow(counted: DataFrame, total: int, settings: Settings | None = None) -> Da
     for d in range(s.depth - 1, -1, -1):
         shorter = levels[0].groupBy(_first(F.col("key"), d + 1).alias("key")).agg(F.sum("n").alias("n"))
         levels.insert(0, stage(shorter, "strings"))
-    tree = levels[0].select("key", ((F.col("n") + 0.5) / (total + 128)).alias("p"), F.lit(0).alias("state"))
+    tree = levels[0].select("key", F.lit(0).cast("long").alias("context"), ((F.col("n") + 0.5) / (total + 128)).alias("p"), F.lit(0).alias("state"))
     for d in range(1, s.depth + 1):
         longer = levels[d].withColumn("up", _first(F.col("key"), d))
-        met = longer.join(tree.withColumnRenamed("key", "up"), "up").withColumn("context", F.shiftleft("key", 8))
+        met = longer.join(tree.select(F.col("key").alias("up"), "p", "state"), "up").withColumn("context", F.shiftleft("key", 8))
         of_context = Window.partitionBy("context")
         c, kinds = F.sum("n").over(of_context), F.sum((F.col("n") > 0).cast("int")).over(of_context)
         gain = F.sum(F.when(F.col("n") > 0, F.col("n") * (F.ln("n") - F.ln("p")))).over(of_context)
-        tested = met.select("key", "n", "p", "state", c.alias("c"), kinds.alias("kinds"), gain.alias("gain"))
+        tested = met.select("key", "context", "n", "p", "state", c.alias("c"), kinds.alias("kinds"), gain.alias("gain"))
         keep = (F.col("c") >= s.least) & (F.col("gain") - F.col("c") * F.ln("c") > s.divergence * F.col("kinds"))
         smooth = (F.col("n") + F.col("kinds") * F.col("p")) / (F.col("c") + F.col("kinds"))
-        tree = tested.select("key", F.when(keep, smooth).otherwise(F.col("p")).alias("p"), F.when(keep, d).otherwise(F.col("state")).alias("state"))
+        tree = tested.select("key", "context", F.when(keep, smooth).otherwise(F.col("p")).alias("p"), F.when(keep, d).otherwise(F.col("state")).alias("state"))
     return tree
 
 
 def distributions(tree: DataFrame) -> DataFrame:
-    """``key, next`` of each context: its symbols and their natural log probabilities, in turn."""
-    symbol = F.shiftrightunsigned("key", 56).cast("float")
-    return tree.groupBy(F.shiftleft("key", 8).alias("key")).agg(F.flatten(F.collect_list(F.array(symbol, F.ln("p").cast("float")))).alias("next"))
+    """``key, next`` of each context: its symbols (low byte) with minus their log probabilities in units of 1 / ``FINE``.
+
+    Probabilities have a floor of exp(-127).  Rows of a context are together after ``grow``, so this takes no exchange.
+    """
+    packed = F.round(F.least(-F.ln("p"), F.lit(127.0)) * FINE).cast("int") * 256 + F.shiftrightunsigned("key", 56).cast("int")
+    return tree.groupBy("context").agg(F.collect_list(packed).alias("next")).withColumnRenamed("context", "key")
 
 
 def totals(counted: DataFrame, settings: Settings | None = None) -> Totals:
@@ -209,7 +216,7 @@ def _wanted(depth: int):
 
         def rows() -> Iterator[pa.RecordBatch]:
             for kind, found in enumerate(seen):
-                keys = pd.unique(np.concatenate(found)) if found else ()
+                keys = np.unique(np.concatenate(found)) if found else ()
                 for lo in range(0, len(keys), 100_000):
                     part = keys[lo : lo + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int64)), pa.array(np.full(len(part), kind, np.int32)), pa.array(tb.signed(part))], ["block", "kind", "key"])
@@ -230,7 +237,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, seq, batch in blocks.numbered(batches):
         blob = blocks.pack(batch.select(["doc_id", "text", "held_out"]))
         none = pa.nulls(1, pa.int64())
-        columns = [pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.nulls(1, pa.list_(pa.float32())), pa.array([blob], pa.binary())]
+        columns = [pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.nulls(1, pa.list_(pa.int32())), pa.array([blob], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["block", "seq", "key", "n", "next", "blob"])
 
 
@@ -257,9 +264,9 @@ class _Dictionary:
         key, following = key.astype(np.int64).view(np.uint64), batch.column("next")[lo:hi]
         context = following.is_valid().to_numpy(zero_copy_only=False)
         self.parts[1].append((key[~context], n[~context].astype(np.int64)))
-        pairs = following.flatten().to_numpy().reshape(-1, 2)
-        of = np.repeat(key[context] >> np.uint64(8), following.value_lengths().drop_null().to_numpy() // 2)
-        self.parts[0].append((of | (pairs[:, 0].astype(np.uint64) << np.uint64(56)), pairs[:, 1]))
+        packed = following.flatten().to_numpy()
+        of = np.repeat(key[context] >> np.uint64(8), following.value_lengths().drop_null().to_numpy())
+        self.parts[0].append((of | ((packed & 255).astype(np.uint64) << np.uint64(56)), packed >> 8))
 
     def sort(self) -> None:
         self.tables = []
@@ -275,7 +282,7 @@ class _Dictionary:
         at, known = _lookup(self.tables[0][0], unique)
         if not known.all():
             raise ValueError("a block without the strings of its texts")
-        return self.tables[0][1].astype(np.float64)[at][code]
+        return self.tables[0][1][at][code] / -FINE
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         keys, n = self.tables[1]
@@ -325,9 +332,9 @@ def scores(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), F.spark_partition_id().alias("part"))
     counted = stage(counts(rows.withColumn("held_out", F.col("held_out") | F.col("doc_id").isNull()), s), "counts")
     t = totals(counted, s)
-    tree = stage(grow(counted.where("kind = 0"), t.symbols, s), "tree")
-    nothing = F.lit(None).cast("array<float>")
-    table = counted.where("kind = 1").select("kind", "key", "n", nothing.alias("next")).union(distributions(tree).select(F.lit(0).alias("kind"), "key", F.lit(None).cast("long").alias("n"), "next"))
+    tree = stage(distributions(grow(counted.where("kind = 0"), t.symbols, s)), "tree")
+    nothing = F.lit(None).cast("array<int>")
+    table = counted.where("kind = 1").select("kind", "key", "n", nothing.alias("next")).union(tree.select(F.lit(0).alias("kind"), "key", F.lit(None).cast("long").alias("n"), "next"))
     known = rows.mapInArrow(_wanted(s.depth), "block long, kind int, key long").join(table, ["kind", "key"])
     known = known.select("block", F.lit(-1).alias("seq"), "key", "n", "next", F.lit(None).cast("binary").alias("blob"))
     meet = rows.mapInArrow(_packed, _COLUMNS).union(known)
