@@ -428,6 +428,51 @@ def test_passage_whose_parts_stand_alone_elsewhere(spark):
     assert {(r["doc_id"], r["other_id"], r["start_word"], r["end_word"]) for r in got} == wanted
 
 
+def test_near_passage_whose_seeds_have_other_firsts_and_predecessors(spark):
+    """Every seed of a passage stands in other documents before and between the two that share it nearly; the pair is found nevertheless."""
+    rng = random.Random(12)
+    own = lambda n: sentence(rng, n, 10**6)
+    passage = sentence(rng, 60, 10**6).split()
+    copy = list(passage)
+    copy[7::8] = [f"changed{i}" for i in range(len(copy[7::8]))]
+    parts = [" ".join(passage[i : i + 7]) for i in range(0, 60, 8)]
+    # documents with single pieces: one before both, one between them
+    rows = [(i, f"{own(30)} {part} {own(30)}") for i, part in enumerate(parts)]
+    rows += [(200 + i, f"{own(30)} {part} {own(30)}") for i, part in enumerate(parts)]
+    rows += [(100, f"{own(40)} {' '.join(passage)} {own(40)}"), (300, f"{own(40)} {' '.join(copy)} {own(40)}")]
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(300, 100)}
+
+
+def test_all_pairs_of_long_and_short_lists(spark, monkeypatch):
+    """Lists of any length, with repeated members, cut over tasks and batches: pairs and their counts by brute force."""
+    monkeypatch.setattr(substring, "PART", 40)
+    rng = random.Random(3)
+    lists = {seed: [rng.randrange(-300, 300) for _ in range(size)] for seed, size in enumerate([1, 2, 31, 32, 33, 34, 200, 201, 3, 0, 150])}
+    want = {}
+    for members in lists.values():
+        members = sorted(set(members))
+        for x, a in enumerate(members):
+            for b in members[x + 1 :]:
+                want[a, b] = want.get((a, b), 0) + 1
+    rows = [(seed, cls) for seed, members in lists.items() for cls in members]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = substring._met(spark.createDataFrame(rows, "seed long, cls long"), "lists").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r["a"], r["b"]): r["n"] for r in got} == want and len(got) == len(want)
+
+
+def test_passage_of_repeated_words(spark):
+    """A run of 50 words that holds fewer different seeds than make a pair."""
+    rng = random.Random(4)
+    rows = [(i, f"{sentence(rng, 40, 10**6)} {' '.join(['ha', 'ho'] * 30)} {sentence(rng, 40, 10**6)}") for i in range(3)]
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(1, 0), (2, 0), (2, 1)}
+
+
 def test_every_word_for_word_run_is_covered():
     """Words of ``y`` in a run of 50 that ``x`` has too are in a passage, also in texts that repeat themselves."""
     rng = np.random.default_rng(5)
