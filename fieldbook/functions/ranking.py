@@ -12,6 +12,9 @@ RANK_KEY = f"""
     + (cast(coalesce(res, {_NULL}) as bigint) - cast({_NULL} as bigint))
 """
 
+#: of ``rank`` (the above) and ``month``: larger for a higher rank, then for an earlier month; NULL ranks last
+RANK_MONTH = "cast(rank as decimal(20)) * 8589934592 + coalesce(2147483648 - cast(month as bigint), 0)"
+
 
 def duration_of(key: str) -> str:
     return f"nullif(cast(shiftright({key}, 32) as int), {_NULL})"

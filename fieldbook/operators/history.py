@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldbook.functions import age_category, label_res, label_sex, month_to_quarter
-from fieldbook.functions.ranking import RANK_KEY, duration_of, res_of
+from fieldbook.functions.ranking import RANK_KEY, RANK_MONTH, duration_of, res_of
 from fieldbook.schemas import AGE_BREAKS, R3_BLIND_YEARS
 
 
@@ -23,10 +23,24 @@ def rank_sale(
     NULL ranks last and is kept.  ``first_month`` replaces the month by the earliest of that
     customer-year.  An aggregation, so it combines before the shuffle.  The license id only settles
     which id is reported; without it and with the first month, the default ranking fits one long and
-    needs no sort.
+    needs no sort.  With either of them the lowest id of each rank and month is found first, so that rank
+    and month, one number, tell which sale is best: two hash aggregations, where the maximum of a struct
+    would sort all sales of a task.
     """
     ids = [*keys, "cust_id", "year"]
-    if not with_lic_id and first_month and tuple(rank_var) == ("duration", "res"):
+    types = dict(sale.dtypes)
+    packs = tuple(rank_var) == ("duration", "res") and {types[c] for c in ("duration", "res", "month")} == {"int"}
+    if packs and not (with_lic_id is False and first_month):
+        lowest = sale.groupBy(*ids, F.expr(RANK_KEY).alias("rank"), "month").agg(F.min("lic_id").alias("lic_id"))
+        best = lowest.groupBy(*ids).agg(
+            F.max("rank").alias("best"),
+            F.min("month").alias("first"),
+            *[F.expr(f"max_by({v}, {RANK_MONTH})").alias(v) for v in ("month", "lic_id")],
+        )
+        month = "first as month" if first_month else "month"
+        out = best.selectExpr(*ids, f"{duration_of('best')} as duration", f"{res_of('best')} as res", month, "lic_id")
+        return out if with_lic_id else out.drop("lic_id")
+    if packs:
         best = sale.groupBy(*ids).agg(F.max(F.expr(RANK_KEY)).alias("best"), F.min("month").alias("first"))
         return best.selectExpr(
             *ids,

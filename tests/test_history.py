@@ -41,6 +41,31 @@ def test_rank_in_one_long_equals_struct(spark, first_month):
         assert "SortAggregate" not in short._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("first_month, with_id", [(True, True), (False, True), (False, False)])
+def test_rank_sale_against_sorted_sales_without_a_sort(spark, first_month, with_id):
+    """Missing and extreme values, ties and repeated sales; no task sorts its sales."""
+    rng = random.Random(31)
+    low, high = -(2**31), 2**31 - 1
+    pick = lambda *values: rng.choice(values)
+    sales = [
+        (rng.randrange(60), pick(None, 1, 2, 3, -4, 2**62), 2000, pick(None, low + 1, -1, 0, 5, high), pick(None, low + 1, 0, 1, high), pick(None, low + 1, 0, 1, 99, high))
+        for _ in range(600)
+    ]
+    out = H.rank_sale(spark.createDataFrame(sales, SALE), first_month=first_month, with_lic_id=with_id)
+    want = []
+    up, down = (lambda v: (v is not None, v or 0)), (lambda v: (v is not None, -(v or 0)))
+    for cust in {s[0] for s in sales}:
+        own = [s for s in sales if s[0] == cust]
+        best = max(own, key=lambda s: (up(s[5]), up(s[4]), down(s[3]), down(s[1])))
+        months = [s[3] for s in own if s[3] is not None]
+        month = min(months, default=None) if first_month else best[3]
+        want.append((cust, 2000, best[5], best[4], month) + ((best[1],) if with_id else ()))
+    columns = ["cust_id", "year", "duration", "res", "month"] + ["lic_id"] * with_id
+    assert out.columns == columns
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_both_forms_of_history_agree_on_odd_sales(spark):
     """Residency codes beyond 0 and 1, missing and zero durations, and sales before the years asked for."""
     odd = [(1, 1, 1997, 3, 1, 3), (1, 2, 2001, 4, 2, None), (1, 3, 2001, 5, 0, 0), (2, 1, 2000, 6, 2, 0), (2, 2, 2000, 7, 1, None)]
