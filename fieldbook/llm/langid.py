@@ -24,8 +24,9 @@ from fieldbook.llm import textbytes as tb
 UNDETERMINED = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
-#: bytes of text scored at a time
+#: bytes of text padded at a time, and of these scored at a time
 STEP = 1 << 19
+PART = 1 << 17
 _tables: dict[int, list] = {}
 
 
@@ -203,7 +204,7 @@ def _tagged(net: Network | None, names: list[str]):
                 data, row, weight = padded(*tb.text_buffer(batch.column("text")))
                 z = np.zeros((n, len(net.languages)))
                 total = np.zeros(n)
-                step = STEP // WINDOW  # one long text is scored in parts
+                step = PART // WINDOW
                 for lo in range(0, len(row), step):
                     part = slice(lo, min(lo + step, len(row)))
                     answer = logits(net, data[part.start * WINDOW : part.stop * WINDOW + WIDTHS[-1]])

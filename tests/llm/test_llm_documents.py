@@ -5,15 +5,17 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, jaccard, langid, linededup, substring, suffixtree, winnow
+from fieldbook.llm import bpe, jaccard, langid, linededup, substring, suffixtree, textbytes, winnow
 from fieldbook.session import stage
 
 SCHEMA = "doc_id long, text string, lang string, keep int, score string, cls string, th int"
@@ -473,6 +475,34 @@ def test_passage_of_repeated_words(spark):
     assert {(r["doc_id"], r["other_id"]) for r in got} == {(1, 0), (2, 0), (2, 1)}
 
 
+def test_worker_memory_of_words_and_languages():
+    """Arrays that a worker holds at once are small multiples of the text; parts of a batch score as the whole does."""
+    rng = np.random.default_rng(9)
+    net = langid.train([rng.bytes(200) for _ in range(40)], ["a", "b"] * 20, langid.Settings(epochs=1))
+    texts = pa.array(["".join(chr(c) for c in rng.integers(32, 120, 600)) for _ in range(3000)])
+    rows = pa.RecordBatch.from_arrays([pa.array(range(3000)), texts, pa.array([True] * 3000)], ["doc_id", "text", "has_letter"])
+    whole = []
+    for batch in textbytes.chunks([rows], "text", langid.STEP):
+        data, _, _ = langid.padded(*textbytes.text_buffer(batch.column("text")))
+        whole.append(langid.logits(net, data))
+    parts, step = [], langid.PART // langid.WINDOW
+    for batch in textbytes.chunks([rows], "text", langid.STEP):
+        data, row, _ = langid.padded(*textbytes.text_buffer(batch.column("text")))
+        for lo in range(0, len(row), step):
+            hi = min(lo + step, len(row))
+            parts.append(langid.logits(net, data[lo * langid.WINDOW : hi * langid.WINDOW + langid.WIDTHS[-1]]))
+    np.testing.assert_allclose(np.concatenate(parts), np.concatenate(whole), rtol=1e-5, atol=1e-6)
+    textbytes._powers.clear()
+    tracemalloc.start()
+    for batch in langid._tagged(net, ["doc_id"])([rows]):
+        assert batch.num_rows
+    for batch in textbytes.chunks([rows], "text"):
+        textbytes.word_hashes(*textbytes.text_buffer(batch.column("text")))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_every_word_for_word_run_is_covered():
     """Words of ``y`` in a run of 50 that ``x`` has too are in a passage, also in texts that repeat themselves."""
     rng = np.random.default_rng(5)
