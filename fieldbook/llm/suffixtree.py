@@ -10,7 +10,8 @@ spelling, given the text so far, with its share of the training tokens.
 
 Counts, tree and scores are Spark tables.  Each task counts its symbol strings and words before anything is shuffled; the
 tree is worked out level by level with a join and a window (a context has at most 256 next symbols, so no key is hot); each
-block of text (see ``blocks``) asks for the words and contexts that stand in it.  Only sums come to the driver.
+block of text (see ``blocks``) asks for the words and symbol strings that stand in it.  Strings travel sorted and compressed,
+many to a row, to the bucket that their hash gives, where they are added up or looked up.  Only sums come to the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -32,9 +32,21 @@ from fieldbook.session import stage
 SPACE, NEWLINE = 0x20, 0x0A
 #: key of the end token among word hashes
 END = np.uint64(0x5851F42D4C957F2D)
-#: units of a natural logarithm in a table of distributions; 128 of the latter fit beside a symbol in 32 bits
+#: units of a natural logarithm in which probabilities travel
 FINE = 1 << 16
-_COLUMNS = "block long, seq int, key long, n long, next array<int>, blob binary"
+#: buckets of each kind in which counts are added up; a task holds one at a time
+COUNT_BUCKETS = 512
+#: strings or words of a bucket in which they are looked up, about
+BUCKET = 30_000
+#: strings that a bucket's task holds before it adds them up
+HELD = 2_000_000
+#: scatters keys over the slots of a dictionary
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: lower-case letters, all white space as one
+_SYMBOLS = np.where(tb.WHITE, np.uint8(SPACE), tb.LOWER)
+_CODEC = pa.Codec("zstd")
+_DEALT = "bucket int, block long, n int, blob binary"
+_MET = "block long, seq int, kind int, n int, blob binary"
 
 
 @dataclass(frozen=True)
@@ -43,7 +55,7 @@ class Settings:
     least: int = 4  # times that a state is seen
     divergence: float = 3.0  # log likelihood that a state must gain for each of its symbols
     weight: float = 0.4  # of the tree in a known token's probability
-    hold: int = 4_000_000  # distinct strings that a counting task holds before it sends them
+    hold: int = 4_000_000  # strings and words that a counting task holds before it sends them
 
 
 @dataclass(frozen=True)
@@ -54,6 +66,7 @@ class Totals:
     once: int  # words seen once
     ends: int  # end tokens
     weight: float
+    strings: int = 0  # distinct ones, those of held-out texts among them
 
 
 def held_out(doc_id: Column, parts: int = 5) -> Column:
@@ -62,63 +75,117 @@ def held_out(doc_id: Column, parts: int = 5) -> Column:
 
 def spelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts; first symbol, hash and row of each token (words, then the end, of each text)."""
-    data, offs = tb.text_buffer(batch.column("text"))
-    low = tb.LOWER[data]
-    starts, ends, row = tb.words(low, offs)
-    n, rows = len(starts), batch.num_rows
-    size = ends - starts
-    per = np.bincount(row, minlength=rows)
-    past = np.cumsum(size) - size
-    begin = past + np.arange(n) + row  # in the new text
-    out = np.full(int(size.sum()) + n + rows, SPACE, dtype=np.uint8)
-    inside = np.repeat(begin - starts, size) + (np.arange(int(size.sum())) + np.repeat(starts - past, size))
-    out[inside] = low[np.arange(int(size.sum())) + np.repeat(starts - past, size)]
-    letters = np.bincount(row, weights=size, minlength=rows).astype(np.int64)
-    end_at = np.cumsum(letters + per) + np.arange(rows)
-    out[end_at] = NEWLINE
-    at = np.concatenate((begin, end_at))
-    order = np.argsort(at, kind="stable")
-    hashes = np.concatenate((tb.span_hashes(low, starts, ends), np.full(rows, END)))
-    return out, at[order], hashes[order], np.concatenate((row, np.arange(rows)))[order]
+    text = batch.column("text")
+    closed = pc.binary_join_element_wise(pc.fill_null(text, b"" if pa.types.is_binary(text.type) else ""), " \n", "")
+    data, offs = tb.text_buffer(closed)
+    low = _SYMBOLS[data]
+    white = low == SPACE
+    low[offs[1:] - 1] = NEWLINE
+    keep = ~white
+    keep[1:] |= ~white[:-1]  # white space right after a word
+    keep[offs[1:] - 1] = True
+    out = low[keep]
+    ends = np.flatnonzero((out == SPACE) | (out == NEWLINE))
+    at = np.concatenate(([0], ends[:-1] + 1))[: len(ends)]
+    last = out[ends] == NEWLINE
+    hashes = np.where(last, END, tb.span_hashes(out, at, ends))
+    return out, at, hashes, np.cumsum(last) - last
 
 
 def strings(symbols: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     """Each symbol with the ``depth`` before it, the symbol in the highest byte, then from late to early; newlines before a text."""
+    n = len(symbols)
+    late = np.full(n + 7, NEWLINE, dtype=np.uint8)
+    late[:n] = symbols[::-1]
+    out = np.ndarray((n,), dtype=">u8", buffer=late, strides=(1,))[::-1].astype(np.uint64)
     first = np.concatenate(([0], ends[:-1] + 1))
-    wide = symbols.astype(np.uint64)
-    out = wide << np.uint64(56)
-    for e in range(1, depth + 1):
-        past = np.empty_like(wide)
-        past[e:], past[:e] = wide[:-e], NEWLINE
-        for j in range(e):
-            here = first + j
-            past[here[here <= ends]] = NEWLINE
-        out |= past << np.uint64(56 - 8 * e)
-    return out
+    newlines = int.from_bytes(bytes([NEWLINE]) * 8, "big")
+    for j in range(depth):  # the j-th symbol of a text has j before it
+        here = first + j
+        here = here[here <= ends]
+        own = np.uint64(((1 << 64) - 1) << (56 - 8 * j) & ((1 << 64) - 1))
+        out[here] = (out[here] & own) | (np.uint64(newlines) & ~own)
+    return out & np.uint64(((1 << 64) - 1) << (56 - 8 * depth) & ((1 << 64) - 1))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[head], np.diff(np.append(head, len(keys)))
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all in order, their numbers added up; each has its keys in order."""
+    keys = np.concatenate([f[0] for f in found])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    keys = keys[head]  # one array less while the numbers are added up
+    n = np.concatenate([f[1] for f in found])[order]
+    return keys, np.add.reduceat(n, head) if len(head) else n
+
+
+def _squeezed(keys: np.ndarray, values: np.ndarray | None = None) -> bytes:
+    """Ascending keys (and their numbers), differences byte by byte, compressed."""
+    parts = [np.diff(keys, prepend=np.uint64(0))] + ([] if values is None else [values.astype(np.uint64)])
+    return _CODEC.compress(np.concatenate([np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8).T.ravel() for p in parts]), asbytes=True)
+
+
+def _restored(blob, n: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(_CODEC.decompress(blob, 8 * n * columns), dtype=np.uint8)
+    found = [np.ascontiguousarray(raw[8 * n * c : 8 * n * (c + 1)].reshape(8, n).T).view(np.uint64).ravel() for c in range(columns)]
+    return [np.cumsum(found[0], dtype=np.uint64), *(f.view(np.int64) for f in found[1:])]
+
+
+def _dealt(kind: int, keys: np.ndarray, values: np.ndarray | None, wide: int, block: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, block, n, blob) of ascending keys, those of a bucket together; buckets of kind 0 are even, of kind 1 odd.
+
+    Strings go by their symbol and the three before it, so that those of a bucket differ little from one to the next.
+    """
+    of = tb.mix(keys if kind else keys >> np.uint64(32)) % np.uint64(wide)
+    of = of.astype(np.uint16 if wide <= 1 << 16 else np.int64)
+    order = np.argsort(of, kind="stable")
+    keys, of = keys[order], of[order]
+    values = None if values is None else values[order]
+    head = np.flatnonzero(np.append(True, of[1:] != of[:-1])[: len(of)])
+    bounds = np.append(head, len(of)).tolist()
+    for at in range(0, len(head), 256):
+        spans = [(lo, hi) for lo, hi in zip(bounds[at : at + 256], bounds[at + 1 : at + 257], strict=False)]
+        blobs = [_squeezed(keys[lo:hi], None if values is None else values[lo:hi]) for lo, hi in spans]
+        bucket = of[head[at : at + 256]].astype(np.int32) * 2 + kind
+        columns = [pa.array(bucket), pa.array([block] * len(spans), pa.int64()), pa.array([hi - lo for lo, hi in spans], pa.int32()), pa.array(blobs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "n", "blob"])
 
 
 def _counted(s: Settings):
-    """Rows (kind, key, n) of a task: 0 symbol strings, those of held-out texts with n = 0, and 1 training words."""
+    """Strings (kind 0; those of held-out texts with n = 0) and training words (1) of a task, counted and dealt to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-        size = 0
+        fresh: list[list[list[np.ndarray]]] = [[[], []], [[], []]]  # by kind, by held_out
+        runs: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]  # of distinct ones in order, with their counts
+        size = held_size = 0
 
-        def merged(kind: int) -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.concatenate([x[i] for x in kept[kind]]) for i in (0, 1))
-            code, unique = pd.factorize(keys)
-            return unique, np.bincount(code, weights=counts).astype(np.int64)
+        def sort() -> int:
+            more = 0
+            for kind in (0, 1):
+                for held in (False, True):
+                    if fresh[kind][held]:
+                        keys, n = _distinct(np.concatenate(fresh[kind][held]))
+                        runs[kind].append((keys, n * (not held)))
+                        fresh[kind][held].clear()
+                        more += len(keys)
+            return more
+
+        def merge() -> int:
+            for kind in (0, 1):
+                runs[kind][:] = [_merged(runs[kind])] if runs[kind] else []
+            return sum(len(r[0][0]) for r in runs if r)
 
         def flush() -> Iterator[pa.RecordBatch]:
             for kind in (0, 1):
-                if kept[kind]:
-                    keys, counts = merged(kind)
-                    order = np.argsort(keys)  # neighbours compress better
-                    keys, counts = keys[order], counts[order]
-                    for lo in range(0, len(keys), 100_000):
-                        k, n = keys[lo : lo + 100_000], counts[lo : lo + 100_000]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(tb.signed(k)), pa.array(n)], ["kind", "key", "n"])
-                    kept[kind] = []
+                if runs[kind]:
+                    yield from _dealt(kind, *runs[kind].pop(), COUNT_BUCKETS)
 
         for batch in tb.chunks(batches, "text"):
             out = batch.column("held_out")
@@ -127,30 +194,56 @@ def _counted(s: Settings):
                 if not part.num_rows:
                     continue
                 symbols, at, hashes, _ = spelled(part)
-                of_kind = [(0, strings(symbols, at[hashes == END], s.depth))] + ([] if held else [(1, hashes)])
-                for kind, keys in of_kind:
-                    code, unique = pd.factorize(keys)
-                    kept[kind].append((unique, np.zeros(len(unique), np.int64) if held else np.bincount(code)))
-                    size += len(unique)
-            if size > s.hold:
-                for kind in (0, 1):
-                    kept[kind] = [merged(kind)] if kept[kind] else []
-                size = sum(len(k[0][0]) for k in kept if k)
-                if size > s.hold // 2:
-                    yield from flush()
-                    size = 0
+                fresh[0][held].append(strings(symbols, at[hashes == END], s.depth))
+                if not held:
+                    fresh[1][held].append(hashes)
+                size += len(symbols) + len(hashes)
+            if size > s.hold // 4:
+                held_size, size = held_size + sort(), 0
+                if held_size > 3 * s.hold // 4:
+                    held_size = merge()
+                    if held_size > s.hold // 2:
+                        yield from flush()
+                        held_size = 0
+        sort()
+        merge()
         yield from flush()
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of their buckets: kind, key and n of each string and word."""
+    now, found, size = None, [], 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        keys, n = _merged(found)
+        for lo in range(0, len(keys), 100_000):
+            part = keys[lo : lo + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now & 1, np.int32)), pa.array(tb.signed(part)), pa.array(n[lo : lo + 100_000])], ["kind", "key", "n"])
+
+    for batch in batches:
+        for bucket, n, blob in zip(batch.column("bucket").to_pylist(), batch.column("n").to_pylist(), batch.column("blob"), strict=True):
+            if bucket != now:
+                if found:
+                    yield from rows()
+                now, found, size = bucket, [], 0
+            found.append(tuple(_restored(blob.as_buffer(), n, 2)))
+            size += n
+            if size > HELD:
+                found = [_merged(found)]
+                size = 0
+    if found:
+        yield from rows()
+
+
 def counts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``kind, key, n`` over all of ``docs(text, held_out)``: symbol strings (0) and words, the end among them (1).
 
     Training texts are counted.  Strings that only held-out texts have are listed with n = 0; their words are not.
     """
-    found = docs.select("text", "held_out").mapInArrow(_counted(settings or Settings()), "kind int, key long, n long")
-    return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    found = docs.select("text", "held_out").mapInArrow(_counted(settings or Settings()), _DEALT)
+    return found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_summed, "kind int, key long, n long")
 
 
 def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,15 +282,6 @@ def grow(counted: DataFrame, total: int, settings: Settings | None = None) -> Da
     return tree
 
 
-def distributions(tree: DataFrame) -> DataFrame:
-    """``key, next`` of each context: its symbols (low byte) with minus their log probabilities in units of 1 / ``FINE``.
-
-    Probabilities have a floor of exp(-127).  Rows of a context are together after ``grow``, so this takes no exchange.
-    """
-    packed = F.round(F.least(-F.ln("p"), F.lit(127.0)) * FINE).cast("int") * 256 + F.shiftrightunsigned("key", 56).cast("int")
-    return tree.groupBy("context").agg(F.collect_list(packed).alias("next")).withColumnRenamed("context", "key")
-
-
 def totals(counted: DataFrame, settings: Settings | None = None) -> Totals:
     """Sums of a stored table of counts."""
     is_end = F.col("key") == int(END.view(np.int64))
@@ -205,40 +289,97 @@ def totals(counted: DataFrame, settings: Settings | None = None) -> Totals:
     by_kind = {r["kind"]: r for r in sums.collect()}  # at most two rows
     words = by_kind.get(1)
     found = (int(words["n"]), int(words["distinct"]), int(words["once"]), int(words["ends"] or 0)) if words else (0, 0, 0, 0)
-    return Totals(int(by_kind[0]["n"]) if 0 in by_kind else 0, *found, (settings or Settings()).weight)
+    symbols, kept = (int(by_kind[0]["n"]), int(by_kind[0]["distinct"])) if 0 in by_kind else (0, 0)
+    return Totals(symbols, *found, (settings or Settings()).weight, kept)
 
 
-def _wanted(depth: int):
-    """Distinct contexts (kind 0) and word hashes (1) of each block."""
+def _wanted(depth: int, wide: tuple[int, int]):
+    """Distinct strings (kind 0) and word hashes (1) of each block, dealt to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, seen = None, ([], [])
 
         def rows() -> Iterator[pa.RecordBatch]:
             for kind, found in enumerate(seen):
-                keys = np.unique(np.concatenate(found)) if found else ()
-                for lo in range(0, len(keys), 100_000):
-                    part = keys[lo : lo + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int64)), pa.array(np.full(len(part), kind, np.int32)), pa.array(tb.signed(part))], ["block", "kind", "key"])
+                if found:
+                    yield from _dealt(kind, _distinct(np.concatenate(found))[0], None, wide[kind], now)
 
         for block, _, batch in blocks.numbered(batches):
             if block != now:
                 yield from rows()
                 now, seen = block, ([], [])
             symbols, at, hashes, _ = spelled(batch)
-            seen[0].append(pd.unique(strings(symbols, at[hashes == END], depth) << np.uint64(8)))
-            seen[1].append(pd.unique(hashes))
+            for kind, keys in enumerate((strings(symbols, at[hashes == END], depth), hashes)):
+                seen[kind].append(_distinct(keys)[0])
+                if len(seen[kind]) == 8:
+                    seen[kind][:] = [_distinct(np.concatenate(seen[kind]))[0]]
         yield from rows()
 
     return run
 
 
+def _table(wide: tuple[int, int]):
+    """Keys and values of a part of the table of strings (kind 0) and words (1), dealt to buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = ([], []), 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for kind, parts in enumerate(found):
+                if parts:
+                    keys, values = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                    order = np.argsort(keys)
+                    yield from _dealt(kind, keys[order], values[order], wide[kind])
+                    parts.clear()
+
+        for batch in batches:
+            kinds, keys, values = (batch.column(c).to_numpy() for c in ("kind", "key", "value"))
+            for kind in (0, 1):
+                here = kinds == kind
+                if here.any():
+                    found[kind].append((keys[here].view(np.uint64), values[here]))
+            size += len(keys)
+            if size > HELD:
+                yield from rows()
+                size = 0
+        yield from rows()
+
+    return run
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of buckets, those of the table (without a block) first: keys and values that each block asks for.
+
+    A word that no training text has is left out.
+    """
+    now, parts, keys, values = None, [], None, None
+    for batch in batches:
+        out: list[tuple] = []
+        for bucket, block, n, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "n")), batch.column("blob"), strict=True):
+            if bucket != now:
+                now, parts, keys = bucket, [], None
+            if block is None:
+                parts.append(_restored(blob.as_buffer(), n, 2))
+                continue
+            if keys is None:
+                keys, values = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, t) for i, t in ((0, np.uint64), (1, np.int64)))
+                order = np.argsort(keys)
+                keys, values, parts = keys[order], values[order], []
+            wanted = _restored(blob.as_buffer(), n, 1)[0]
+            at, known = _lookup(keys, wanted)
+            if known.any():
+                out.append((block, -1, bucket & 1, int(known.sum()), _squeezed(wanted[known], values[at[known]])))
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["block", "seq", "kind", "n", "blob"])
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, seq, batch in blocks.numbered(batches):
         blob = blocks.pack(batch.select(["doc_id", "text", "held_out"]))
-        none = pa.nulls(1, pa.int64())
-        columns = [pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.nulls(1, pa.list_(pa.int32())), pa.array([blob], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "seq", "key", "n", "next", "blob"])
+        none = pa.nulls(1, pa.int32())
+        columns = [pa.array([block], pa.int64()), pa.array([seq], pa.int32()), none, none, pa.array([blob], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "seq", "kind", "n", "blob"])
 
 
 def token_scores(t: Totals, n: np.ndarray, spelling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,40 +395,49 @@ def token_scores(t: Totals, n: np.ndarray, spelling: np.ndarray) -> tuple[np.nda
 
 
 class _Dictionary:
-    """Words and contexts of one block."""
+    """Words and strings of one block."""
 
     def __init__(self) -> None:
         self.parts: tuple[list, list] = ([], [])
 
     def add(self, batch: pa.RecordBatch, lo: int, hi: int) -> None:
-        key, n = (np.array(batch.column(c)[lo:hi].to_numpy(zero_copy_only=False)) for c in ("key", "n"))
-        key, following = key.astype(np.int64).view(np.uint64), batch.column("next")[lo:hi]
-        context = following.is_valid().to_numpy(zero_copy_only=False)
-        self.parts[1].append((key[~context], n[~context].astype(np.int64)))
-        packed = following.flatten().to_numpy()
-        of = np.repeat(key[context] >> np.uint64(8), following.value_lengths().drop_null().to_numpy())
-        self.parts[0].append((of | ((packed & 255).astype(np.uint64) << np.uint64(56)), packed >> 8))
+        for kind, n, blob in zip(*(batch.column(c)[lo:hi].to_pylist() for c in ("kind", "n")), batch.column("blob")[lo:hi], strict=True):
+            self.parts[kind].append(_restored(blob.as_buffer(), n, 2))
 
     def sort(self) -> None:
         self.tables = []
         for found in self.parts:
             keys, values = (np.concatenate([p[i] for p in found]) if found else np.zeros(0, t) for i, t in ((0, np.uint64), (1, np.int64)))
-            order = np.argsort(keys)
-            self.tables.append((keys[order], values[order]))
-        self.parts = ([], [])
+            found.clear()
+            shift = np.uint64(63 - max(1, len(keys)).bit_length())  # two slots and more for a key
+            slot = (keys * ODD) >> shift
+            order = np.argsort(slot)
+            starts = np.concatenate(([0], np.cumsum(np.bincount(slot.astype(np.int64), minlength=1 << (64 - int(shift)))))).astype(np.int32)
+            self.tables.append((np.append(keys[order], np.uint64(0)), np.append(values[order], 0), starts, shift))
+
+    def _found(self, kind: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key, and whether it is there."""
+        keys, values, starts, shift = self.tables[kind]
+        slot = ((wanted * ODD) >> shift).astype(np.int64)
+        at, known = starts[slot], np.ones(len(wanted), dtype=bool)
+        ask = np.flatnonzero((keys[at] != wanted) | (at >= len(keys) - 1))
+        while len(ask):
+            at[ask] += 1
+            over = at[ask] >= starts[slot[ask] + 1]
+            known[ask[over]], at[ask[over]] = False, len(keys) - 1
+            ask = ask[~over]
+            ask = ask[keys[at[ask]] != wanted[ask]]
+        return values[at], known & (at < len(keys) - 1)
 
     def logs(self, packed: np.ndarray) -> np.ndarray:
         """Natural log of each symbol's probability; every string of the block is in the dictionary."""
-        code, unique = pd.factorize(packed)
-        at, known = _lookup(self.tables[0][0], unique)
+        units, known = self._found(0, packed)
         if not known.all():
             raise ValueError("a block without the strings of its texts")
-        return self.tables[0][1][at][code] / -FINE
+        return units / -FINE
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
-        keys, n = self.tables[1]
-        at, known = _lookup(keys, hashes)
-        return np.where(known, n[at], 0) if len(keys) else np.zeros(len(hashes), dtype=np.int64)
+        return self._found(1, hashes)[0]
 
 
 def _scored(t: Totals, depth: int):
@@ -332,12 +482,13 @@ def scores(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), F.spark_partition_id().alias("part"))
     counted = stage(counts(rows.withColumn("held_out", F.col("held_out") | F.col("doc_id").isNull()), s), "counts")
     t = totals(counted, s)
-    tree = stage(distributions(grow(counted.where("kind = 0"), t.symbols, s)), "tree")
-    nothing = F.lit(None).cast("array<int>")
-    table = counted.where("kind = 1").select("kind", "key", "n", nothing.alias("next")).union(tree.select(F.lit(0).alias("kind"), "key", F.lit(None).cast("long").alias("n"), "next"))
-    known = rows.mapInArrow(_wanted(s.depth), "block long, kind int, key long").join(table, ["kind", "key"])
-    known = known.select("block", F.lit(-1).alias("seq"), "key", "n", "next", F.lit(None).cast("binary").alias("blob"))
-    meet = rows.mapInArrow(_packed, _COLUMNS).union(known)
+    tree = grow(counted.where("kind = 0"), t.symbols, s)
+    units = F.round(F.least(-F.ln("p"), F.lit(127.0)) * FINE).cast("long")  # probabilities have a floor of exp(-127)
+    table = tree.select(F.lit(0).alias("kind"), "key", units.alias("value")).union(counted.where("kind = 1").select("kind", "key", F.col("n").alias("value")))
+    buckets = -(-t.strings // BUCKET) or 1, -(-t.distinct // BUCKET) or 1
+    asked = table.mapInArrow(_table(buckets), _DEALT).union(rows.mapInArrow(_wanted(s.depth, buckets), _DEALT))
+    known = asked.repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first()).mapInArrow(_answered, _MET)
+    meet = rows.mapInArrow(_packed, _MET).union(known)
     wide = -(-t.symbols // blocks.BLOCK_BYTES)  # about as many as there are blocks
     more = wide > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     meet = (meet.repartition(wide, "block") if more else meet.repartition("block")).sortWithinPartitions("block", "seq")

@@ -363,6 +363,43 @@ def test_suffix_tree_grows(spark):
     assert sizes[0] * 1.2 < sizes[1] and sizes[1] * 1.2 < sizes[2]
 
 
+def test_suffix_tree_counts_in_little_memory():
+    """A task counts 12 MB of text that hardly repeats a string within 256 MB (370 MB once)."""
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", dtype=np.uint8)
+    texts = [[rng.choice(letters, 4096).tobytes().decode() for _ in range(64)] for _ in range(48)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t), pa.array([i % 4 == 0] * 64)], ["text", "held_out"]) for i, t in enumerate(texts)]
+    tracemalloc.start()
+    for _ in suffixtree._counted(suffixtree.Settings())(iter(batches)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 256e6
+
+
+def test_suffix_tree_strings_by_way_of_buckets():
+    """Keys and numbers that are dealt come back whole, and a dictionary tells those that it lacks."""
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 5000):
+        keys = np.unique(rng.integers(0, 1 << 56, size, dtype=np.uint64)) << np.uint64(8)
+        n = rng.integers(0, 1 << 40, len(keys))
+        for kind in (0, 1):
+            found, buckets = {}, []
+            for batch in suffixtree._dealt(kind, keys, n, 7, 3):
+                for bucket, block, m, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "n")), batch.column("blob"), strict=True):
+                    found |= dict(zip(*(x.tolist() for x in suffixtree._restored(blob.as_buffer(), m, 2)), strict=True))
+                    buckets.append((bucket, block))
+            assert found == dict(zip(keys.tolist(), n.tolist(), strict=True))
+            assert len(set(buckets)) == len(buckets) and {(b & 1, k) for b, k in buckets} == {(kind, 3)}
+        own = suffixtree._Dictionary()
+        own.parts[1].append((keys, n))
+        own.sort()
+        asked = np.concatenate((keys[::-1], keys + np.uint64(1), np.zeros(1, np.uint64)))
+        assert own.counts(asked).tolist() == [dict(zip(keys.tolist(), n.tolist(), strict=True)).get(k, 0) for k in asked.tolist()]
+        with pytest.raises(ValueError, match="without"):
+            own.logs(keys)
+
+
 def test_suffix_tree_beats_the_base_on_held_out(spark, sf_dir):
     out = suffixtree.scores(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert out[0] > out[1]
