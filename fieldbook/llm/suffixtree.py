@@ -76,7 +76,8 @@ def held_out(doc_id: Column, parts: int = 5) -> Column:
 def spelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts; first symbol, hash and row of each token (words, then the end, of each text)."""
     text = batch.column("text")
-    closed = pc.binary_join_element_wise(pc.fill_null(text, b"" if pa.types.is_binary(text.type) else ""), " \n", "")
+    empty, end = (pa.scalar(x, pa.binary()).cast(text.type) for x in (b"", b" \n"))
+    closed = pc.binary_join_element_wise(pc.fill_null(text, empty), end, empty)
     data, offs = tb.text_buffer(closed)
     low = _SYMBOLS[data]
     white = low == SPACE

@@ -377,6 +377,15 @@ def test_suffix_tree_counts_in_little_memory():
     assert peak < 256e6
 
 
+def test_suffix_tree_symbols_of_every_text_type():
+    texts = [b"a B", None, b"", b" \x0b\xc3\xa9\tx", b"\n", b"y \n"]
+    plain = [" ".join(words(t.decode())) + " " if t and words(t.decode()) else "" for t in (t or b"" for t in texts)]
+    for kind in (pa.string(), pa.large_string(), pa.binary(), pa.large_binary()):
+        symbols, at, hashes, row = suffixtree.spelled(pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(kind)], ["text"]))
+        assert symbols.tobytes().decode() == "".join(t + "\n" for t in plain)
+        assert row.tolist() == [0, 0, 0, 1, 2, 3, 3, 3, 4, 5, 5] and (hashes == suffixtree.END).tolist() == [bool(symbols[i] == 10) for i in at]
+
+
 def test_suffix_tree_strings_by_way_of_buckets():
     """Keys and numbers that are dealt come back whole, and a dictionary tells those that it lacks."""
     rng = np.random.default_rng(6)
