@@ -618,3 +618,55 @@ def test_near_passages_with_evenly_spread_changes():
         (found,) = substring.passages(x, y, substring.Settings())
         assert found[3] - found[2] >= min(size, 50) and found[4] >= 0.8
         assert found[2] <= 50 + 5 and found[3] >= 50 + size - 5
+
+
+def test_pairs_without_a_chance_are_not_chained(spark, monkeypatch):
+    """Of documents that share a line of 9 words and one near passage only the pair with the passage is chained, whatever the cell's batches."""
+    rng = np.random.default_rng(7)
+    s = substring.Settings()
+    new = lambda n: rng.integers(0, 2**32, n, dtype=np.uint32)
+    line, passage = new(9), new(60)
+    copy = passage.copy()
+    copy[7::8] = new(len(copy[7::8]))
+    texts = {i: np.concatenate((new(70), line, new(70))) for i in range(30)}
+    texts[3], texts[11] = np.concatenate((texts[3], passage)), np.concatenate((copy, texts[11]))
+    words = pa.RecordBatch.from_arrays([pa.array([0] * 30), pa.array(list(texts), pa.int64()), pa.array([t.tobytes() for t in texts.values()])], ["bucket", "cls", "blob"])
+    packs = [p for b in substring._packed([words.slice(0, 7), words.slice(7)]) for p in b.column("pack").to_pylist()]
+    a, b = np.array([(x, y) for x in texts for y in texts if x < y]).T
+    zero, none = (lambda n: pa.array([0] * n, pa.int64())), (lambda n: pa.nulls(n, pa.int64()))
+    names = ["i", "j", "a", "b", "pack"]
+    rows = [pa.RecordBatch.from_arrays([zero(1), zero(1), none(1), none(1), pa.array([p])], names) for p in packs]
+    rows.append(pa.RecordBatch.from_arrays([zero(len(a)), zero(len(a)), pa.array(a), pa.array(b), pa.nulls(len(a), pa.binary())], names))
+    tried, chain = [], substring.passages
+    monkeypatch.setattr(substring, "passages", lambda x, y, *rest: tried.append((len(x), len(y))) or chain(x, y, *rest))
+    found = [(r["a"], r["b"]) for out in substring._chained(s)(rows) for r in out.to_pylist()]
+    assert found == [(3, 11)] and len(tried) == 1
+
+
+@pytest.mark.parametrize("settings", [{}, {"min_words": 20, "identity": 0.7}, {"min_words": 30, "identity": 0.9}, {"min_words": 12, "most_gap": 6}, {"identity": 1.0}, {"min_words": 5, "identity": 0.5}])
+@pytest.mark.parametrize("words", [2, 5, 30, 300, 10**6])
+def test_no_pair_with_a_passage_is_left_out(settings, words, monkeypatch):
+    """Of documents cut from the same texts, with words changed, added and left out, every pair that chaining finds a passage in is chained."""
+    monkeypatch.setattr(substring, "SLICE", 500)
+    monkeypatch.setattr(substring, "HELD", 2_000)
+    rng = np.random.default_rng(words)
+    s = substring.Settings(**settings)
+    base = [rng.integers(0, words, rng.integers(5, 200)) for _ in range(4)]
+    base.append(base[0].copy())
+    base[4][4::5] = rng.integers(0, 10**6, len(base[4][4::5]))
+
+    def text():
+        out = []
+        for _ in range(rng.integers(1, 4)):
+            out += rng.integers(0, words, rng.integers(0, 60)).tolist()
+            part = base[rng.integers(5)]
+            at, rate = rng.integers(0, len(part)), rng.choice([0, 0.05, 0.1, 0.2, 0.3])
+            for w in part[at : at + rng.integers(1, 2 * s.min_words + 2)].tolist():
+                kind = rng.integers(3) if rng.random() < rate else 3  # change, add, leave out, keep
+                out += [[int(rng.integers(words))], [w, int(rng.integers(words))], [], [w]][kind]
+        return np.array(out, dtype=np.uint32)
+
+    texts = {i: t for i, t in enumerate([text() for _ in range(16)]) if len(t) >= s.min_words}
+    a, b = np.array([(x, y) for x in texts for y in texts if x < y]).T
+    use = substring.hopeful(texts, a, b, s)
+    assert not [p for p in zip(a[~use].tolist(), b[~use].tolist(), strict=True) if substring.passages(texts[p[0]], texts[p[1]], s)]
