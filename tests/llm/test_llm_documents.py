@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -670,3 +671,78 @@ def test_no_pair_with_a_passage_is_left_out(settings, words, monkeypatch):
     a, b = np.array([(x, y) for x in texts for y in texts if x < y]).T
     use = substring.hopeful(texts, a, b, s)
     assert not [p for p in zip(a[~use].tolist(), b[~use].tolist(), strict=True) if substring.passages(texts[p[0]], texts[p[1]], s)]
+
+
+def test_pairs_that_share_a_line_only_are_not_written(spark, monkeypatch):
+    """Documents that share a line too short for a passage meet where their texts are; no table holds a row for each two of them."""
+    rng = random.Random(21)
+    line = sentence(rng, 12, 10**6)
+    passage = sentence(rng, 60, 10**6)
+    rows = [(i, f"{sentence(rng, 40, 10**6)} {line} {sentence(rng, 20, 10**6)} {passage if i in (30, 250) else ''}") for i in range(300)]
+    written, met = [], substring._met
+    monkeypatch.setattr(substring, "_met", lambda members, name: written.append(pairs := met(members, name)) or pairs)
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert [(r["doc_id"], r["other_id"]) for r in got] == [(250, 30)]
+    assert sum(pairs.count() for pairs in written) < 300
+
+
+def test_every_two_buckets_meet(spark, monkeypatch):
+    """One bucket, or many that meet in several rounds: the same passages, with copies, repeated words and repeated ids."""
+    rng = random.Random(22)
+    passages = [sentence(rng, 60, 10**6) for _ in range(4)] + [" ".join(["ha", "ho"] * 30)]
+    rows = [(rng.randrange(100) if i % 9 else None, f"{sentence(rng, 30, 10**6)} {passages[i % 5]} {sentence(rng, 10 * (i % 3), 10**6)}") for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:4], "doc_id long, text string").repartition(4)
+    found = []
+    for words in (10**6, 700):  # 1 bucket, about 8
+        monkeypatch.setattr(substring, "BUCKET_WORDS", words)
+        monkeypatch.setattr(substring, "DISTANCES", 2)
+        found.append(collections.Counter(tuple(r) for r in substring.repeated_passages(docs).collect()))
+    assert found[0] == found[1] and len(found[0]) > 200
+
+
+def test_matched_pairs_against_brute_force(monkeypatch):
+    """Documents matched among themselves and with others, seeds in common counted, long lists and long documents in pieces."""
+    rng = np.random.default_rng(23)
+    monkeypatch.setattr(substring, "SLICE", 300)
+    monkeypatch.setattr(substring, "HELD", 400)
+    s = substring.Settings(min_words=20)
+    base = [rng.integers(0, 10**6, 40) for _ in range(3)]
+    texts = [np.concatenate((rng.integers(0, 40, rng.integers(0, 300)), base[i % 3][: rng.integers(10, 41)])).astype(np.uint32) for i in range(24)]
+    known = [set(substring.seeds(t.astype(np.uint64), np.zeros(len(t), np.int64), 1, s)[0].tolist()) for t in texts]
+    for lo, hi in ((0, 24), (10, 24)):
+        xs, ys = texts[:lo] or texts, texts[lo:] if lo else None
+        given = np.array([3])
+        x, y = (v.tolist() for v in substring.matched(xs, ys, s, 5, given))
+        got = {(a, b + lo) for a, b in zip(x, y, strict=True)}
+        all_pairs = [(a, b) for a in range(len(xs)) for b in range(lo, hi) if a < b or lo]
+        shared = {p: len(known[p[0]] & known[p[1]]) for p in all_pairs}
+        assert len(got) == len(x) and all(shared[p] >= 5 or p == (0, lo + 3) for p in got)
+        want = {p for p in all_pairs if shared[p] >= 5 and substring.passages(texts[p[0]], texts[p[1]], s)}
+        assert want <= got and len(want) > 10
+
+
+def test_texts_come_out_of_packs_as_they_went_in():
+    rng = np.random.default_rng(24)
+    texts = [rng.integers(0, top, n, dtype=np.uint32) for top, n in ((3, 900), (2**32, 70_000), (2**32, 1), (300, 5_000))]
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 2]), pa.array([-5, 7, 8, 9]), pa.array([50, 40, 30, 20]), pa.array([t.tobytes() for t in texts])], ["bucket", "cls", "keeper", "blob"])
+    packs = [(b, substring._unpacked(p)) for out in substring._packed([rows]) for b, p in zip(out.column("bucket").to_pylist(), out.column("pack").to_pylist())]
+    assert [b for b, _ in packs] == [1, 2]
+    assert [(int(c), int(k)) for _, p in packs for c, k in zip(p[0], p[1])] == [(-5, 50), (7, 40), (8, 30), (9, 20)]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(texts, [t for _, p in packs for t in p[2]], strict=True))
+
+
+def test_released_stages_leave_no_shuffle_files(spark):
+    def held() -> set[str]:
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if f.endswith(".data")}
+
+    before = held()
+    staged = stage(spark.range(1000).repartition(5, "id"), "released", release=True)
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before and staged.count() == 1000
+    before = held()
+    stage(spark.range(1000).repartition(5, "id"), "kept")
+    assert held() - before and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
